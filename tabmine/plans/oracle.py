@@ -9,14 +9,13 @@ ENC = f"enc AS ({ENCOUNTERS_SQL})"
 CODED = f"coded AS ({CODED_LINEITEMS_SQL})"
 AGES = f"ages AS ({AGE_BRACKETS_SQL})"
 
-FIRST = f"""{ENC},
-first AS (SELECT * EXCLUDE (rn) FROM (
+FIRST_BODY = """first AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM enc) WHERE rn = 1)"""
-
-FILTERED = f"""{FIRST},
-filtered AS (SELECT * FROM first
+FILTER_BODY = """filtered AS (SELECT * FROM first
   WHERE NOT coalesce(c_nationkey IN (11, 13, 14, 19, 20, 21), false)
     AND c_mktsegment IS DISTINCT FROM 'AUTOMOBILE')"""
+FIRST = f"{ENC},\n{FIRST_BODY}"
+FILTERED = f"{FIRST},\n{FILTER_BODY}"
 
 
 def _nzv_sql(source: str, cols: list[str], numeric: set[str] = frozenset(), exempt: bool = False) -> str:
@@ -67,3 +66,260 @@ SELECT count(*) AS n_rows, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0
        round(coalesce((count(*) - sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END))::DOUBLE
                       / nullif(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END), 0), 1.0), 6) AS scale_pos_weight
 FROM filtered"""
+
+TAGGED = f"""{ENC},
+firsts AS (SELECT o_custkey AS k, min(o_orderkey) AS f FROM enc GROUP BY o_custkey),
+t AS (SELECT e.*, coalesce(e.o_orderkey <> firsts.f, false) AS dup,
+             coalesce(e.c_nationkey IN (11, 13, 14, 19, 20, 21), false) AS term,
+             e.c_mktsegment IS NOT DISTINCT FROM 'AUTOMOBILE' AS inv, n.n_name AS lbl
+      FROM enc e JOIN firsts ON e.o_custkey IS NOT DISTINCT FROM firsts.k
+      LEFT JOIN nation n ON CAST(e.c_nationkey AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)),
+r AS (SELECT *, CASE WHEN dup THEN 'Duplicate key (keeping first only)'
+                     WHEN term THEN 'Terminal code: ' || coalesce(lbl, 'Unknown')
+                     WHEN inv THEN 'Invalid value: AUTOMOBILE' END AS del FROM t),
+tagged AS (SELECT *, del IS NULL AND o_orderpriority IS NULL AS modified,
+                  CASE WHEN del IS NOT NULL THEN 'deleted' WHEN o_orderpriority IS NULL THEN 'modified'
+                       ELSE 'kept' END AS status,
+                  CASE WHEN del IS NOT NULL THEN del WHEN o_orderpriority IS NULL THEN 'Missing values replaced'
+                       ELSE '' END AS reason FROM r)"""
+
+ORACLE_SQL["deletion_audit"] = f"WITH {TAGGED} SELECT o_orderkey, status, reason, modified FROM tagged"
+
+ORACLE_SQL["deletion_stats"] = f"""WITH {TAGGED}
+SELECT count(*) AS original_rows, count(*) FILTER (WHERE del IS NOT NULL) AS deleted_rows,
+       count(*) FILTER (WHERE dup) AS deleted_duplicates, count(*) FILTER (WHERE term AND NOT dup) AS deleted_terminal,
+       count(*) FILTER (WHERE inv AND NOT dup AND NOT term) AS deleted_invalid,
+       count(*) FILTER (WHERE modified) AS modified_rows, count(*) FILTER (WHERE del IS NULL) AS kept_rows
+FROM tagged"""
+
+ORACLE_SQL["deletion_reasons"] = f"""WITH {TAGGED}
+SELECT del AS reason, count(*) AS n_rows FROM tagged WHERE del IS NOT NULL GROUP BY del
+ORDER BY n_rows DESC, reason LIMIT 20"""
+
+ORACLE_SQL["audit_sample"] = f"""WITH {TAGGED},
+d AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM tagged WHERE del IS NOT NULL),
+k AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM tagged WHERE del IS NULL),
+nd AS (SELECT count(*) AS n FROM d WHERE rn <= 1000)
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, c_nationkey, c_mktsegment, c_acctbal,
+       st_price, st_balance, st_rush, status, reason FROM d WHERE rn <= 1000
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, c_nationkey, c_mktsegment, c_acctbal,
+       st_price, st_balance, st_rush, status, reason FROM k WHERE rn <= 2000 - (SELECT n FROM nd)"""
+
+ORACLE_SQL["cleaned_head"] = f"""WITH {FILTERED}
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,
+       coalesce(o_orderpriority, 'Unknown') AS o_orderpriority, c_nationkey, c_mktsegment,
+       round(c_acctbal, 6) AS c_acctbal, st_price, st_balance
+FROM filtered ORDER BY o_orderkey LIMIT 2000"""
+
+ORACLE_SQL["drill_down"] = f"""WITH {ENC},
+m AS (SELECT * FROM enc WHERE coalesce(CAST(o_orderpriority AS VARCHAR), 'null') = '2-HIGH')
+SELECT *, (SELECT count(*) FROM m) AS match_count FROM m ORDER BY o_orderkey LIMIT 100"""
+
+ORACLE_SQL["audit_browser"] = f"""WITH {TAGGED}, {FIRST_BODY}, {FILTER_BODY},
+u AS (SELECT o_orderkey, o_orderpriority, c_mktsegment, del AS reason FROM tagged WHERE del IS NOT NULL
+      UNION ALL
+      SELECT o_orderkey, coalesce(o_orderpriority, 'Unknown'), c_mktsegment, NULL FROM filtered)
+SELECT * FROM u WHERE coalesce(CAST(c_mktsegment AS VARCHAR), 'null') = 'BUILDING' ORDER BY o_orderkey LIMIT 100"""
+
+ORACLE_SQL["active_status"] = f"""WITH {ENC}
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target,
+       (CASE WHEN st_price IN ('Up', 'Down') THEN 1 ELSE 0 END) + (CASE WHEN st_balance IN ('Up', 'Down') THEN 1 ELSE 0 END)
+         + (CASE WHEN st_rush IN ('Up', 'Down') THEN 1 ELSE 0 END) AS n_changed,
+       concat_ws(', ', CASE WHEN st_price IS NOT NULL AND st_price <> 'No' THEN 'st_price: ' || st_price END,
+                       CASE WHEN st_balance IS NOT NULL AND st_balance <> 'No' THEN 'st_balance: ' || st_balance END,
+                       CASE WHEN st_rush IS NOT NULL AND st_rush <> 'No' THEN 'st_rush: ' || st_rush END) AS active_status
+FROM enc"""
+
+
+def icd9_sql(code: str) -> str:
+    s = f"regexp_replace({code}, '^\\s+|\\s+$', '', 'g')"
+    n = f"TRY_CAST({s} AS DOUBLE)"
+    return f"""CASE WHEN {code} IS NULL OR {s} = '' OR lower({s}) IN ('nan', 'unknown') OR {s} LIKE 'V%' OR {s} LIKE 'E%'
+         OR NOT regexp_matches({s}, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN 'Other'
+    WHEN {n} BETWEEN 390 AND 459 OR {n} = 785 THEN 'Circulatory'
+    WHEN {n} BETWEEN 460 AND 519 OR {n} = 786 THEN 'Respiratory'
+    WHEN {n} BETWEEN 520 AND 579 OR {n} = 787 THEN 'Digestive'
+    WHEN floor({n}) = 250 THEN 'Diabetes'
+    WHEN {n} BETWEEN 800 AND 999 THEN 'Injury'
+    WHEN {n} BETWEEN 710 AND 739 THEN 'Musculoskeletal'
+    WHEN {n} BETWEEN 580 AND 629 OR {n} = 788 THEN 'Genitourinary'
+    WHEN {n} BETWEEN 140 AND 239 THEN 'Neoplasms' ELSE 'Other' END"""
+
+
+ORACLE_SQL["diagnosis_groups"] = f"""WITH {CODED}
+SELECT l_orderkey, l_linenumber, diag_code, {icd9_sql('diag_code')} AS diag_group FROM coded"""
+
+ORACLE_SQL["age_midpoints"] = f"""WITH {AGES}
+SELECT p_partkey, age, CASE age WHEN '[0-10)' THEN 5.0 WHEN '[10-20)' THEN 15.0 WHEN '[20-30)' THEN 25.0
+  WHEN '[30-40)' THEN 35.0 WHEN '[40-50)' THEN 45.0 WHEN '[50-60)' THEN 55.0 WHEN '[60-70)' THEN 65.0
+  WHEN '[70-80)' THEN 75.0 WHEN '[80-90)' THEN 85.0 WHEN '[90-100)' THEN 95.0 END AS age_mid FROM ages"""
+
+
+def _stay(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'unknown' WHEN {x} <= 3 THEN '1-3' WHEN {x} <= 6 THEN '4-6' ELSE '7+' END"
+
+
+def _visit(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'unknown' WHEN {x} <= 0 THEN '0' WHEN {x} = 1 THEN '1' ELSE '2+' END"
+
+
+ORACLE_SQL["count_buckets"] = f"""SELECT l_orderkey, l_linenumber, {_stay('(l_quantity / 5)')} AS stay_bucket,
+  {_visit('(l_linenumber - 1)')} AS visit_bucket, {_visit('(l_discount * 20)')} AS discount_bucket FROM lineitem"""
+
+ORACLE_SQL["code_labels"] = f"""WITH {ENC}
+SELECT o_orderkey, c_nationkey, n.n_name AS code_label
+FROM enc LEFT JOIN nation n ON CAST(enc.c_nationkey AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)"""
+
+ORACLE_SQL["prefix_labels"] = """WITH x AS (SELECT lpad(CAST(l_partkey AS VARCHAR), 5, '0') AS x, l_linenumber FROM lineitem),
+codes AS (SELECT DISTINCT CASE WHEN l_linenumber > 4 THEN substr(x, 1, 3) || '.' || substr(x, 4, 1)
+                               ELSE substr(x, 1, 3) || '.' || substr(x, 4, 2) END AS code FROM x),
+d AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS k, p_name AS l FROM part),
+c AS (SELECT code, replace(code, '.', '') AS key FROM codes),
+ex AS (SELECT c.code, c.key, d.l FROM c LEFT JOIN d ON c.key = d.k),
+pre AS (SELECT ex.key, arg_min(d.l, d.k) AS l FROM (SELECT DISTINCT key FROM ex WHERE l IS NULL) ex
+        JOIN d ON starts_with(d.k, ex.key) GROUP BY ex.key)
+SELECT ex.code, coalesce(ex.l, pre.l || ' (category)') AS description FROM ex LEFT JOIN pre ON ex.key = pre.key"""
+
+ORACLE_SQL["zscore_bands"] = """WITH s AS (SELECT round(avg(l_extendedprice), 4) AS m, round(stddev_samp(l_extendedprice), 4) AS sd
+           FROM lineitem),
+z AS (SELECT l_orderkey, l_linenumber, (l_extendedprice - m) / nullif(sd, 0) AS z FROM lineitem, s)
+SELECT l_orderkey, l_linenumber, CASE WHEN z > 1 THEN 'high' WHEN z < -1 THEN 'low' END AS band FROM z"""
+
+ORACLE_SQL["itemized_rows"] = f"""WITH {ENC}
+SELECT o_orderkey, concat_ws('|', 'o_orderstatus=' || o_orderstatus, 'o_orderpriority=' || o_orderpriority,
+  'c_mktsegment=' || c_mktsegment, 'st_price=' || st_price,
+  CASE WHEN c_nationkey IS NOT NULL THEN 'c_nationkey=' || {_visit('c_nationkey')} END) AS items FROM enc"""
+
+ORACLE_SQL["run_signatures"] = """SELECT event_id, event_type || '::' || 'k=' || json_extract_string(props, '$.k')
+  || '|user=' || CAST(user_id AS VARCHAR) AS signature FROM events"""
+
+LINES_NZV = """lines AS (SELECT *, CASE WHEN l_quantity >= 49 THEN 'Up' ELSE 'No' END AS big_qty FROM lineitem)"""
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+             "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LINE_NUMERIC = {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                "l_tax"}
+
+ORACLE_SQL["nzv_lines"] = f"WITH {LINES_NZV}, " + _nzv_sql(
+    "lines", ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_quantity", "big_qty"])
+
+ORACLE_SQL["nzv_all_columns"] = "WITH " + _nzv_sql("lineitem", LINE_COLS, LINE_NUMERIC, exempt=True)
+
+ORACLE_SQL["nzv_summary"] = """SELECT count(*) AS n_columns, count(*) FILTER (WHERE "drop") AS n_drop,
+       count(*) FILTER (WHERE NOT "drop") AS n_keep FROM (WITH """ + _nzv_sql("lineitem", LINE_COLS, LINE_NUMERIC,
+                                                                             exempt=True) + ")"
+
+ENC_PROFILE = ["o_orderstatus", "o_orderpriority", "c_nationkey", "c_mktsegment", "st_price", "st_balance", "st_rush"]
+ENC_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_nationkey",
+           "c_mktsegment", "c_acctbal", "st_price", "st_balance", "st_rush"]
+ENC_NUMERIC = {"o_orderkey", "o_custkey", "o_totalprice", "c_nationkey", "c_acctbal"}
+
+ORACLE_SQL["dataset_overview"] = f"""WITH {ENC},
+p AS (SELECT {', '.join(ENC_PROFILE)} FROM enc),
+g AS (SELECT count(*) AS n FROM p GROUP BY {', '.join(ENC_PROFILE)})
+SELECT (SELECT count(*) FROM p) AS total_rows, {len(ENC_PROFILE)} AS total_cols,
+       CAST((SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in ENC_PROFILE)} FROM p) AS BIGINT)
+         AS total_missing_cells,
+       CAST((SELECT coalesce(sum(n - 1), 0) FROM g) AS BIGINT) AS duplicate_rows"""
+
+
+def _missing_sql(cols: list[str], numeric: set[str], source: str) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {'true' if c in numeric else 'false'} AS is_numeric, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS missing_count, count(*) AS n, count(DISTINCT CAST({c} AS VARCHAR)) AS u "
+        f"FROM {source}" for c in cols)
+    return f"""SELECT col AS "column", is_numeric, missing_count, round(missing_count * 100.0 / n, 2) AS missing_pct,
+       u AS unique_count FROM ({parts})"""
+
+
+ORACLE_SQL["missing_profile"] = f"WITH {ENC} " + _missing_sql(ENC_ALL, ENC_NUMERIC, "enc")
+
+ORACLE_SQL["column_search"] = f"WITH {ENC}, mp AS ({_missing_sql(ENC_ALL, ENC_NUMERIC, 'enc')}) " \
+    "SELECT * FROM mp WHERE contains(lower(\"column\"), 'order')"
+
+NUM_LINE = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORACLE_SQL["numeric_summary"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+       round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25,
+       round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q75,
+       round(max({c})::DOUBLE, 6) AS max FROM lineitem""" for c in NUM_LINE)
+
+
+def _dist_sql(cols: list[str], numeric: set[str], source: str) -> str:
+    unions = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS label, {'true' if c in numeric else 'false'} AS isnum "
+        f"FROM {source}" for c in cols)
+    return f"""long AS ({unions}),
+vc AS (SELECT col, label, isnum, count(*) AS n FROM long WHERE label IS NOT NULL GROUP BY col, label, isnum)
+SELECT col AS "column", label, n,
+       CAST(row_number() OVER (PARTITION BY col ORDER BY CASE WHEN isnum THEN coalesce(TRY_CAST(label AS DOUBLE),
+            'inf'::DOUBLE) ELSE 0.0 END, label) AS INTEGER) AS ord FROM vc"""
+
+
+ORACLE_SQL["value_distribution"] = f"WITH {ENC}, " + _dist_sql(ENC_PROFILE + ["o_totalprice"], ENC_NUMERIC, "enc")
+
+CLEAN_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_nationkey",
+              "c_mktsegment", "c_acctbal", "st_price", "st_balance"]
+ORACLE_SQL["cleaned_distribution"] = f"""WITH {FILTERED},
+cleaned AS (SELECT * REPLACE (coalesce(o_orderpriority, 'Unknown') AS o_orderpriority) FROM filtered), """ + \
+    _dist_sql(CLEAN_COLS, ENC_NUMERIC, "cleaned")
+
+ORACLE_SQL["log_scale_hints"] = f"WITH {ENC}, d AS (WITH " + _dist_sql(ENC_PROFILE, ENC_NUMERIC, "enc") + """)
+SELECT "column", max(n) / coalesce(min(n) FILTER (WHERE n > 0), 1) > 50 AS use_log FROM d GROUP BY "column" """
+
+
+DESCRIPTIONS_SQL = """VALUES
+  ('o_orderkey', 'Order key; one row per order (the encounter key).'),
+  ('o_custkey', 'Customer key; repeats across a customer''s orders (the patient key).'),
+  ('o_orderstatus', 'Order status; ''F'' is the positive class.'),
+  ('o_totalprice', 'Total order price.'),
+  ('o_orderpriority', 'Order priority; ''4-NOT SPECIFIED'' is read as missing.'),
+  ('c_nationkey', 'Customer nation code; labels come from the nation table.'),
+  ('c_mktsegment', 'Customer market segment.'),
+  ('c_acctbal', 'Customer account balance.')"""
+
+_STATS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS col, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+       round(min({c})::DOUBLE, 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25,
+       round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q75,
+       round(max({c})::DOUBLE, 6) AS max FROM enc""" for c in ["o_orderkey", "o_custkey", "o_totalprice", "c_nationkey",
+                                                              "c_acctbal"])
+
+ORACLE_SQL["column_profile"] = f"""WITH {ENC}, mp AS ({_missing_sql(ENC_ALL, ENC_NUMERIC, 'enc')}),
+st AS ({_STATS}),
+descr(col, description) AS ({DESCRIPTIONS_SQL}),
+maps AS (SELECT 'c_nationkey' AS col, count(*) AS k FROM nation)
+SELECT mp."column", CASE WHEN is_numeric THEN 'Numeric' ELSE 'Categorical' END AS type, missing_count, missing_pct,
+  unique_count, st.mean, st.std, st.min, st.q25, st.median, st.q75, st.max,
+  CASE WHEN mp."column" = 'o_orderstatus' THEN 'Binarize (Target)'
+       WHEN mp."column" IN ('o_orderkey', 'o_custkey') THEN 'Drop'
+       WHEN mp."column" = 'o_orderpriority' THEN 'Missing Category'
+       WHEN missing_pct > 40 THEN 'Drop' WHEN unique_count = 1 THEN 'Drop'
+       WHEN mp."column" = 'c_nationkey' THEN 'Group & Encode'
+       WHEN is_numeric AND missing_pct > 0 THEN 'Median Impute'
+       WHEN NOT is_numeric AND missing_pct > 0 THEN 'Mode Impute / ''Missing'' Category'
+       WHEN NOT is_numeric AND unique_count > 10 THEN 'Target / Frequency Encode'
+       WHEN NOT is_numeric THEN 'One-Hot Encode' ELSE 'Scale / Standardize' END AS treatment,
+  coalesce(descr.description, 'No detailed description available.') AS description,
+  coalesce(maps.k, 0) AS value_mapping_size
+FROM mp LEFT JOIN st ON mp."column" = st.col LEFT JOIN descr ON mp."column" = descr.col
+LEFT JOIN maps ON mp."column" = maps.col"""
+
+ORACLE_SQL["column_actions"] = f"""WITH {FILTERED}, nz AS (WITH """ + _nzv_sql(
+    "filtered", ["st_price", "st_balance", "st_rush"]) + f"""),
+cols(col) AS (VALUES {', '.join(f"('{c}')" for c in ENC_ALL)}),
+mods(col, why) AS (VALUES ('o_orderpriority', 'Missing token replaced with ''Unknown''.'),
+  ('c_nationkey', 'Rows with terminal codes removed.'), ('c_mktsegment', 'Rows with the invalid segment removed.'),
+  ('o_orderstatus', 'Target; binarised (''F'' = 1).')),
+j AS (SELECT cols.col, nz.fr, coalesce(nz.variance, 0.0) AS var, nz."drop" AS nd, mods.why,
+             cols.col IN ('st_price', 'st_balance', 'st_rush') AS is_status
+      FROM cols LEFT JOIN nz ON cols.col = nz."column" LEFT JOIN mods ON cols.col = mods.col)
+SELECT col AS "column",
+  CASE WHEN col = 'o_custkey' THEN 'DROP' WHEN is_status AND coalesce(nd, false) THEN 'DROP' WHEN is_status THEN 'KEEP'
+       WHEN why IS NOT NULL THEN 'MODIFY' ELSE 'KEEP' END AS action,
+  CASE WHEN col = 'o_custkey' THEN 'Dropped entirely (high missing share or identifier)'
+       WHEN is_status AND coalesce(nd, false) THEN 'NZV: FR=' || CASE WHEN fr IS NULL OR fr > 999999 THEN '∞'
+            ELSE printf('%.1f', fr) END || ', var=' || printf('%.5f', var) || ' - below variance threshold 0.0475'
+       WHEN is_status THEN 'Sufficient variance (var=' || printf('%.4f', var) || '). Retained for modeling.'
+       WHEN why IS NOT NULL THEN why ELSE 'No quality issues detected.' END AS reason
+FROM j"""

@@ -9,8 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabmine.functions import derive as D
+from tabmine.operators import audit, clean, lookup, profile
 from tabmine.plans import bindings as B
-from tabmine.operators import audit, clean, profile
+from tabmine.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,3 +62,265 @@ def class_balance(spark, sf):
                       F.round("positive_rate", 6).alias("positive_rate"),
                       F.round(F.coalesce(F.try_divide(F.col("n_rows") - F.col("n_pos"), F.col("n_pos")),
                                          F.lit(1.0)), 6).alias("scale_pos_weight"))
+
+
+# ---- deletion audit ----------------------------------------------------------------------
+
+def _tagged(spark, sf):
+    return audit.tag_deletions(B.encounters(spark, sf), B.KEY, B.ORDER, B.TERMINAL_COL, B.TERMINAL_CODES,
+                               B.code_labels(spark, sf), B.INVALID_COL, B.INVALID_VALUE,
+                               missing_cols=[B.MISSING_COL])
+
+
+@query
+def deletion_audit(spark, sf):
+    """Every raw row with its status, reason and modified flag."""
+    t = _tagged(spark, sf)
+    return t.select("o_orderkey", F.col("_status").alias("status"), F.col("_reason").alias("reason"),
+                    F.col("_modified").alias("modified"))
+
+
+@query
+def deletion_stats(spark, sf):
+    """A10."""
+    return audit.deletion_stats(_tagged(spark, sf))
+
+
+@query
+def deletion_reasons(spark, sf):
+    """Top 20 reasons."""
+    return audit.top_reasons(_tagged(spark, sf), 20)
+
+
+@query
+def audit_sample(spark, sf):
+    """1000 deleted + kept rows up to 2000, by key, id column hidden."""
+    return audit.audit_sample(_tagged(spark, sf), B.ORDER, hidden=[B.KEY], size=2000)
+
+
+@query
+def cleaned_head(spark, sf):
+    """first 2000 cleaned rows by key."""
+    return clean.head_rows(_cleaned(spark, sf)[0], B.ORDER, 2000, round_digits=6)
+
+
+@query
+def drill_down(spark, sf):
+    """rows whose priority text is '2-HIGH', 100 by key, with the match count."""
+    return clean.drill_down(B.encounters(spark, sf), "o_orderpriority", "2-HIGH", B.ORDER, 100)
+
+
+@query
+def audit_browser(spark, sf):
+    """deleted + cleaned rows, segment 'BUILDING', 100 by key."""
+    deleted, _ = audit.split_deleted(_tagged(spark, sf))
+    cols = ["o_orderkey", "o_orderpriority", "c_mktsegment"]
+    d = deleted.select(*cols, F.col("_deletion_reason").alias("reason"))
+    k = _cleaned(spark, sf)[0].select(*cols)
+    return clean.browse(d, k, "c_mktsegment", "BUILDING", B.ORDER, 100)
+
+
+@query
+def active_status(spark, sf):
+    """Change count and binary target, then the status columns
+    collapsed into one 'name: status' list."""
+    e = B.encounters(spark, sf).select(
+        "o_orderkey", *B.STATUS_COLS,
+        B.binary_target(B.encounters(spark, sf), B.TARGET_COL, B.TARGET_POSITIVE).alias("target"),
+        B.change_count(B.STATUS_COLS).alias("n_changed"))
+    return clean.hide_columns(e, B.STATUS_COLS, "active_status")
+
+
+# ---- derived columns ----------------------------------------------------------------------
+
+@query
+def diagnosis_groups(spark, sf):
+    """Diagnosis-like code of every line -> group."""
+    li = B.coded_lineitems(spark, sf)
+    return li.select("l_orderkey", "l_linenumber", "diag_code", D.icd9_group("diag_code").alias("diag_group"))
+
+
+@query
+def age_midpoints(spark, sf):
+    """Bracket text -> midpoint (brackets past 90-100 are unknown -> null)."""
+    return B.age_brackets(spark, sf).select("p_partkey", "age", D.age_midpoint("age").alias("age_mid"))
+
+
+@query
+def count_buckets(spark, sf):
+    """Stay-like and visit-like buckets of line values."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_discount"])
+    return li.select("l_orderkey", "l_linenumber",
+                     D.stay_bucket(F.col("l_quantity") / 5).alias("stay_bucket"),
+                     D.visit_bucket(F.col("l_linenumber") - 1).alias("visit_bucket"),
+                     D.visit_bucket(F.col("l_discount") * 20).alias("discount_bucket"))
+
+
+@query
+def code_labels(spark, sf):
+    """Terminal-code column -> dictionary label (id normalised via float)."""
+    e = B.encounters(spark, sf).select("o_orderkey", "c_nationkey")
+    return lookup.label_codes(e, "c_nationkey", B.code_labels(spark, sf), "code_label")
+
+
+@query
+def prefix_labels(spark, sf):
+    """Distinct line codes -> exact label, else the first key starting
+    with the code plus ' (category)'."""
+    li = read_table(spark, sf, "lineitem", ["l_partkey", "l_linenumber"])
+    x = F.lpad(F.col("l_partkey").cast("string"), 5, "0")
+    code = F.when(F.col("l_linenumber") > 4, F.concat(F.substring(x, 1, 3), F.lit("."), F.substring(x, 4, 1))) \
+        .otherwise(F.concat(F.substring(x, 1, 3), F.lit("."), F.substring(x, 4, 2)))
+    codes = li.select(code.alias("code")).distinct()
+    part = read_table(spark, sf, "part", ["p_partkey", "p_name"])
+    d = part.select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("key"), F.col("p_name").alias("label"))
+    return lookup.prefix_label(codes, "code", d, "description")
+
+
+@query
+def zscore_bands(spark, sf):
+    """Extended price banded against its mean and sample std (4 decimals)."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    stats = li.agg(F.round(F.avg("l_extendedprice"), 4).alias("_m"),
+                   F.round(F.stddev_samp("l_extendedprice"), 4).alias("_s"))
+    from tabmine.operators.common import attach_scalars
+    j = attach_scalars(li, stats)
+    return j.select("l_orderkey", "l_linenumber", D.zscore_band("l_extendedprice", F.col("_m"), F.col("_s"))
+                    .alias("band"))
+
+
+@query
+def itemized_rows(spark, sf):
+    """C11: encounter rows as 'col=value' items (missing skipped, price bucketed)."""
+    e = B.encounters(spark, sf)
+    cols = ["o_orderstatus", "o_orderpriority", "c_mktsegment", "st_price", "c_nationkey"]
+    items = D.itemize(cols, {"c_nationkey": D.visit_bucket})
+    return e.select("o_orderkey", F.array_join(items, "|").alias("items"))
+
+
+@query
+def run_signatures(spark, sf):
+    """Events as runs: model = event type, params = props map + user."""
+    ev = read_table(spark, sf, "events", ["event_id", "event_type", "user_id", "props"])
+    params = F.map_concat(F.from_json("props", "map<string,string>"),
+                          F.create_map(F.lit("user"), F.col("user_id").cast("string")))
+    return ev.select("event_id", D.run_signature("event_type", params).alias("signature"))
+
+
+# ---- profiling -------------------------------------------------------------------------------
+
+LINE_NZV_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_quantity", "big_qty"]
+
+
+def _lines_for_nzv(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    return li.withColumn("big_qty", F.when(F.col("l_quantity") >= 49, "Up").otherwise("No"))
+
+
+@query
+def nzv_lines(spark, sf):
+    """A1 on line columns (one pass for all columns)."""
+    return profile.nzv_metrics(_lines_for_nzv(spark, sf), LINE_NZV_COLS)
+
+
+@query
+def nzv_all_columns(spark, sf):
+    """A2: every line column, numeric columns exempt from the variance test."""
+    li = read_table(spark, sf, "lineitem")
+    return profile.nzv_metrics(li, li.columns, numeric_exempt=True)
+
+
+@query
+def nzv_summary(spark, sf):
+    """A3: dropped / kept counts of the A2 report."""
+    li = read_table(spark, sf, "lineitem")
+    return profile.nzv_summary(profile.nzv_metrics(li, li.columns, numeric_exempt=True))
+
+
+ENC_PROFILE_COLS = ["o_orderstatus", "o_orderpriority", "c_nationkey", "c_mktsegment", "st_price", "st_balance",
+                    "st_rush"]
+
+
+@query
+def dataset_overview(spark, sf):
+    """A4 on the encounter table without its keys."""
+    return profile.overview(B.encounters(spark, sf).select(*ENC_PROFILE_COLS))
+
+
+@query
+def missing_profile(spark, sf):
+    """Missing count/percent and distinct values per encounter column."""
+    e = B.encounters(spark, sf)
+    return profile.missing_profile(e).drop("col_pos")
+
+
+@query
+def numeric_summary(spark, sf):
+    """Mean, sample std, min, quartiles, max of the numeric line columns."""
+    li = read_table(spark, sf, "lineitem", ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    s = profile.numeric_summary(li)
+    return s.select("column", "mean", "std", *[_r(c) for c in ["min", "q25", "median", "q75", "max"]])
+
+
+@query
+def value_distribution(spark, sf):
+    """Value counts with their ordinal (numeric order for numeric columns)."""
+    e = B.encounters(spark, sf)
+    return profile.distribution(e, ENC_PROFILE_COLS + ["o_totalprice"])
+
+
+@query
+def cleaned_distribution(spark, sf):
+    """The same on the cleaned table, every column."""
+    return profile.distribution(_cleaned(spark, sf)[0])
+
+
+@query
+def log_scale_hints(spark, sf):
+    """C15 over the A8 distributions."""
+    e = B.encounters(spark, sf)
+    return profile.log_scale_hint(profile.distribution(e, ENC_PROFILE_COLS, ordinal=False))
+
+
+TREATMENT_KW = dict(id_cols=["o_orderkey", "o_custkey"], high_missing_cols=[], missing_category_cols=["o_orderpriority"],
+                    midpoint_cols=[], group_cols=["c_nationkey"], target="o_orderstatus")
+DESCRIPTIONS = {
+    "o_orderkey": "Order key; one row per order (the encounter key).",
+    "o_custkey": "Customer key; repeats across a customer's orders (the patient key).",
+    "o_orderstatus": "Order status; 'F' is the positive class.",
+    "o_totalprice": "Total order price.",
+    "o_orderpriority": "Order priority; '4-NOT SPECIFIED' is read as missing.",
+    "c_nationkey": "Customer nation code; labels come from the nation table.",
+    "c_mktsegment": "Customer market segment.",
+    "c_acctbal": "Customer account balance.",
+}
+
+
+@query
+def column_profile(spark, sf):
+    """A14 with C12 treatments, C17 descriptions and C7 dictionary sizes."""
+    e = B.encounters(spark, sf)
+    p = profile.column_profile(e, descriptions=DESCRIPTIONS, code_dictionary=B.code_dictionary(spark, sf),
+                               **TREATMENT_KW)
+    return p.select("column", "type", "missing_count", "missing_pct", "unique_count", "mean", "std",
+                    *[_r(c) for c in ["min", "q25", "median", "q75", "max"]], "treatment", "description",
+                    "value_mapping_size")
+
+
+@query
+def column_actions(spark, sf):
+    """KEEP / MODIFY / DROP per encounter column with its reason."""
+    e = B.encounters(spark, sf)
+    cols = spark.createDataFrame([(c,) for c in e.columns], "column string")
+    nzv = _cleaned(spark, sf)[1]
+    mods = {"o_orderpriority": "Missing token replaced with 'Unknown'.",
+            "c_nationkey": "Rows with terminal codes removed.",
+            "c_mktsegment": "Rows with the invalid segment removed.",
+            "o_orderstatus": "Target; binarised ('F' = 1)."}
+    return audit.column_actions(cols, nzv, dropped=["o_custkey"], status_columns=B.STATUS_COLS, modify_reasons=mods)
+
+
+@query
+def column_search(spark, sf):
+    """F16: profile rows whose column name contains 'ORDER' (any case)."""
+    return clean.search_columns(profile.missing_profile(B.encounters(spark, sf)).drop("col_pos"), "ORDER")
