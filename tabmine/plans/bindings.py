@@ -129,3 +129,82 @@ FROM part
 
 __all__ = ["encounters", "code_dictionary", "code_labels", "coded_lineitems", "age_brackets",
            "binary_target", "change_count", "icd9_group", "age_midpoint", "stay_bucket", "visit_bucket"]
+
+
+# --- model-ready source (P1-P5) ---------------------------------------------------------------
+MR_NUMERIC = ["o_totalprice", "c_acctbal", "c_nationkey", "n_changed", "bal_mid"]
+MR_CATEGORICAL = ["o_orderpriority", "c_mktsegment", "st_price"]
+
+
+def model_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First order per customer with the derived features: change count (C3),
+    a bracket midpoint with missing values (C2 on the balance), binary target (C4)."""
+    from tabmine.operators.clean import first_per_key
+
+    e = first_per_key(encounters(spark, sf_dir), KEY, ORDER)
+    lo = F.floor(F.col("c_acctbal") / 1000) * 10
+    bracket = F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 10).cast("string"), F.lit(")"))
+    return e.select(F.col("o_orderkey").alias("row_id"),
+                    binary_target(e, TARGET_COL, TARGET_POSITIVE).alias("target"),
+                    "o_totalprice", "c_acctbal", "c_nationkey", change_count(STATUS_COLS).alias("n_changed"),
+                    age_midpoint(bracket).alias("bal_mid"), *MR_CATEGORICAL)
+
+
+MODEL_SOURCE_SQL = """
+SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS target, o_totalprice, c_acctbal,
+       c_nationkey,
+       (CASE WHEN st_price IN ('Up', 'Down') THEN 1 ELSE 0 END) + (CASE WHEN st_balance IN ('Up', 'Down') THEN 1 ELSE 0 END)
+         + (CASE WHEN st_rush IN ('Up', 'Down') THEN 1 ELSE 0 END) AS n_changed,
+       CASE '[' || CAST(floor(c_acctbal / 1000) * 10 AS BIGINT) || '-' || CAST(floor(c_acctbal / 1000) * 10 + 10 AS BIGINT) || ')'
+         WHEN '[0-10)' THEN 5.0 WHEN '[10-20)' THEN 15.0 WHEN '[20-30)' THEN 25.0 WHEN '[30-40)' THEN 35.0
+         WHEN '[40-50)' THEN 45.0 WHEN '[50-60)' THEN 55.0 WHEN '[60-70)' THEN 65.0 WHEN '[70-80)' THEN 75.0
+         WHEN '[80-90)' THEN 85.0 WHEN '[90-100)' THEN 95.0 END AS bal_mid,
+       o_orderpriority, c_mktsegment, st_price
+FROM first
+"""
+
+
+# --- predictions of three fixed scoring rules (M11-M14, M18) ----------------------------------
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, model, label, score, prediction)``: label = returned line;
+    three rule 'models' scoring every line by discount, tax and price."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_discount", "l_tax",
+                                                 "l_extendedprice"])
+    base = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+                     (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_discount", "l_tax",
+                     "l_extendedprice")
+    stacked = base.select("row_id", "label", F.expr(
+        "stack(3, 'discount', l_discount, 0.05D, 'tax', l_tax, 0.04D, 'price', l_extendedprice, 50000.0D)"
+        " as (model, score, cut)"))
+    return stacked.select("row_id", "model", "label", "score",
+                          (F.col("score") >= F.col("cut")).cast("int").alias("prediction"))
+
+
+PREDICTIONS_SQL = """
+SELECT l_orderkey * 8 + l_linenumber AS row_id, 'discount' AS model, CAST(l_returnflag = 'R' AS INTEGER) AS label,
+       l_discount AS score, CAST(l_discount >= 0.05 AS INTEGER) AS prediction FROM lineitem
+UNION ALL
+SELECT l_orderkey * 8 + l_linenumber, 'tax', CAST(l_returnflag = 'R' AS INTEGER), l_tax,
+       CAST(l_tax >= 0.04 AS INTEGER) FROM lineitem
+UNION ALL
+SELECT l_orderkey * 8 + l_linenumber, 'price', CAST(l_returnflag = 'R' AS INTEGER), l_extendedprice,
+       CAST(l_extendedprice >= 50000.0 AS INTEGER) FROM lineitem
+"""
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as experiment runs: algorithm = user, signature = C16 of the event
+    type and its ``k`` parameter, metric = value."""
+    from tabmine.functions.derive import run_signature
+
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    params = F.from_json("props", "map<string,string>")
+    return ev.select(F.col("user_id").alias("algorithm"), run_signature("event_type", params).alias("signature"),
+                     "ts", "event_id", "value")
+
+
+RUNS_SQL = """
+SELECT user_id AS algorithm, event_type || '::k=' || json_extract_string(props, '$.k') AS signature, ts, event_id, value
+FROM events
+"""

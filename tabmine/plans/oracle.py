@@ -323,3 +323,140 @@ SELECT col AS "column",
        WHEN is_status THEN 'Sufficient variance (var=' || printf('%.4f', var) || '). Retained for modeling.'
        WHEN why IS NOT NULL THEN why ELSE 'No quality issues detected.' END AS reason
 FROM j"""
+
+# ---- encoding and splitting ----------------------------------------------------------------------
+from tabmine.plans.bindings import MODEL_SOURCE_SQL, PREDICTIONS_SQL, RUNS_SQL  # noqa: E402
+
+MR_NUM = ["o_totalprice", "c_acctbal", "c_nationkey", "n_changed", "bal_mid"]
+MR_CAT = ["o_orderpriority", "c_mktsegment", "st_price"]
+SRC = f"{FIRST}, src AS ({MODEL_SOURCE_SQL})"
+MR_BODY = (
+    "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS med_{c}" for c in MR_NUM) + " FROM src),\n"
+    "imp AS (SELECT src.*, " + ", ".join(f"coalesce({c}::DOUBLE, med_{c}) AS i_{c}" for c in MR_NUM)
+    + " FROM src, med),\n"
+    "mom AS (SELECT " + ", ".join(f"avg(i_{c}) AS m_{c}, stddev_pop(i_{c}) AS s_{c}" for c in MR_NUM) + " FROM imp),\n"
+    + ",\n".join(f"mode_{c} AS (SELECT CAST({c} AS VARCHAR) AS v FROM src WHERE {c} IS NOT NULL GROUP BY 1 "
+                 f"ORDER BY count(*) DESC, 1 LIMIT 1)" for c in MR_CAT) + ",\n"
+    "mr AS (" + "\nUNION ALL\n".join(
+        [f"SELECT row_id, '{c}' AS feature, CASE WHEN s_{c} > 0 THEN (i_{c} - m_{c}) / s_{c} ELSE 0.0 END AS value "
+         f"FROM imp, mom" for c in MR_NUM]
+        + [f"SELECT row_id, '{c}_' || coalesce(CAST({c} AS VARCHAR), (SELECT v FROM mode_{c})) AS feature, 1.0 AS value "
+           f"FROM src" for c in MR_CAT]) + ")")
+
+ORACLE_SQL["model_ready"] = f"WITH {SRC}, {MR_BODY} SELECT row_id, feature, round(value, 6) AS value FROM mr"
+
+ORACLE_SQL["encoded_groups"] = f"WITH {SRC} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_encoded FROM src" for c in MR_CAT)
+
+ORACLE_SQL["model_ready_summary"] = f"""WITH {SRC}
+SELECT count(*) AS model_ready_rows,
+       CAST(1 + {len(MR_NUM)} + {' + '.join(f'(SELECT count(DISTINCT {c}) FROM src)' for c in MR_CAT)} AS BIGINT)
+         AS model_ready_columns,
+       round(avg(target), 6) AS positive_class_rate, '{",".join(MR_NUM)}' AS numeric_columns,
+       '{",".join(MR_CAT)}' AS categorical_columns FROM src"""
+
+_MM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORACLE_SQL["minmax_scaled"] = "WITH s AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _MM) \
+    + " FROM lineitem) SELECT l_orderkey, l_linenumber, " + ", ".join(
+        f"round(CASE WHEN hi_{c} <> lo_{c} THEN ({c} - lo_{c}) / (hi_{c} - lo_{c}) ELSE 0.0 END, 6) AS {c}"
+        for c in _MM) + " FROM lineitem, s"
+
+
+def _u(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT"
+
+
+ORACLE_SQL["stratified_split"] = f"""WITH {ENC},
+r AS (SELECT o_orderkey, o_orderstatus, {_u('o_orderkey', 42)} AS h FROM enc),
+q AS (SELECT o_orderstatus, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS quota FROM r GROUP BY 1),
+k AS (SELECT r.*, row_number() OVER (PARTITION BY r.o_orderstatus ORDER BY h, o_orderkey) AS rk FROM r)
+SELECT o_orderkey, k.o_orderstatus, CASE WHEN rk <= quota THEN 'test' ELSE 'train' END AS split
+FROM k JOIN q ON k.o_orderstatus = q.o_orderstatus"""
+
+ORACLE_SQL["stratified_sample"] = f"""WITH {ENC},
+r AS (SELECT o_orderkey, o_orderstatus, {_u('o_orderkey', 101)} AS h FROM enc),
+c AS (SELECT o_orderstatus, count(*) AS cnt FROM r GROUP BY 1),
+e AS (SELECT *, cnt * 1800 / sum(cnt) OVER () AS ex FROM c),
+b AS (SELECT *, CAST(floor(ex) AS BIGINT) AS base, ex - floor(ex) AS rem FROM e),
+a AS (SELECT *, 1800 - sum(base) OVER () AS left_n, row_number() OVER (ORDER BY rem DESC, o_orderstatus) AS rk FROM b),
+q AS (SELECT o_orderstatus, base + CASE WHEN rk <= left_n THEN 1 ELSE 0 END AS quota FROM a),
+k AS (SELECT r.*, row_number() OVER (PARTITION BY r.o_orderstatus ORDER BY h, o_orderkey) AS rn FROM r)
+SELECT o_orderkey, k.o_orderstatus FROM k JOIN q ON k.o_orderstatus = q.o_orderstatus WHERE rn <= quota"""
+
+ORACLE_SQL["uniform_sample"] = f"""WITH {ENC}
+SELECT o_orderkey, o_orderstatus FROM enc ORDER BY {_u('o_orderkey', 42)}, o_orderkey LIMIT 5000"""
+
+# ---- evaluation ------------------------------------------------------------------------------------
+PRED = f"pred AS ({PREDICTIONS_SQL})"
+CM = """cm AS (SELECT model, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+                   count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+                   count(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn,
+                   count(*) FILTER (WHERE label <> 1 AND prediction <> 1) AS tn FROM pred GROUP BY model)"""
+GS = """g AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+      FROM pred GROUP BY model, score)"""
+AUC = f"""{GS},
+ga AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS UNBOUNDED PRECEDING) AS cum_neg FROM g),
+auc AS (SELECT model, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+          THEN sum(pos * (cum_neg - neg + neg / 2.0)) / (sum(pos) * sum(neg)) END AS roc_auc FROM ga GROUP BY model)"""
+
+
+def _sd(a: str, b: str) -> str:
+    return f"coalesce(({a})::DOUBLE / nullif({b}, 0), 0.0)"
+
+
+ORACLE_SQL["prediction_metrics"] = f"""WITH {PRED}, {CM}, {AUC}
+SELECT cm.model, round({_sd('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy, round({_sd('tp', 'tp + fp')}, 6) AS precision,
+       round({_sd('tp', 'tp + fn')}, 6) AS recall, round({_sd('2 * tp', '2 * tp + fp + fn')}, 6) AS f1,
+       round(roc_auc, 6) AS roc_auc
+FROM cm LEFT JOIN auc ON cm.model = auc.model"""
+
+ORACLE_SQL["confusion_matrix"] = f"""WITH {PRED},
+cells(actual, predicted) AS (VALUES (0, 0), (0, 1), (1, 0), (1, 1)),
+m AS (SELECT DISTINCT model FROM pred),
+c AS (SELECT model, label AS actual, prediction AS predicted, count(*) AS n FROM pred GROUP BY ALL)
+SELECT m.model, cells.actual, cells.predicted, coalesce(c.n, 0) AS n
+FROM m CROSS JOIN cells LEFT JOIN c ON c.model = m.model AND c.actual = cells.actual AND c.predicted = cells.predicted"""
+
+ORACLE_SQL["roc_curve"] = f"""WITH {PRED}, {GS},
+c AS (SELECT model, score, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, row_number() OVER w AS idx
+      FROM g WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT model, max(tps) AS p, max(fps) AS n, max(idx) AS last FROM c GROUP BY model),
+j AS (SELECT c.*, t.p, t.n, t.last,
+             lag(tps) OVER (PARTITION BY c.model ORDER BY idx) AS tp_prev, lag(fps) OVER (PARTITION BY c.model ORDER BY idx) AS fp_prev,
+             lead(tps) OVER (PARTITION BY c.model ORDER BY idx) AS tp_next, lead(fps) OVER (PARTITION BY c.model ORDER BY idx) AS fp_next
+      FROM c JOIN t ON c.model = t.model)
+SELECT model, CAST(0 AS BIGINT) AS idx, CAST(NULL AS DOUBLE) AS threshold, CASE WHEN n > 0 THEN 0.0 END AS fpr,
+       CASE WHEN p > 0 THEN 0.0 END AS tpr FROM t
+UNION ALL
+SELECT model, idx, round(score, 6), round(fps::DOUBLE / nullif(n, 0), 6), round(tps::DOUBLE / nullif(p, 0), 6) FROM j
+WHERE idx = 1 OR idx = last OR (fp_next - 2 * fps + fp_prev) <> 0 OR (tp_next - 2 * tps + tp_prev) <> 0"""
+
+ORACLE_SQL["mcnemar_test"] = f"""WITH {PRED},
+a AS (SELECT row_id, label, prediction AS pa FROM pred WHERE model = 'discount'),
+b AS (SELECT row_id, prediction AS pb FROM pred WHERE model = 'tax'),
+bc AS (SELECT count(*) FILTER (WHERE pa = label AND pb <> label) AS b1,
+              count(*) FILTER (WHERE pa <> label AND pb = label) AS c1 FROM a JOIN b ON a.row_id = b.row_id),
+k AS (SELECT b1, c1, b1 + c1 AS n, least(b1, c1) AS k FROM bc),
+p AS (SELECT CASE WHEN n = 0 OR 2 * k = n THEN 1.0 ELSE least(1.0, 2 * (
+        SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + n * ln(0.5))) FROM range(0, k + 1) r(i)))
+      END AS p FROM k)
+SELECT 'discount' AS best_model, 'tax' AS competitor, b1 AS best_only_correct, c1 AS competitor_only_correct,
+       n AS discordant_pairs, round(p, 6) AS exact_p_value, p < 0.05 AS significant FROM k, p"""
+
+RUNS = f"runs AS ({RUNS_SQL})"
+HIST = f"""{RUNS},
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY algorithm, signature
+           ORDER BY ts DESC, event_id DESC) AS rn FROM runs) WHERE rn = 1),
+hist AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY algorithm ORDER BY ts DESC, event_id DESC) AS rank
+         FROM latest) WHERE rank <= 12)"""
+
+ORACLE_SQL["run_history"] = f"WITH {HIST} SELECT algorithm, signature, event_id, round(value, 6) AS value, rank FROM hist"
+
+ORACLE_SQL["run_selection"] = f"""WITH {HIST},
+live AS (SELECT algorithm, signature, value, 'live' AS source FROM hist),
+ref AS (SELECT algorithm, signature, avg(value) AS value, 'reference' AS source FROM runs GROUP BY algorithm, signature),
+merged AS (SELECT * FROM live UNION ALL SELECT * FROM ref WHERE NOT EXISTS (
+             SELECT 1 FROM live WHERE live.algorithm = ref.algorithm AND live.signature = ref.signature)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY algorithm ORDER BY (signature = 'click::k=1') DESC,
+             coalesce(value, 0.0) DESC, signature DESC) AS rn FROM merged)
+SELECT algorithm, signature, round(value, 6) AS value, source FROM ranked WHERE rn = 1"""

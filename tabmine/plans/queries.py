@@ -324,3 +324,133 @@ def column_actions(spark, sf):
 def column_search(spark, sf):
     """F16: profile rows whose column name contains 'ORDER' (any case)."""
     return clean.search_columns(profile.missing_profile(B.encounters(spark, sf)).drop("col_pos"), "ORDER")
+
+
+# ---- encoding and splitting --------------------------------------------------------------------
+
+def _encoder(spark, sf):
+    from tabmine.operators.encode import fit_encoder
+
+    src = B.model_source(spark, sf)
+    return src, fit_encoder(src.drop("row_id"), target="target", numeric=B.MR_NUMERIC, categorical=B.MR_CATEGORICAL)
+
+
+@query
+def model_ready(spark, sf):
+    """Median-impute + standardise (population std) the numbers,
+    mode-impute + one-hot the categories; sparse long output."""
+    src, enc = _encoder(spark, sf)
+    return enc.transform_long(src, "row_id").select("row_id", "feature", _r("value"))
+
+
+@query
+def encoded_groups(spark, sf):
+    """One-hot width per categorical column."""
+    return _encoder(spark, sf)[1].group_counts()
+
+
+@query
+def model_ready_summary(spark, sf):
+    """P10: rows, width, positive rate and column roles."""
+    from tabmine.operators.encode import model_ready_summary as summary
+
+    src, enc = _encoder(spark, sf)
+    return summary(enc, src)
+
+
+@query
+def minmax_scaled(spark, sf):
+    """Min-max scaled numeric line columns (constant -> 0)."""
+    from tabmine.operators.encode import minmax_scale
+
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                             "l_discount", "l_tax"])
+    out = minmax_scale(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], keep=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", *[_r(c) for c in ["l_quantity", "l_extendedprice", "l_discount",
+                                                                     "l_tax"]])
+
+
+@query
+def stratified_split(spark, sf):
+    """Exact per-class 80/20 split by md5 hash of the key (seed 42)."""
+    from tabmine.operators.split import stratified_split as split
+
+    e = B.encounters(spark, sf).select("o_orderkey", "o_orderstatus")
+    return split(e, "o_orderkey", "o_orderstatus", 0.2, 42)
+
+
+@query
+def stratified_sample(spark, sf):
+    """1800 rows keeping the status ratio (largest remainder), seed 101."""
+    from tabmine.operators.split import stratified_sample as sample
+
+    e = B.encounters(spark, sf).select("o_orderkey", "o_orderstatus")
+    return sample(e, "o_orderkey", "o_orderstatus", 1800, 101)
+
+
+@query
+def uniform_sample(spark, sf):
+    """The 5000 orders with the smallest hash (seed 42)."""
+    from tabmine.operators.split import uniform_sample as sample
+
+    return sample(B.encounters(spark, sf).select("o_orderkey", "o_orderstatus"), "o_orderkey", 5000, 42)
+
+
+# ---- evaluation --------------------------------------------------------------------------------
+
+@query
+def prediction_metrics(spark, sf):
+    """M11 + M14: accuracy, precision, recall, F1, exact ROC-AUC per model."""
+    from tabmine.operators.evaluate import metrics
+
+    return metrics(B.predictions(spark, sf))
+
+
+@query
+def confusion_matrix(spark, sf):
+    """M12."""
+    from tabmine.operators.evaluate import confusion_matrix as cm
+
+    return cm(B.predictions(spark, sf))
+
+
+@query
+def roc_curve(spark, sf):
+    """ROC points per model (intermediate collinear steps dropped)."""
+    from tabmine.operators.evaluate import roc_points
+
+    return roc_points(B.predictions(spark, sf))
+
+
+@query
+def mcnemar_test(spark, sf):
+    """Exact McNemar between the discount and tax rules."""
+    from tabmine.operators.evaluate import mcnemar
+
+    return mcnemar(B.predictions(spark, sf), "discount", "tax")
+
+
+# ---- run history ---------------------------------------------------------------------------------
+
+@query
+def run_history(spark, sf):
+    """Newest run per signature, 12 newest per algorithm."""
+    from tabmine.operators.runs import run_history as history
+
+    h = history(B.runs(spark, sf), tiebreak="event_id", keep=12)
+    return h.select("algorithm", "signature", "event_id", _r("value"), "rank")
+
+
+@query
+def run_selection(spark, sf):
+    """J6 + M23: live history plus reference runs not live; per algorithm the
+    selected signature if present, else the best value."""
+    from tabmine.operators.runs import merge_runs, pick_runs, run_history as history
+
+    r = B.runs(spark, sf)
+    live = history(r, tiebreak="event_id", keep=12).select("algorithm", "signature", "value",
+                                                          F.lit("live").alias("source"))
+    ref = r.groupBy("algorithm", "signature").agg(F.avg("value").alias("value")).withColumn("source", F.lit("reference"))
+    merged = merge_runs(live, ref)
+    sel = r.select("algorithm").distinct().withColumn("signature", F.lit("click::k=1"))
+    return pick_runs(merged, "value", sel).select("algorithm", "signature", _r("value"), "source")
