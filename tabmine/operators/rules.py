@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from tabmine.operators.common import broadcast_checked
 
 
+def _bit(i):
+    """Bit ``i`` of the subset mask ``_m``."""
+    return F.col("_m").bitwiseAND(F.pow(F.lit(2), i).cast("int"))
+
+
 def _key(col):
     return F.array_join(col, "\u0001")
 
@@ -62,7 +67,7 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
                       (F.col("count") / F.lit(float(total))).alias("support"))
 
 
-def association_rules(itemsets: DataFrame, total: int | DataFrame, min_confidence: float = 0.6) -> DataFrame:
+def association_rules(itemsets: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """R2: every split of a frequent itemset (size >= 2) into a non-empty
     antecedent and consequent; confidence = count / antecedent count >=
     ``min_confidence``; lift = confidence / consequent support."""
@@ -71,8 +76,8 @@ def association_rules(itemsets: DataFrame, total: int | DataFrame, min_confidenc
                          F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("items")).cast("int") - 2)).alias("_m"))
     split = masks.select(
         "count", "support",
-        F.filter("items", lambda x, i: F.shiftright(F.col("_m"), i).bitwiseAND(F.lit(1)) == 1).alias("antecedent"),
-        F.filter("items", lambda x, i: F.shiftright(F.col("_m"), i).bitwiseAND(F.lit(1)) == 0).alias("consequent"))
+        F.filter("items", lambda x, i: _bit(i) != 0).alias("antecedent"),
+        F.filter("items", lambda x, i: _bit(i) == 0).alias("consequent"))
     lookup = broadcast_checked(itemsets.select(_key(F.col("items")).alias("_k"), F.col("count").alias("_c"),
                                                F.col("support").alias("_s")))
     a = lookup.select(F.col("_k").alias("_ak"), F.col("_c").alias("antecedent_count"))

@@ -208,3 +208,29 @@ RUNS_SQL = """
 SELECT user_id AS algorithm, event_type || '::k=' || json_extract_string(props, '$.k') AS signature, ts, event_id, value
 FROM events
 """
+
+
+# --- transactions (R1-R4) -----------------------------------------------------------------------
+BASKET_COLS = ["o_orderstatus", "o_orderpriority", "c_mktsegment", "st_price", "st_balance", "st_rush", "o_totalprice"]
+
+
+def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a transaction of 'col=value' items (C11), the price
+    bucketed like a stay length (C5 on price / 50000); missing values skipped."""
+    from tabmine.functions.derive import itemize
+
+    e = encounters(spark, sf_dir)
+    items = itemize(BASKET_COLS, {"o_totalprice": lambda c: stay_bucket(c / 50000)})
+    return e.select("o_orderkey", items.alias("items"))
+
+
+BASKETS_SQL = """
+SELECT o_orderkey AS tid, 'o_orderstatus=' || o_orderstatus AS item FROM enc WHERE o_orderstatus IS NOT NULL
+UNION ALL SELECT o_orderkey, 'o_orderpriority=' || o_orderpriority FROM enc WHERE o_orderpriority IS NOT NULL
+UNION ALL SELECT o_orderkey, 'c_mktsegment=' || c_mktsegment FROM enc WHERE c_mktsegment IS NOT NULL
+UNION ALL SELECT o_orderkey, 'st_price=' || st_price FROM enc WHERE st_price IS NOT NULL
+UNION ALL SELECT o_orderkey, 'st_balance=' || st_balance FROM enc WHERE st_balance IS NOT NULL
+UNION ALL SELECT o_orderkey, 'st_rush=' || st_rush FROM enc WHERE st_rush IS NOT NULL
+UNION ALL SELECT o_orderkey, 'o_totalprice=' || CASE WHEN o_totalprice / 50000 <= 3 THEN '1-3'
+    WHEN o_totalprice / 50000 <= 6 THEN '4-6' ELSE '7+' END FROM enc WHERE o_totalprice IS NOT NULL
+"""

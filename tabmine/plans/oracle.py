@@ -460,3 +460,84 @@ merged AS (SELECT * FROM live UNION ALL SELECT * FROM ref WHERE NOT EXISTS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY algorithm ORDER BY (signature = 'click::k=1') DESC,
              coalesce(value, 0.0) DESC, signature DESC) AS rn FROM merged)
 SELECT algorithm, signature, round(value, 6) AS value, source FROM ranked WHERE rn = 1"""
+
+# ---- association rules -----------------------------------------------------------------------------
+from tabmine.plans.bindings import BASKETS_SQL  # noqa: E402
+
+FI = f"""{ENC}, b AS (SELECT DISTINCT tid, item FROM ({BASKETS_SQL})),
+tot AS (SELECT count(*)::DOUBLE AS n FROM enc),
+l1 AS (SELECT [item] AS items, count(*) AS cnt FROM b GROUP BY item),
+l2 AS (SELECT [x.item, y.item] AS items, count(*) AS cnt FROM b x JOIN b y ON x.tid = y.tid AND x.item < y.item
+       GROUP BY x.item, y.item),
+l3 AS (SELECT [x.item, y.item, z.item] AS items, count(*) AS cnt FROM b x JOIN b y ON x.tid = y.tid AND x.item < y.item
+       JOIN b z ON y.tid = z.tid AND y.item < z.item GROUP BY x.item, y.item, z.item),
+fi AS (SELECT items, len(items) AS n_items, cnt, cnt / n AS support
+       FROM (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3), tot WHERE cnt / n >= 0.08)"""
+
+ORACLE_SQL["frequent_itemsets"] = f"""WITH {FI}
+SELECT array_to_string(items, '|') AS items, n_items, cnt AS count, round(support, 6) AS support FROM fi"""
+
+ORACLE_SQL["itemset_report"] = f"""WITH {FI}
+SELECT array_to_string(items, '|') AS items, n_items, cnt AS count, round(support, 6) AS support FROM fi
+ORDER BY n_items DESC, support DESC, items LIMIT 50"""
+
+RULES = f"""{FI},
+splits AS (
+  SELECT items, cnt, support, [items[1]] AS a, [items[2]] AS c FROM fi WHERE n_items = 2
+  UNION ALL SELECT items, cnt, support, [items[2]], [items[1]] FROM fi WHERE n_items = 2
+  UNION ALL SELECT items, cnt, support, [items[1]], [items[2], items[3]] FROM fi WHERE n_items = 3
+  UNION ALL SELECT items, cnt, support, [items[2]], [items[1], items[3]] FROM fi WHERE n_items = 3
+  UNION ALL SELECT items, cnt, support, [items[3]], [items[1], items[2]] FROM fi WHERE n_items = 3
+  UNION ALL SELECT items, cnt, support, [items[1], items[2]], [items[3]] FROM fi WHERE n_items = 3
+  UNION ALL SELECT items, cnt, support, [items[1], items[3]], [items[2]] FROM fi WHERE n_items = 3
+  UNION ALL SELECT items, cnt, support, [items[2], items[3]], [items[1]] FROM fi WHERE n_items = 3),
+rules AS (SELECT s.a AS antecedent, s.c AS consequent, s.support, s.cnt / fa.cnt AS confidence,
+                 (s.cnt / fa.cnt) / fc.support AS lift, s.cnt AS count
+          FROM splits s JOIN fi fa ON fa.items = s.a JOIN fi fc ON fc.items = s.c
+          WHERE s.cnt / fa.cnt >= 0.6)"""
+
+ORACLE_SQL["association_rules"] = f"""WITH {RULES}
+SELECT array_to_string(antecedent, '|') AS antecedent, array_to_string(consequent, '|') AS consequent,
+       round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, count FROM rules"""
+
+ORACLE_SQL["rules_report"] = f"""WITH {RULES}
+SELECT array_to_string(antecedent, '|') AS antecedent, array_to_string(consequent, '|') AS consequent,
+       round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, count FROM rules
+ORDER BY lift DESC, confidence DESC, support DESC, antecedent, consequent LIMIT 25"""
+
+# ---- feature scoring ----------------------------------------------------------------------------------
+SCORES = f"""{SRC}, {MR_BODY},
+lab AS (SELECT row_id, target AS label FROM src),
+classes AS (SELECT label, count(*) AS n_c FROM lab GROUP BY label),
+tot AS (SELECT sum(n_c) AS N FROM classes),
+j AS (SELECT mr.*, lab.label FROM mr JOIN lab ON mr.row_id = lab.row_id),
+fc AS (SELECT feature, label, count(*) AS cnt_c, sum(value) AS s_c FROM j GROUP BY feature, label),
+fx AS (SELECT feature, count(*) AS cnt, min(value) AS min_p, max(value) AS max_p FROM mr GROUP BY feature),
+feat AS (SELECT feature, cnt, N, CASE WHEN cnt < N THEN least(min_p, 0.0) ELSE min_p END AS lo,
+                CASE WHEN cnt < N THEN greatest(max_p, 0.0) ELSE max_p END AS hi FROM fx, tot),
+grid AS (SELECT feat.*, classes.label, classes.n_c, coalesce(fc.cnt_c, 0) AS cnt_c, coalesce(fc.s_c, 0.0) AS s_c
+         FROM feat CROSS JOIN classes LEFT JOIN fc ON fc.feature = feat.feature AND fc.label = classes.label),
+o AS (SELECT *, CASE WHEN hi - lo > 0 THEN (s_c - n_c * lo) / (hi - lo) ELSE 0.0 END AS O FROM grid),
+e AS (SELECT *, n_c / N * sum(O) OVER (PARTITION BY feature) AS E FROM o),
+chi AS (SELECT feature, CASE WHEN count(*) FILTER (WHERE E > 0) = count(*)
+          THEN sum(CASE WHEN E > 0 THEN (O - E) ^ 2 / E END) ELSE 0.0 END AS score FROM e GROUP BY feature),
+binned AS (SELECT j.feature, j.label, CASE WHEN hi - lo > 0 THEN least(floor((value - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b
+           FROM j JOIN feat ON j.feature = feat.feature),
+present AS (SELECT feature, label, b, count(*) AS n_bc FROM binned GROUP BY ALL),
+absent AS (SELECT feature, label, CASE WHEN hi - lo > 0 THEN least(floor((0.0 - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b,
+                  n_c - cnt_c AS n_bc FROM grid WHERE n_c - cnt_c > 0),
+cells AS (SELECT feature, label, b, sum(n_bc) AS n_bc FROM (SELECT * FROM present UNION ALL SELECT * FROM absent) GROUP BY ALL),
+nb AS (SELECT feature, b, sum(n_bc) AS n_b FROM cells GROUP BY ALL),
+mi AS (SELECT cells.feature, coalesce(sum(n_bc / N * ln(n_bc * N / (n_b * n_c))), 0.0) AS score
+       FROM cells JOIN nb ON cells.feature = nb.feature AND cells.b = nb.b JOIN classes ON cells.label = classes.label, tot
+       GROUP BY cells.feature),
+scores AS (SELECT 'mutual_information' AS method, feature, score FROM mi
+           UNION ALL SELECT 'chi_square', feature, score FROM chi),
+top AS (SELECT * FROM (SELECT method, CAST(row_number() OVER (PARTITION BY method ORDER BY score DESC, feature) AS INTEGER)
+          AS rank, feature, round(score, 6) AS score FROM scores) WHERE rank <= 20)"""
+
+ORACLE_SQL["feature_scores"] = f"WITH {SCORES} SELECT * FROM top"
+
+ORACLE_SQL["feature_summary"] = f"""WITH {SCORES}
+SELECT method, arg_min(feature, rank) AS best_feature, arg_min(score, rank) AS best_score,
+       string_agg(feature, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS top_features FROM top GROUP BY method"""

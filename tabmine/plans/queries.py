@@ -454,3 +454,78 @@ def run_selection(spark, sf):
     merged = merge_runs(live, ref)
     sel = r.select("algorithm").distinct().withColumn("signature", F.lit("click::k=1"))
     return pick_runs(merged, "value", sel).select("algorithm", "signature", _r("value"), "source")
+
+
+# ---- association rules ---------------------------------------------------------------------------
+
+def _itemsets(spark, sf):
+    from tabmine.operators.rules import frequent_itemsets as fi
+
+    return fi(B.baskets(spark, sf), "items", 0.08, 3)
+
+
+def _joined(col):
+    return F.array_join(F.col(col), "|").alias(col)
+
+
+@query
+def frequent_itemsets(spark, sf):
+    """Every itemset (<= 3 items) with support >= 0.08."""
+    s = _itemsets(spark, sf)
+    return s.select(_joined("items"), "n_items", "count", _r("support"))
+
+
+@query
+def itemset_report(spark, sf):
+    """50 itemsets, longest first, then by support and items."""
+    from tabmine.operators.rules import top_itemsets
+
+    return top_itemsets(_itemsets(spark, sf), 50).select(_joined("items"), "n_items", "count", "support")
+
+
+@query
+def association_rules(spark, sf):
+    """R2: all rules with confidence >= 0.6 (multi-item consequents included)."""
+    from tabmine.operators.rules import association_rules as ar
+
+    s = _itemsets(spark, sf)
+    r = ar(s, 0.6)
+    return r.select(_joined("antecedent"), _joined("consequent"), _r("support"), _r("confidence"), _r("lift"), "count")
+
+
+@query
+def rules_report(spark, sf):
+    """Top 25 rules by lift, confidence, support."""
+    from tabmine.operators.rules import association_rules as ar, top_rules
+
+    r = top_rules(ar(_itemsets(spark, sf), 0.6), 25)
+    return r.select(_joined("antecedent"), _joined("consequent"), "support", "confidence", "lift", "count")
+
+
+# ---- feature scoring -----------------------------------------------------------------------------
+
+def _scores(spark, sf):
+    from tabmine.operators.select import chi_square, mutual_information
+
+    src, enc = _encoder(spark, sf)
+    feats = enc.transform_long(src, "row_id").persist()
+    labels = src.select("row_id", F.col("target").alias("label"))
+    mi = mutual_information(feats, labels).withColumn("method", F.lit("mutual_information"))
+    chi = chi_square(feats, labels).withColumn("method", F.lit("chi_square"))
+    return mi.unionByName(chi)
+
+
+@query
+def feature_scores(spark, sf):
+    """FS1 + FS2 + FS5: top 20 features per method."""
+    from tabmine.operators.select import top_features
+
+    return top_features(_scores(spark, sf), 20)
+
+
+@query
+def feature_summary(spark, sf):
+    """FS7: best feature, its score and the top five per method."""
+    from tabmine.operators.select import method_summary, top_features
+
+    return method_summary(top_features(_scores(spark, sf), 20))
