@@ -28,11 +28,19 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how:
     return df.join(broadcast_checked(lookup, max_rows), on=on, how=how)
 
 
+def scalars(one_row: DataFrame) -> dict:
+    """Values of a one-row aggregate (fitted parameters), fetched to the driver:
+    one row by construction, like a fitted model's coefficients."""
+    row = one_row.first()
+    return row.asDict() if row is not None else {c: None for c in one_row.columns}
+
+
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate to every row (broadcast equi-join
-    on a constant key; the right side is one row by construction)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), on="_one", how="left").drop("_one"))
+    """Append the values of a one-row aggregate to every row as literals, so the
+    consuming projection stays a codegen'd scan with no join."""
+    vals = scalars(one_row)
+    types = {f.name: f.dataType for f in one_row.schema.fields}
+    return df.select("*", *[F.lit(v).cast(types[k]).alias(k) for k, v in vals.items()])
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],

@@ -46,22 +46,24 @@ class EncoderModel:
         staged = j.select(*cols, *num, *cat, *[F.col(p) for p in keep_params])
         return staged.select(*cols, *scaled, *[F.col(c) for c in self.categorical])
 
-    def transform_long(self, df: DataFrame, row_id: str) -> DataFrame:
-        """Sparse long form ``(row_id, feature, value)``; numeric features always
-        present, one-hot features only where the level is present and known."""
+    def transform_long(self, df: DataFrame, row_id: str, keep: Sequence[str] = ()) -> DataFrame:
+        """Sparse long form ``(row_id, *keep, feature, value)``; numeric features
+        always present, one-hot features only where the level is present and
+        known.  ``keep`` carries per-row columns (e.g. the label) along."""
         imp = self._imputed(df)
+        ids = [F.col(row_id).alias("row_id"), *[F.col(k) for k in keep]]
         parts = []
         if self.numeric:
             stack = "stack({n}, {a}) as (feature, value)".format(
                 n=len(self.numeric), a=", ".join(f"'{c}', `{c}`" for c in self.numeric))
-            parts.append(imp.select(F.col(row_id).alias("row_id"), F.expr(stack)))
+            parts.append(imp.select(*ids, F.expr(stack)))
         if self.categorical:
             stack = "stack({n}, {a}) as (column, level)".format(
                 n=len(self.categorical), a=", ".join(f"'{c}', `{c}`" for c in self.categorical))
-            cat = imp.select(F.col(row_id).alias("row_id"), F.expr(stack)).where(F.col("level").isNotNull())
+            cat = imp.select(*ids, F.expr(stack)).where(F.col("level").isNotNull())
             known = broadcast_checked(self.levels.select("column", "level"))
             parts.append(cat.join(known, ["column", "level"], "left_semi")
-                         .select("row_id", F.concat(F.col("column"), F.lit("_"), F.col("level")).alias("feature"),
+                         .select("row_id", *keep, F.concat(F.col("column"), F.lit("_"), F.col("level")).alias("feature"),
                                  F.lit(1.0).alias("value")))
         out = parts[0]
         for p in parts[1:]:

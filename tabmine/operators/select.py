@@ -1,77 +1,83 @@
 """Feature scoring (FS1, FS2, FS5, FS7) on the sparse long feature table
-``(row_id, feature, value)`` (absent = 0) joined to ``(row_id, label)``.
+``(row_id, label, feature, value)`` (absent entries are 0).
 
-Both scores need only per-(feature, class) sums and counts of the present
-entries plus the class sizes, so the work is one partially aggregated
-``groupBy(feature, class)`` over the long table: no dense matrix, no pairs."""
+Both scores come from one partially aggregated ``groupBy(feature, class, bin)``
+over the long table (count and sum of the present entries) plus the class
+sizes; the absent (zero) entries are added back per (feature, class) from the
+class sizes.  No dense matrix, no row pairs, no join on row id."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import broadcast_checked
+from tabmine.operators.common import attach_scalars, broadcast_checked
+from tabmine.session import cut_lineage
 
 
-def _per_class(features: DataFrame, labels: DataFrame, label: str = "label") -> tuple[DataFrame, DataFrame]:
-    """Per (feature, class): n present, sum; per feature: min/max/present over
-    all rows (absent entries count as 0); plus the class sizes."""
-    classes = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    classes = broadcast_checked(classes)
-    j = features.join(labels, "row_id")
-    fc = j.groupBy("feature", label).agg(F.count(F.lit(1)).alias("cnt_c"), F.sum("value").alias("s_c"))
-    f = fc.groupBy("feature").agg(F.sum("cnt_c").alias("cnt"))
-    ext = features.groupBy("feature").agg(F.min("value").alias("min_p"), F.max("value").alias("max_p"))
+def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
+    """``(feature, label, b, n_bc, s_bc, n_c, N, lo, hi)`` for every (feature,
+    class, bin) with rows, absent zeros included.  Features are cut into
+    ``bins`` equal-width bins over [lo, hi] (lo/hi include 0 when a feature is
+    absent somewhere)."""
+    long = cut_lineage(long)
+    classes = long.select("row_id", label).distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n_c")).cache()
     total = classes.agg(F.sum("n_c").alias("N"))
-    feat = f.join(ext, "feature").withColumn("_one", F.lit(1)).join(
-        F.broadcast(total.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    feat = feat.select("feature", "cnt", "N",
-                       F.when(F.col("cnt") < F.col("N"), F.least("min_p", F.lit(0.0))).otherwise(F.col("min_p"))
-                       .alias("lo"),
-                       F.when(F.col("cnt") < F.col("N"), F.greatest("max_p", F.lit(0.0))).otherwise(F.col("max_p"))
-                       .alias("hi"))
-    grid = feat.withColumn("_one", F.lit(1)).join(classes.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    grid = grid.join(fc, ["feature", label], "left").fillna({"cnt_c": 0, "s_c": 0.0})
-    return grid, classes
-
-
-def chi_square(features: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    ext = attach_scalars(long.groupBy("feature").agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("min_p"),
+                                                     F.max("value").alias("max_p")), total)
+    lohi = ext.select("feature", "N",
+                      F.when(F.col("cnt") < F.col("N"), F.least("min_p", F.lit(0.0))).otherwise(F.col("min_p")).alias("lo"),
+                      F.when(F.col("cnt") < F.col("N"), F.greatest("max_p", F.lit(0.0))).otherwise(F.col("max_p"))
+                      .alias("hi"))
+    lohi = broadcast_checked(lohi.cache())
+    rng = F.col("hi") - F.col("lo")
+
+    def bin_of(x):
+        return F.when(rng > 0, F.least(F.floor((x - F.col("lo")) / rng * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+
+    present = cut_lineage(long.join(lohi, "feature").groupBy("feature", label, bin_of(F.col("value")).alias("b"))
+                          .agg(F.count(F.lit(1)).alias("n_bc"), F.sum("value").alias("s_bc")))
+    per_fc = present.groupBy("feature", label).agg(F.sum("n_bc").alias("cnt_c"))
+    grid = (lohi.withColumn("_one", F.lit(1)).join(F.broadcast(classes.withColumn("_one", F.lit(1))), "_one")
+            .drop("_one").join(per_fc, ["feature", label], "left").fillna({"cnt_c": 0}))
+    absent = grid.select("feature", label, bin_of(F.lit(0.0)).alias("b"),
+                         (F.col("n_c") - F.col("cnt_c")).alias("n_bc"), F.lit(0.0).alias("s_bc")) \
+        .where(F.col("n_bc") > 0)
+    cells = present.unionByName(absent).groupBy("feature", label, "b").agg(F.sum("n_bc").alias("n_bc"),
+                                                                            F.sum("s_bc").alias("s_bc"))
+    return cells.join(F.broadcast(classes), label).join(lohi, "feature")
+
+
+def chi_square(cells: DataFrame, label: str = "label") -> DataFrame:
     """FS2: chi-square of min-max scaled features against the class:
     O_c = scaled sum in class c, E_c = class share * scaled total,
-    score = sum (O - E)^2 / E; undefined (E = 0) -> 0."""
-    grid, _ = _per_class(features, labels, label)
+    score = sum (O - E)^2 / E; undefined (some E = 0) -> 0."""
+    per = cells.groupBy("feature", label).agg(F.sum("s_bc").alias("s_c"), F.first("n_c").alias("n_c"),
+                                              F.first("N").alias("N"), F.first("lo").alias("lo"),
+                                              F.first("hi").alias("hi"))
     rng = F.col("hi") - F.col("lo")
-    o = F.when(rng > 0, (F.col("s_c") - F.col("n_c") * F.col("lo")) / rng).otherwise(F.lit(0.0))
-    g = grid.withColumn("O", o)
-    w = Window.partitionBy("feature")
-    g = g.withColumn("E", F.col("n_c") / F.col("N") * F.sum("O").over(w))
+    g = per.withColumn("O", F.when(rng > 0, (F.col("s_c") - F.col("n_c") * F.col("lo")) / rng).otherwise(F.lit(0.0)))
+    g = g.withColumn("E", F.col("n_c") / F.col("N") * F.sum("O").over(Window.partitionBy("feature")))
     term = F.when(F.col("E") > 0, (F.col("O") - F.col("E")) ** 2 / F.col("E"))
     s = g.groupBy("feature").agg(F.sum(term).alias("_s"), F.count_if(F.col("E") > 0).alias("_ok"),
                                  F.count(F.lit(1)).alias("_k"))
     return s.select("feature", F.when(F.col("_ok") == F.col("_k"), F.col("_s")).otherwise(F.lit(0.0)).alias("score"))
 
 
-def mutual_information(features: DataFrame, labels: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
-    """FS1 (plug-in estimate, natural log): each feature is cut into ``bins``
-    equal-width bins over [min, max] (a 0/1 feature has two bins), then
+def mutual_information(cells: DataFrame, label: str = "label") -> DataFrame:
+    """FS1 (plug-in estimate, natural log, equal-width bins):
     MI = sum p(b,c) ln(p(b,c) / (p(b) p(c)))."""
-    grid, classes = _per_class(features, labels, label)
-    lo_hi = grid.select("feature", "lo", "hi", "N").distinct()
-    rng = F.col("hi") - F.col("lo")
+    n_b = F.sum("n_bc").over(Window.partitionBy("feature", "b"))
+    c = cells.withColumn("n_b", n_b)
+    term = F.col("n_bc") / F.col("N") * F.log(F.col("n_bc") * F.col("N") / (F.col("n_b") * F.col("n_c")))
+    return c.groupBy("feature").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("score"))
 
-    def bin_of(x):
-        return F.when(rng > 0, F.least(F.floor((x - F.col("lo")) / rng * bins), F.lit(bins - 1))).otherwise(F.lit(0))
 
-    present = (features.join(labels, "row_id").join(lo_hi, "feature")
-               .groupBy("feature", label, bin_of(F.col("value")).alias("b"))
-               .agg(F.count(F.lit(1)).alias("n_bc")))
-    absent = grid.select("feature", label, bin_of(F.lit(0.0)).alias("b"),
-                         (F.col("n_c") - F.col("cnt_c")).alias("n_bc")).where(F.col("n_bc") > 0)
-    cells = present.unionByName(absent).groupBy("feature", label, "b").agg(F.sum("n_bc").alias("n_bc"))
-    n_b = cells.groupBy("feature", "b").agg(F.sum("n_bc").alias("n_b"))
-    j = cells.join(n_b, ["feature", "b"]).join(classes, label).join(lo_hi.select("feature", "N"), "feature")
-    term = F.col("n_bc") / F.col("N") * F.log(F.col("n_bc") * F.col("N") / (F.col("n_b") * F.col("n_c")))
-    return j.groupBy("feature").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("score"))
+def feature_scores(long: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
+    """``(method, feature, score)`` for both methods from one cell table."""
+    cells = cut_lineage(feature_class_cells(long, label, bins))
+    return (mutual_information(cells, label).withColumn("method", F.lit("mutual_information"))
+            .unionByName(chi_square(cells, label).withColumn("method", F.lit("chi_square"))))
 
 
 def top_features(scores: DataFrame, n: int = 20, digits: int = 6) -> DataFrame:

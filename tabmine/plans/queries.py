@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tabmine.functions import derive as D
 from tabmine.operators import audit, clean, lookup, profile
 from tabmine.plans import bindings as B
+from tabmine.session import cut_lineage
 from tabmine.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -331,7 +332,7 @@ def column_search(spark, sf):
 def _encoder(spark, sf):
     from tabmine.operators.encode import fit_encoder
 
-    src = B.model_source(spark, sf)
+    src = cut_lineage(B.model_source(spark, sf))  # fitted on, transformed and scored: computed once
     return src, fit_encoder(src.drop("row_id"), target="target", numeric=B.MR_NUMERIC, categorical=B.MR_CATEGORICAL)
 
 
@@ -505,14 +506,11 @@ def rules_report(spark, sf):
 # ---- feature scoring -----------------------------------------------------------------------------
 
 def _scores(spark, sf):
-    from tabmine.operators.select import chi_square, mutual_information
+    from tabmine.operators.select import feature_scores as scores
 
     src, enc = _encoder(spark, sf)
-    feats = enc.transform_long(src, "row_id").persist()
-    labels = src.select("row_id", F.col("target").alias("label"))
-    mi = mutual_information(feats, labels).withColumn("method", F.lit("mutual_information"))
-    chi = chi_square(feats, labels).withColumn("method", F.lit("chi_square"))
-    return mi.unionByName(chi)
+    long = enc.transform_long(src.withColumnRenamed("target", "label"), "row_id", keep=["label"])
+    return scores(long, "label")
 
 
 @query
