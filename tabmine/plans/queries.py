@@ -527,3 +527,199 @@ def feature_summary(spark, sf):
     from tabmine.operators.select import method_summary, top_features
 
     return method_summary(top_features(_scores(spark, sf), 20))
+
+
+# ---- classifiers and experiments ----------------------------------------------------------------
+
+def _lab(spark, sf):
+    from tabmine.operators.lab import prepare
+
+    src, enc = _encoder(spark, sf)
+    return prepare(src, enc, "row_id", "target")
+
+
+def _metric_cols(df):
+    return df.select("model", "algorithm", "accuracy", "precision", "recall", "f1", "roc_auc", "note")
+
+
+@query
+def naive_bayes(spark, sf):
+    """M6: Gaussian naive Bayes (variance smoothing 1e-9) on the split, metrics."""
+    from tabmine.operators.evaluate import metrics
+    from tabmine.operators.models import gaussian_nb
+
+    d = _lab(spark, sf)
+    return metrics(gaussian_nb(d.train_long, d.test_long, 1e-9))
+
+
+@query
+def lab_experiment(spark, sf):
+    """One experiment (decision tree, depth 8, leaf 20) with its metrics
+    and the sample sizes."""
+    from tabmine.operators.lab import _runs_frame, run_experiment
+
+    d = _lab(spark, sf)
+    pred, _, note = run_experiment(d, "Decision Tree", {"max_depth": 8, "min_samples_leaf": 20})
+    runs = _runs_frame(spark, [("Decision Tree", {"max_depth": 8, "min_samples_leaf": 20}, pred, note)])
+    sizes = d.train.agg(F.count(F.lit(1)).alias("train_rows"), F.round(F.avg("label"), 6).alias("positive_rate_train"))
+    from tabmine.operators.common import attach_scalars
+
+    return attach_scalars(_metric_cols(runs), sizes)
+
+
+@query
+def baseline_models(spark, sf):
+    """Logistic regression, random forest, gradient boosting and boosted
+    trees on one split; best and closest competitor flagged."""
+    from tabmine.operators.lab import baseline
+
+    runs, _ = baseline(_lab(spark, sf))
+    return runs.select("model", "algorithm", "accuracy", "precision", "recall", "f1", "roc_auc", "is_best",
+                       "is_competitor", "note")
+
+
+@query
+def baseline_significance(spark, sf):
+    """M18 on the M19 best model and its closest competitor."""
+    from tabmine.operators.lab import baseline
+
+    return baseline(_lab(spark, sf))[1]
+
+
+@query
+def model_lab(spark, sf):
+    """The full hyper-parameter grid (33 runs; k-NN reported unavailable),
+    best per algorithm marked."""
+    from tabmine.operators.lab import LAB_UNAVAILABLE, best_per_algorithm, lab_specs, run_grid
+
+    runs = run_grid(_lab(spark, sf), lab_specs())
+    best = best_per_algorithm(runs).select(F.col("best_model").alias("model"), F.lit(True).alias("is_best"))
+    out = runs.join(best, "model", "left").fillna({"is_best": False})
+    missing = spark.createDataFrame([(k, v) for k, v in LAB_UNAVAILABLE.items()], "algorithm string, note string")
+    return _metric_cols(out.drop("note").withColumn("note", F.lit(""))).withColumn(
+        "is_best", F.col("model").isin([r["model"] for r in best.collect()])).unionByName(
+        missing.select(F.lit(None).cast("string").alias("model"), "algorithm",
+                       *[F.lit(None).cast("double").alias(c) for c in ("accuracy", "precision", "recall", "f1",
+                                                                       "roc_auc")],
+                       "note", F.lit(False).alias("is_best")))
+
+
+@query
+def feature_rankings(spark, sf):
+    """FS1-FS5: top 20 features by mutual information, chi-square, forest
+    importance and absolute logistic coefficient."""
+    from tabmine.operators.lab import importance_rankings
+    from tabmine.operators.select import top_features
+
+    return top_features(_scores(spark, sf).unionByName(importance_rankings(_lab(spark, sf))), 20)
+
+
+@query
+def subset_experiments(spark, sf):
+    """FS6: logistic regression and random forest on each method's top-20 set."""
+    from tabmine.operators.lab import importance_rankings, subset_experiments as subsets
+    from tabmine.operators.select import top_features
+
+    d = _lab(spark, sf)
+    top = top_features(_scores(spark, sf).unionByName(importance_rankings(d)), 20)
+    sets: dict[str, list[str]] = {}
+    for r in top.orderBy("method", "rank").collect():          # 4 x 20 names
+        sets.setdefault(f"{r['method']}_top20", []).append(r["feature"])
+    runs = subsets(d, sets)
+    return runs.select("feature_set", "algorithm", "accuracy", "precision", "recall", "f1", "roc_auc")
+
+
+@query
+def model_coefficients(spark, sf):
+    """M15 + M16: 12 most positive / negative logistic coefficients and the 15
+    largest forest importances."""
+    from tabmine.operators import models as M
+
+    d = _lab(spark, sf)
+    lr = M.fit_classifier("Logistic Regression", {"C": 1.0}, d.train, d.test, len(d.names))
+    rf = M.fit_classifier("Random Forest", {"n_estimators": 160, "max_depth": 12, "min_samples_leaf": 25},
+                          d.train, d.test, len(d.names))
+    c = M.top_coefficients(M.coefficients(lr.model, d.names, spark)).select(
+        "side", "feature", F.col("coefficient").alias("value"))
+    i = M.top_importances(M.importances(rf.model, d.names, spark)).select(
+        F.lit("importance").alias("side"), "feature", F.col("importance").alias("value"))
+    return c.unionByName(i)
+
+
+# ---- clustering ---------------------------------------------------------------------------------
+
+def _coords(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+
+    from tabmine.operators.cluster import pca_2d
+
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    vec = emb.select(F.col("vec_id").alias("row_id"), array_to_vector(F.col("embedding").cast("array<double>"))
+                     .alias("features"))
+    coords, ratios = pca_2d(vec, standardize=True)
+    return cut_lineage(coords), ratios
+
+
+@query
+def pca_projection(spark, sf):
+    """K1: 2-component PCA of the embeddings (centred, sign-fixed) with the
+    explained variance ratios."""
+    coords, ratios = _coords(spark, sf)
+    return coords.select("row_id", _r("x"), _r("y"), F.lit(round(ratios[0], 6)).alias("ratio_1"),
+                         F.lit(round(ratios[1], 6)).alias("ratio_2"))
+
+
+def _labels_y(spark, sf):
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "label"])
+    return emb.select(F.col("vec_id").alias("row_id"), (F.col("label") % 2).alias("y"))
+
+
+@query
+def cluster_runs(spark, sf):
+    """K2, K3, K5, K6: k-means (best of 10 seeds) and Ward for k = 2..8 on the
+    PCA coordinates: cluster count, noise count, squared-Euclidean silhouette."""
+    from tabmine.operators.cluster import kmeans_labels, run_overview, silhouette_sq, ward_labels
+
+    coords, _ = _coords(spark, sf)
+    out = None
+    for k in range(2, 9):
+        for method, fn in (("kmeans", lambda: kmeans_labels(coords, k)), ("hierarchical", lambda: ward_labels(coords, k))):
+            lab = cut_lineage(fn())
+            o = run_overview(lab, silhouette_sq(coords, lab), str(k), method)
+            out = o if out is None else out.unionByName(o)
+    return out.select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
+
+
+@query
+def dbscan_runs(spark, sf):
+    """K4-K7: DBSCAN over eps {.35,.45,.55,.65} x min_samples {10,15,20};
+    runs with fewer than two clusters dropped; per-run summary."""
+    from tabmine.operators.cluster import dbscan_labels, run_overview, silhouette_sq
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    coords, _ = _coords(spark, sf)
+
+    def one(cfg):
+        eps, ms = cfg
+        lab = cut_lineage(dbscan_labels(coords, eps, ms))
+        return cut_lineage(run_overview(lab, silhouette_sq(coords, lab), f"eps={eps}|min_samples={ms}", "dbscan"))
+
+    grid = [(eps, ms) for eps in (0.35, 0.45, 0.55, 0.65) for ms in (10, 15, 20)]
+    with ThreadPoolExecutor(max_workers=4) as pool:          # configurations run concurrently
+        parts = list(pool.map(one, grid))
+    out = parts[0]
+    for o in parts[1:]:
+        out = out.unionByName(o)
+    return out.where("cluster_count >= 2").select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
+
+
+@query
+def cluster_points(spark, sf):
+    """K-means (k=4) labels of the PCA points with the class;
+    size and class rate per cluster."""
+    from tabmine.operators.cluster import kmeans_labels, summarize
+
+    coords, _ = _coords(spark, sf)
+    lab = kmeans_labels(coords, 4)
+    return summarize(lab, _labels_y(spark, sf), "kmeans k=4")
