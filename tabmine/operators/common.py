@@ -22,10 +22,13 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Dictionary join, broadcast when the dictionary is proven small."""
-    return df.join(broadcast_checked(lookup, max_rows), on=on, how=how)
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:
+    """Dictionary / parameter-table join with no hint: adaptive execution
+    measures the lookup side when its shuffle stage finishes and switches to a
+    broadcast hash join only if that measured size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; a larger side stays a
+    shuffle join.  (A row count up front would re-run the lookup's whole plan.)"""
+    return df.join(lookup, on=on, how=how)
 
 
 def scalars(one_row: DataFrame) -> dict:

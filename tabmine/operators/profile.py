@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabmine.operators.common import attach_scalars, lookup_join, prefix_sums
+from tabmine.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Treatment names of the per-column decision list.
@@ -70,7 +71,9 @@ def nzv_metrics(df: DataFrame, columns: Sequence[str], fr_threshold: float = 20.
     FR missing, UP 0, variance 0, p 1 and is dropped."""
     spark = df.sparkSession
     vc = counts if counts is not None else value_counts_long(df, columns)
-    cc = vc.groupBy("column", "cnt").agg(F.count(F.lit(1)).alias("n_vals"))
+    # count-of-counts: tiny (<= distinct count values per column); pinned so the
+    # size checks and the final query do not re-run the value counting
+    cc = cut_lineage(vc.groupBy("column", "cnt").agg(F.count(F.lit(1)).alias("n_vals")))
     rk = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("cnt")))
     top2 = cc.withColumn("_rk", rk).where(F.col("_rk") <= 2)
     per = top2.groupBy("column").agg(
@@ -137,7 +140,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, counts:
         n=len(cols), args=", ".join(f"{i}, m{i}" for i in range(len(cols)))))
     miss = agg.select("_rows", stack)
     vc = counts if counts is not None else value_counts_long(raw if raw is not None else df, cols)
-    uniq = vc.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count"))
+    uniq = cut_lineage(vc.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count")))
     names = _names(spark, cols, df)
     out = lookup_join(lookup_join(names, miss, "col_pos"), uniq, "column")
     return out.select("column", "col_pos", "is_numeric", F.col("missing_count").cast("bigint").alias("missing_count"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabmine.operators.common import broadcast_checked
+from tabmine.session import cut_lineage
 
 
 def _bit(i):
@@ -31,40 +32,50 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
                       max_length: int = 3) -> DataFrame:
     """``(items array<string>, n_items, count, support)`` for every itemset
     with count / transactions >= ``min_support`` and at most ``max_length`` items.
-    Duplicate items in a transaction count once; an empty table gives no rows."""
+    Duplicate items in a transaction count once; an empty table gives no rows.
+
+    Frequent items get integer ids in item order; an itemset of ids
+    i1 < i2 < ... is packed into one long ``key = (((i1) * B + i2) * B + ...)``
+    with ``B`` = number of frequent items + 1, so each level groups on a long."""
     spark = tx.sparkSession
     schema = "items array<string>, n_items int, count bigint, support double"
-    baskets = tx.select(F.array_sort(F.array_distinct(F.col(items))).alias("basket"))
+    baskets = cut_lineage(tx.select(F.array_distinct(F.col(items)).alias("basket")))
     total = baskets.count()
     if total == 0:
         return spark.createDataFrame([], schema)
-
+    ratio = F.lit(float(total))
     singles = (baskets.select(F.explode("basket").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-               .where(F.col("count") / F.lit(float(total)) >= F.lit(min_support)))
-    frequent_items = sorted(r["item"] for r in singles.select("item").collect())
-    levels = [singles.select(F.array("item").alias("items"), "count")]
-    if frequent_items and max_length > 1:
-        lit_items = F.array(*[F.lit(i) for i in frequent_items])
-        pruned = baskets.select(F.array_intersect("basket", lit_items).alias("basket")) \
-            .where(F.size("basket") >= 2)
-        rows = pruned.select("basket", F.explode("basket").alias("_x")).select("basket", F.array("_x").alias("itemset"))
+               .where(F.col("count") / ratio >= F.lit(min_support)))
+    single_rows = sorted((r["item"], r["count"]) for r in singles.collect())   # bounded: items / min_support
+    names = [i for i, _ in single_rows]
+    levels = [spark.createDataFrame([([i], 1, c) for i, c in single_rows], "items array<string>, n_items int, count bigint")]
+    base = len(names) + 1
+    if names and max_length > 1 and base ** max_length < 2 ** 62:
+        ids = F.create_map(*[x for k, n in enumerate(names, start=1) for x in (F.lit(n), F.lit(k))])
+        coded = baskets.select(F.array_sort(F.filter(F.transform("basket", lambda x: F.element_at(ids, x)),
+                                                     lambda x: x.isNotNull())).alias("b")).where(F.size("b") >= 2)
+        rows = coded.select("b", F.explode("b").alias("last")).select("b", F.col("last").cast("long").alias("key"),
+                                                                      "last")
         for k in range(2, max_length + 1):
-            ext = rows.select("basket", "itemset", F.explode(F.filter(
-                "basket", lambda x: x > F.element_at(F.col("itemset"), -1))).alias("_x"))
-            ext = ext.select("basket", F.concat("itemset", F.array("_x")).alias("itemset"))
-            counts = (ext.groupBy("itemset").agg(F.count(F.lit(1)).alias("count"))
-                      .where(F.col("count") / F.lit(float(total)) >= F.lit(min_support)))
-            counts = counts.cache()
+            ext = rows.select("b", "key", F.explode(F.filter("b", lambda y: y > F.col("last"))).alias("last")) \
+                .select("b", (F.col("key") * base + F.col("last")).alias("key"), "last")
+            counts = cut_lineage(ext.groupBy("key").agg(F.count(F.lit(1)).alias("count"))
+                                 .where(F.col("count") / ratio >= F.lit(min_support)))
             if counts.isEmpty():
                 break
-            levels.append(counts.select(F.col("itemset").alias("items"), "count"))
+            names_arr = F.array(*[F.lit(n) for n in names])
+            digits = F.transform(F.sequence(F.lit(k - 1), F.lit(0), F.lit(-1)),
+                                 lambda j: F.element_at(names_arr, (F.floor(F.col("key") / F.pow(F.lit(base), j))
+                                                                    % base).cast("int")))
+            levels.append(counts.select(digits.alias("items"), F.lit(k).alias("n_items"), "count"))
             if k < max_length:
-                rows = ext.join(broadcast_checked(counts.select("itemset")), "itemset", "left_semi").persist()
+                # regenerated from the pinned baskets when the next level runs
+                rows = ext.join(broadcast_checked(counts.select("key")), "key", "left_semi")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    return out.select("items", F.size("items").alias("n_items"), F.col("count").cast("bigint").alias("count"),
-                      (F.col("count") / F.lit(float(total))).alias("support"))
+    return out.select("items", F.col("n_items").cast("int").alias("n_items"), F.col("count").cast("bigint").alias("count"),
+                      (F.col("count") / ratio).alias("support"))
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = 0.6) -> DataFrame:

@@ -17,10 +17,24 @@ from pyspark.sql import types as T
 _WS = r"^\s+|\s+$"
 
 
+def min_parallelism(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``partitions`` (default: shuffle partitions)
+    when the scan yields fewer splits than that -- one small file is a single
+    split, so every wide operator after it would run in one task.  A large
+    table already has many splits and is returned unchanged (no shuffle)."""
+    n = partitions or min_parallelism(df.sparkSession)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``; ``columns`` prunes the scan."""
+    """Parquet table ``<sf_dir>/<name>.parquet``; ``columns`` prunes the scan
+    (the projection reaches the Parquet reader), then ``spread``."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, missing_token: str = "?",
