@@ -240,8 +240,12 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, descript
     prof = treatment(prof, **treatment_kw)
     prof = describe_columns(prof, descriptions or {})
     if code_dictionary is not None:
-        sizes = code_dictionary.groupBy(F.col("domain").alias("column")).agg(F.count(F.lit(1)).alias("value_mapping_size"))
-        prof = lookup_join(prof, sizes, "column")
+        # entries per dictionary domain: one number per domain (a handful), as a map literal
+        sizes = {r["domain"]: r["n"] for r in code_dictionary.groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
+                 .collect()}
+        m = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))]) if sizes else None
+        prof = prof.withColumn("value_mapping_size", F.element_at(m, F.col("column")) if m is not None
+                               else F.lit(None).cast("bigint"))
     else:
         prof = prof.withColumn("value_mapping_size", F.lit(None).cast("bigint"))
     prof = prof.withColumn("value_mapping_size", F.coalesce(F.col("value_mapping_size"), F.lit(0)).cast("bigint"))
