@@ -147,40 +147,87 @@ def _components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return lab
 
 
+def _dense_links(p: DataFrame, s: float, eps: float, sub: int = 8) -> DataFrame:
+    """Core links between neighbouring dense cells (all their points are core).
+
+    Each dense cell is cut into ``sub`` x ``sub`` sub-cells summarised by point
+    count, bounding box and smallest id.  Sub-cell pairs of neighbouring dense
+    cells are classified by box distances: a pair whose farthest corners are
+    within eps links the two cells outright; a pair whose nearest edges are
+    farther than eps cannot link; only the remaining pairs, and only for cell
+    pairs without an outright link, compare their points.  The summary join is
+    bounded by the number of dense cells, not points."""
+    h = s / sub
+    d = p.where("dense").select(
+        "id", "x", "y", "cx", "cy",
+        F.least(F.greatest(F.floor((F.col("x") - F.col("cx") * s) / h), F.lit(0)), F.lit(sub - 1)).alias("sx"),
+        F.least(F.greatest(F.floor((F.col("y") - F.col("cy") * s) / h), F.lit(0)), F.lit(sub - 1)).alias("sy"))
+    d = cut_lineage(d)
+    summ = cut_lineage(d.groupBy("cx", "cy", "sx", "sy").agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
+        F.min("id").alias("rep")))
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                        for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)])
+    a = summ.select(*[F.col(c).alias(f"a_{c}") for c in summ.columns], F.explode(offsets).alias("o"))
+    a = a.select("*", (F.col("a_cx") + F.col("o.dx")).alias("cx"), (F.col("a_cy") + F.col("o.dy")).alias("cy"))
+    b = summ.select(*[F.col(c).alias(f"b_{c}") if c not in ("cx", "cy") else F.col(c) for c in summ.columns])
+    pairs = a.join(b, ["cx", "cy"])
+    gap_x = F.greatest(F.col("b_x0") - F.col("a_x1"), F.col("a_x0") - F.col("b_x1"), F.lit(0.0))
+    gap_y = F.greatest(F.col("b_y0") - F.col("a_y1"), F.col("a_y0") - F.col("b_y1"), F.lit(0.0))
+    far_x = F.greatest(F.abs(F.col("b_x1") - F.col("a_x0")), F.abs(F.col("a_x1") - F.col("b_x0")))
+    far_y = F.greatest(F.abs(F.col("b_y1") - F.col("a_y0")), F.abs(F.col("a_y1") - F.col("b_y0")))
+    e2 = eps * eps
+    pairs = pairs.select("a_cx", "a_cy", "a_sx", "a_sy", "cx", "cy", "b_sx", "b_sy", "a_rep", "b_rep",
+                         (far_x ** 2 + far_y ** 2 <= e2).alias("sure"), (gap_x ** 2 + gap_y ** 2 <= e2).alias("maybe"))
+    pairs = cut_lineage(pairs.where("maybe"))
+    sure = pairs.where("sure").select("a_cx", "a_cy", "cx", "cy", "a_rep", "b_rep") \
+        .dropDuplicates(["a_cx", "a_cy", "cx", "cy"])
+    open_pairs = pairs.where("NOT sure").join(sure.select("a_cx", "a_cy", "cx", "cy"),
+                                              ["a_cx", "a_cy", "cx", "cy"], "left_anti")
+    pa = d.select(F.col("id").alias("ia"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("cx").alias("a_cx"),
+                  F.col("cy").alias("a_cy"), F.col("sx").alias("a_sx"), F.col("sy").alias("a_sy"))
+    pb = d.select(F.col("id").alias("ib"), F.col("x").alias("xb"), F.col("y").alias("yb"), "cx", "cy",
+                  F.col("sx").alias("b_sx"), F.col("sy").alias("b_sy"))
+    tested = (open_pairs.join(pa, ["a_cx", "a_cy", "a_sx", "a_sy"]).join(pb, ["cx", "cy", "b_sx", "b_sy"])
+              .where((F.col("xa") - F.col("xb")) ** 2 + (F.col("ya") - F.col("yb")) ** 2 <= e2)
+              .select(F.col("ia").alias("a"), F.col("ib").alias("b")))
+    return sure.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).unionByName(tested)
+
+
 def dbscan_labels(coords: DataFrame, eps: float, min_samples: int, row_id: str = "row_id") -> DataFrame:
-    """K4: exact DBSCAN (a point's count includes itself; distance <= eps)."""
+    """K4: exact DBSCAN (a point's count includes itself; distance <= eps).
+
+    Only points of sparse cells (fewer than ``min_samples`` points) probe their
+    25 neighbouring cells at point level (at most ``min_samples - 1`` probing
+    points per cell, so the pairs grow linearly with the neighbours' sizes).
+    Points of a dense cell are core; they are linked to their cell's smallest
+    id (a star, not all pairs), and dense cells are linked to each other by
+    ``_dense_links``."""
     s = eps / math.sqrt(2.0)
     pts = cut_lineage(coords.select(F.col(row_id).alias("id"), "x", "y",
                                     F.floor(F.col("x") / s).alias("cx"), F.floor(F.col("y") / s).alias("cy")))
     cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).withColumn("dense", F.col("n") >= min_samples)
+    p = cut_lineage(pts.join(cells.select("cx", "cy", "dense"), ["cx", "cy"]))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in range(-2, 3) for dy in range(-2, 3)])
-    p = pts.join(cells.select("cx", "cy", "dense"), ["cx", "cy"])
-    # candidate neighbours: points of the 25 surrounding cells, found by an
-    # equi-join on the shifted cell key (each point is probed 25 times)
-    # points of a dense cell skip their own cell: they are core and linked
-    # through a star on the cell's smallest id instead of all pairs
-    probe = (p.select("id", "x", "y", "dense", "cx", "cy", F.explode(offsets).alias("o"))
-             .where(~F.col("dense") | (F.col("o.dx") != 0) | (F.col("o.dy") != 0))
-             .select("id", "x", "y", "dense", (F.col("cx") + F.col("o.dx")).alias("ncx"),
-                     (F.col("cy") + F.col("o.dy")).alias("ncy")))
+    # sparse-cell points probe the 25 surrounding cells (equi-join on the shifted cell key)
+    probe = (p.where(~F.col("dense")).select("id", "x", "y", "cx", "cy", F.explode(offsets).alias("o"))
+             .select("id", "x", "y", (F.col("cx") + F.col("o.dx")).alias("ncx"), (F.col("cy") + F.col("o.dy")).alias("ncy")))
     other = p.select(F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"),
-                     F.col("cx").alias("ncx"), F.col("cy").alias("ncy"), F.col("dense").alias("dense2"))
+                     F.col("cx").alias("ncx"), F.col("cy").alias("ncy"))
     d2 = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2
-    near = cut_lineage(probe.join(other, ["ncx", "ncy"]).where(d2 <= eps * eps)
-                       .select("id", "id2", "dense", "dense2"))
+    near = cut_lineage(probe.join(other, ["ncx", "ncy"]).where(d2 <= eps * eps).select("id", "id2"))
     counts = near.groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
-    core = (p.join(counts, "id", "left").select("id", (F.col("dense") | (F.coalesce("cnt", F.lit(0)) >= min_samples))
-                                                .alias("core")))
-    core = cut_lineage(core)
+    core = cut_lineage(p.join(counts, "id", "left").select(
+        "id", (F.col("dense") | (F.coalesce("cnt", F.lit(0)) >= min_samples)).alias("core")))
     c1 = core.select("id", F.col("core").alias("core1"))
     c2 = core.select(F.col("id").alias("id2"), F.col("core").alias("core2"))
     links = near.join(c1, "id").join(c2, "id2")
-    edges = links.where("core1 AND core2 AND id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    edges = links.where("core1 AND core2 AND id <> id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
     reps = p.where("dense").groupBy("cx", "cy").agg(F.min("id").alias("_rep"))
     star = (p.where("dense").join(reps, ["cx", "cy"]).where(F.col("id") != F.col("_rep"))
             .select(F.col("_rep").alias("a"), F.col("id").alias("b")))
-    edges = edges.unionByName(star)
+    edges = edges.unionByName(star).unionByName(_dense_links(p, s, eps))
     comps = _components(edges, core.where("core").select(F.col("id").alias("node")))
     border = (links.where("NOT core1 AND core2").join(comps.select(F.col("node").alias("id2"), "comp"), "id2")
               .groupBy("id").agg(F.min("comp").alias("comp")))

@@ -51,6 +51,15 @@ def test_dbscan_matches_brute_force(spark):
         assert [got[i] for i in range(len(pts))] == exp
 
 
+def test_dbscan_dense_neighbours(spark):
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(0, 2), rnd.uniform(0, 2)) for _ in range(400)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "row_id long, x double, y double")
+    for eps, ms in [(0.3, 4), (0.12, 3), (0.09, 6)]:
+        got = {r["row_id"]: r["label"] for r in dbscan_labels(df, eps, ms).collect()}
+        assert [got[i] for i in range(len(pts))] == _dbscan_brute(pts, eps, ms)
+
+
 def test_ward_exact_small(spark):
     pts = [(0.0, 0.0), (0.1, 0.0), (5.0, 5.0), (5.1, 5.0), (10.0, 0.0)]
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "row_id long, x double, y double")
