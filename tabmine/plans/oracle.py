@@ -541,3 +541,41 @@ ORACLE_SQL["feature_scores"] = f"WITH {SCORES} SELECT * FROM top"
 ORACLE_SQL["feature_summary"] = f"""WITH {SCORES}
 SELECT method, arg_min(feature, rank) AS best_feature, arg_min(score, rank) AS best_score,
        string_agg(feature, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS top_features FROM top GROUP BY method"""
+
+# ---- Gaussian naive Bayes on the split (M6) ------------------------------------------------------
+NB = f"""{SRC}, {MR_BODY},
+sp AS (SELECT row_id, target, {_u('row_id', 42)} AS h FROM src),
+q AS (SELECT target, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS quota FROM sp GROUP BY 1),
+rk AS (SELECT sp.row_id, sp.target, row_number() OVER (PARTITION BY sp.target ORDER BY h, row_id) AS r FROM sp),
+split AS (SELECT rk.row_id, rk.target AS label, CASE WHEN r <= quota THEN 'test' ELSE 'train' END AS part
+          FROM rk JOIN q ON rk.target = q.target),
+lg AS (SELECT mr.row_id, split.label, split.part, mr.feature, mr.value FROM mr JOIN split ON mr.row_id = split.row_id),
+tr AS (SELECT * FROM lg WHERE part = 'train'), te AS (SELECT * FROM lg WHERE part = 'test'),
+cls AS (SELECT label, count(DISTINCT row_id) AS n_c FROM tr GROUP BY label),
+tot AS (SELECT sum(n_c) AS N FROM cls),
+feats AS (SELECT DISTINCT feature FROM tr),
+sums AS (SELECT label, feature, sum(value) AS s1, sum(value * value) AS s2 FROM tr GROUP BY label, feature),
+nbg AS (SELECT cls.label, feats.feature, cls.n_c, tot.N, coalesce(s1, 0.0) AS s1, coalesce(s2, 0.0) AS s2
+      FROM feats CROSS JOIN cls CROSS JOIN tot LEFT JOIN sums ON sums.label = cls.label AND sums.feature = feats.feature),
+nbg2 AS (SELECT *, s1 / n_c AS mu, greatest(s2 / n_c - (s1 / n_c) ^ 2, 0.0) AS var FROM nbg),
+ov AS (SELECT feature, sum(s1) AS t1, sum(s2) AS t2, any_value(N) AS N FROM nbg GROUP BY feature),
+eps AS (SELECT max(t2 / N - (t1 / N) ^ 2) * 1e-9 AS e FROM ov),
+par AS (SELECT label, feature, mu, var + e AS v, n_c, N FROM nbg2, eps),
+base AS (SELECT label, ln(any_value(n_c) / any_value(N)) - 0.5 * sum(ln(2 * pi() * v)) - 0.5 * sum(mu * mu / v) AS b
+         FROM par GROUP BY label),
+corr AS (SELECT te.row_id, par.label, sum((mu * mu - (value - mu) ^ 2) / (2 * v)) AS c
+         FROM te JOIN par ON te.feature = par.feature GROUP BY te.row_id, par.label),
+rows_ AS (SELECT DISTINCT row_id, label AS y FROM te),
+nbper AS (SELECT rows_.row_id, rows_.y, base.label, base.b + coalesce(corr.c, 0.0) AS jll
+        FROM rows_ CROSS JOIN base LEFT JOIN corr ON corr.row_id = rows_.row_id AND corr.label = base.label),
+mx AS (SELECT row_id, max(jll) AS m FROM nbper GROUP BY row_id),
+pe AS (SELECT nbper.*, exp(jll - m) AS e FROM nbper JOIN mx ON nbper.row_id = mx.row_id),
+pred AS (SELECT row_id, 'Naive Bayes' AS model, y AS label,
+                round(sum(CASE WHEN label = 1 THEN e ELSE 0.0 END) / sum(e), 10) AS score,
+                arg_max(label, (jll, -label)) AS prediction FROM pe GROUP BY row_id, y)"""
+
+ORACLE_SQL["naive_bayes"] = f"""WITH {NB}, {CM}, {AUC}
+SELECT cm.model, round({_sd('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy, round({_sd('tp', 'tp + fp')}, 6) AS precision,
+       round({_sd('tp', 'tp + fn')}, 6) AS recall, round({_sd('2 * tp', '2 * tp + fp + fn')}, 6) AS f1,
+       round(roc_auc, 6) AS roc_auc
+FROM cm LEFT JOIN auc ON cm.model = auc.model"""
