@@ -270,10 +270,22 @@ def run_overview(labels: DataFrame, silhouette: float | None, run: str, method:
         F.lit(silhouette).cast("double").alias("silhouette_sq"))
 
 
+METHOD_ORDER = ["kmeans", "hierarchical", "dbscan"]
+
+
 def best_runs(overview: DataFrame) -> DataFrame:
-    """K7/K8: best run per method (max silhouette; DBSCAN ties by fewer
-    clusters, then less noise) and the best overall (method order breaks ties)."""
-    key = F.struct(F.coalesce("silhouette_sq", F.lit(-1.0)), -F.col("cluster_count"), -F.col("noise_count"))
-    per = overview.groupBy("method").agg(F.max_by("run", key).alias("run"), F.max("silhouette_sq").alias("silhouette_sq"))
-    return per
+    """K7: best run per method: max silhouette (missing counts as -1), then
+    fewer clusters, then less noise, then the run name."""
+    key = F.struct(F.coalesce("silhouette_sq", F.lit(-1.0)), -F.col("cluster_count"), -F.col("noise_count"),
+                   F.col("run"))
+    best = overview.groupBy("method").agg(F.max_by(F.struct(*overview.columns), key).alias("_b"))
+    return best.select("_b.*")
+
+
+def best_overall(best: DataFrame, method_order=METHOD_ORDER) -> DataFrame:
+    """K8: the best of the per-method winners by silhouette; on a tie the
+    method listed first wins."""
+    order = F.create_map(*[x for i, m in enumerate(method_order) for x in (F.lit(m), F.lit(-i))])
+    key = F.struct(F.coalesce("silhouette_sq", F.lit(-1.0)), F.coalesce(F.element_at(order, F.col("method")), F.lit(-99)))
+    return best.agg(F.max_by(F.struct(*best.columns), key).alias("_b")).select("_b.*")
 

@@ -725,3 +725,41 @@ def cluster_points(spark, sf):
     coords, _ = _coords(spark, sf)
     lab = kmeans_labels(coords, 4)
     return summarize(lab, _labels_y(spark, sf), "kmeans k=4")
+
+
+@query
+def best_clusters(spark, sf):
+    """K7 + K8: best k-means, Ward and DBSCAN run, and the best overall."""
+    from tabmine.operators.cluster import best_overall, best_runs
+
+    runs = QUERIES["cluster_runs"](spark, sf).unionByName(QUERIES["dbscan_runs"](spark, sf))
+    best = cut_lineage(best_runs(runs))
+    return best.withColumn("scope", F.lit("method")).unionByName(best_overall(best).withColumn("scope", F.lit("overall")))
+
+
+@query
+def findings(spark, sf):
+    """One-row snapshot: kept rows, model-ready width, best scored model and
+    its AUC, top rule and its lift, best clustering run, and the counts of
+    scored models, rules and feature-scoring methods."""
+    from tabmine.operators.cluster import best_overall, best_runs
+    from tabmine.operators.common import scalars
+
+    kept = scalars(QUERIES["deletion_stats"](spark, sf).select("kept_rows"))
+    width = scalars(QUERIES["model_ready_summary"](spark, sf).select("model_ready_columns"))
+    m = QUERIES["prediction_metrics"](spark, sf).unionByName(QUERIES["naive_bayes"](spark, sf))
+    best_model = scalars(m.agg(F.max_by(F.struct("model", "roc_auc"), F.struct("roc_auc", "model")).alias("b"),
+                               F.count(F.lit(1)).alias("n_models")).select("b.model", "b.roc_auc", "n_models"))
+    rules = QUERIES["rules_report"](spark, sf)
+    top = scalars(rules.orderBy(F.desc("lift"), F.desc("confidence"), F.desc("support"), "antecedent", "consequent")
+                  .limit(1).select("antecedent", "consequent", "lift"))
+    n_rules = scalars(QUERIES["association_rules"](spark, sf).agg(F.count(F.lit(1)).alias("n")))["n"]
+    n_methods = scalars(QUERIES["feature_summary"](spark, sf).agg(F.count(F.lit(1)).alias("n")))["n"]
+    clus = scalars(best_overall(best_runs(QUERIES["dbscan_runs"](spark, sf))).select("method", "run", "silhouette_sq"))
+    row = [(kept["kept_rows"], width["model_ready_columns"], best_model["model"], best_model["roc_auc"],
+            best_model["n_models"], f"{top['antecedent']} => {top['consequent']}", top["lift"], n_rules,
+            clus["method"], clus["run"], clus["silhouette_sq"], n_methods)]
+    return spark.createDataFrame(row, "kept_rows long, model_ready_columns long, best_model string, best_roc_auc double, "
+                                      "n_models long, top_rule string, top_rule_lift double, n_rules long, "
+                                      "best_cluster_method string, best_cluster_run string, "
+                                      "best_silhouette_sq double, n_selection_methods long")
