@@ -84,3 +84,17 @@ def test_silhouette_sq(spark):
     assert math.isclose(s, float(np.mean(vals)), rel_tol=1e-9)
     one = spark.createDataFrame([(i, 0) for i in range(4)], "row_id long, label int")
     assert silhouette_sq(df, one) is None
+
+
+def test_connected_components_long_chain(spark):
+    from tabmine.operators.cluster import connected_components
+
+    n = 300
+    order = list(range(n))
+    random.Random(2).shuffle(order)                       # a path visiting ids in random order
+    edges = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001), (1002, 1001)]
+    e = spark.createDataFrame(edges, "a long, b long")
+    nodes = spark.createDataFrame([(i,) for i in list(range(n)) + [1000, 1001, 1002, 2000]], "node long")
+    got = {r["node"]: r["comp"] for r in connected_components(e, nodes).collect()}
+    assert all(got[i] == 0 for i in range(n))
+    assert got[1000] == got[1001] == got[1002] == 1000 and got[2000] == 2000
