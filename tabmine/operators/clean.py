@@ -20,8 +20,10 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str) -> DataFr
     is collapsed before the shuffle instead of landing whole in one task."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys and c != order]
-    best = F.min(F.struct(F.col(order).alias(order), *[F.col(c) for c in rest])).alias("_first")
-    return df.groupBy(*keys).agg(best).select(*keys, "_first.*").select(*df.columns)
+    # null order values sort last, as in a sort-then-keep-first
+    best = F.min(F.struct(F.col(order).isNull().alias("_null"), F.col(order).alias(order),
+                          *[F.col(c) for c in rest])).alias("_first")
+    return df.groupBy(*keys).agg(best).select(*keys, "_first.*").drop("_null").select(*df.columns)
 
 
 def not_in(col: str | Column, values: Sequence) -> Column:

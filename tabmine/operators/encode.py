@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabmine.operators.common import attach_scalars, broadcast_checked
-from tabmine.operators.profile import numeric_columns, value_counts_long
+from tabmine.operators.profile import exact_quantiles, numeric_columns, value_counts_long
 
 
 @dataclass
@@ -113,7 +113,9 @@ def fit_encoder(df: DataFrame, target: str | None = None, numeric: Sequence[str]
     cat = list(categorical) if categorical is not None else [c for c in feats if c not in set(num)]
     spark = df.sparkSession
     if num:
-        meds = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_med_{c}") for c in num])
+        qs = {r["column"]: r["value"] for r in exact_quantiles(df, num, [0.5]).collect()}   # one per column
+        meds = df.sparkSession.createDataFrame([tuple(qs.get(c) for c in num)],
+                                               ", ".join(f"_med_{c} double" for c in num))
         imp = attach_scalars(df.select(*num), meds)
         moments = imp.agg(*[F.first(f"_med_{c}").alias(f"_med_{c}") for c in num],
                           *[F.avg(F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}"))).alias(f"_mean_{c}")

@@ -8,6 +8,7 @@ counts and numeric statistics."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -148,12 +149,52 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, counts:
                       F.coalesce(F.col("unique_count"), F.lit(0)).cast("bigint").alias("unique_count"))
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(column, p, value)``: quantiles with linear interpolation between order
+    statistics (position p * (n - 1)), exact, over non-null values.
+
+    No single task holds a column: values are counted per (column, value),
+    ranked by a distributed running count, and only the rows covering the
+    needed ranks (two per quantile, passed as a literal map per column) are
+    kept and interpolated."""
+    spark = df.sparkSession
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "v")
+    vc = long.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    vc = cut_lineage(vc)
+    n = {r["column"]: r["n"] for r in vc.groupBy("column").agg(F.sum("cnt").alias("n")).collect()}  # one per column
+    if not n:
+        return spark.createDataFrame([], "column string, p double, value double")
+    want = {}
+    for c, total in n.items():
+        ranks = set()
+        for q in probs:
+            pos = q * (total - 1)
+            ranks.update({int(math.floor(pos)), int(math.ceil(pos))})
+        want[c] = sorted(ranks)
+    ranked = prefix_sums(vc, order_cols=["v"], sum_cols=["cnt"], group_cols=["column"])
+    wmap = F.create_map(*[x for c, ks in want.items() for x in (F.lit(c), F.array(*[F.lit(k) for k in ks]))])
+    before = F.col("cum_cnt") - F.col("cnt")
+    hits = ranked.select("column", "v", before.alias("_b"), F.col("cum_cnt").alias("_c"),
+                         F.element_at(wmap, F.col("column")).alias("_ks"))
+    hits = hits.select("column", "v", F.explode(F.filter("_ks", lambda k: (k >= F.col("_b")) & (k < F.col("_c"))))
+                       .alias("k"))
+    at = {(r["column"], r["k"]): r["v"] for r in hits.collect()}                 # <= 2 x probs per column
+    rows = []
+    for c, total in n.items():
+        for q in probs:
+            pos = q * (total - 1)
+            lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+            a, b = at[(c, lo)], at[(c, hi)]
+            rows.append((c, float(q), a + (pos - lo) * (b - a)))
+    return spark.createDataFrame(rows, "column string, p double, value double")
+
+
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
                     accuracy: int = 10000) -> DataFrame:
     """Mean and sample std (4 decimals), min, quartiles with linear
-    interpolation, max, over non-null values; one aggregate for all columns.
-    ``approx=True`` swaps the exact percentile (whose buffer grows with the
-    number of distinct values) for ``percentile_approx``."""
+    interpolation, max, over non-null values.  Moments come from one aggregate
+    for all columns; quartiles from ``exact_quantiles`` (distributed), or from
+    ``percentile_approx`` when ``approx=True``."""
     cols = columns if columns is not None else numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, mean double, std double, min double, "
@@ -161,16 +202,23 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.round(F.avg(x), 4).alias(f"mean{i}"), F.round(F.stddev_samp(x), 4).alias(f"std{i}"),
-                 F.min(x).alias(f"min{i}"), q.alias(f"q{i}"), F.max(x).alias(f"max{i}")]
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        if approx:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"))
     row = df.agg(*aggs)
-    stack = "stack({n}, {a}) as (column, mean, std, min, q, max)".format(
-        n=len(cols), a=", ".join(f"'{c}', mean{i}, std{i}, min{i}, q{i}, max{i}" for i, c in enumerate(cols)))
-    return row.select(F.expr(stack)).select(
-        "column", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q75"), "max")
+    qexpr = ", q{i}" if approx else ""
+    stack = "stack({n}, {a}) as (column, mean, std, min, max{q})".format(
+        n=len(cols), q=", q" if approx else "",
+        a=", ".join(f"'{c}', mean{i}, std{i}, min{i}, max{i}" + qexpr.format(i=i) for i, c in enumerate(cols)))
+    base = row.select(F.expr(stack))
+    if approx:
+        return base.select("column", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"),
+                           F.col("q")[2].alias("q75"), "max")
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
+          for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))])
+    return base.join(q, "column", "left").select("column", "mean", "std", "min", "q25", "median", "q75", "max")
 
 
 def distribution(df: DataFrame, columns: Sequence[str] | None = None, counts: DataFrame | None = None,
