@@ -590,8 +590,8 @@ def baseline_significance(spark, sf):
 
 @query
 def model_lab(spark, sf):
-    """The full hyper-parameter grid (33 runs; k-NN reported unavailable),
-    best per algorithm marked."""
+    """The full hyper-parameter grid (39 runs over 7 algorithms), best per
+    algorithm marked."""
     from tabmine.operators.lab import LAB_UNAVAILABLE, best_per_algorithm, lab_specs, run_grid
 
     runs = run_grid(_lab(spark, sf), lab_specs())

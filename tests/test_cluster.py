@@ -98,3 +98,30 @@ def test_connected_components_long_chain(spark):
     got = {r["node"]: r["comp"] for r in connected_components(e, nodes).collect()}
     assert all(got[i] == 0 for i in range(n))
     assert got[1000] == got[1001] == got[1002] == 1000 and got[2000] == 2000
+
+
+def test_knn_exact(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tabmine.operators.models import knn
+
+    rnd = random.Random(4)
+    tr = [(i, int(rnd.random() < 0.4), [rnd.gauss(0, 1), rnd.gauss(0, 1), rnd.gauss(0, 1)]) for i in range(300)]
+    te = [(1000 + i, int(rnd.random() < 0.4), [rnd.gauss(0, 1), rnd.gauss(0, 1), rnd.gauss(0, 1)]) for i in range(40)]
+    te.append((2000, 1, tr[5][2]))                          # exact duplicate of a train row: distance 0
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("label", T.IntegerType()),
+                           T.StructField("features", VectorUDT())])
+    mk = lambda rows: spark.createDataFrame([(a, b, Vectors.dense(c)) for a, b, c in rows], schema)
+    for k, weights in [(7, "uniform"), (21, "distance")]:
+        got = {r["row_id"]: r["score"] for r in knn(mk(tr), mk(te), k, weights, pivots=16).collect()}
+        for qid, _, q in te:
+            ds = sorted((math.dist(q, x), i, y) for i, y, x in tr)[:k]
+            if weights == "distance" and ds[0][0] == 0:
+                w = [1.0 if d == 0 else 0.0 for d, _, _ in ds]
+            else:
+                w = [1.0 if weights == "uniform" else 1.0 / d for d, _, _ in ds]
+            exp = sum(wi for wi, (_, _, y) in zip(w, ds) if y == 1) / sum(w)
+            assert math.isclose(got[qid], exp, rel_tol=1e-9, abs_tol=1e-12)
