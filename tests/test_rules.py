@@ -59,3 +59,22 @@ def test_against_brute_force(spark):
 
 def test_empty(spark):
     assert frequent_itemsets(spark.createDataFrame([], "tid int, items array<string>")).count() == 0
+
+
+def test_unpacked_keys_match(spark):
+    """Long max_length forces the array-key path; results equal brute force."""
+    import random
+
+    rnd = random.Random(9)
+    tx = [rnd.sample(list("abcdefghij"), rnd.randint(3, 8)) for _ in range(200)]
+    got = {tuple(r["items"]): r["count"] for r in frequent_itemsets(_df(spark, tx), min_support=0.2,
+                                                                   max_length=25).collect()}
+    exp = {}
+    sets = [set(t) for t in tx]
+    items = sorted({i for t in sets for i in t})
+    for k in range(1, 11):
+        for c in combinations(items, k):
+            n = sum(1 for t in sets if set(c) <= t)
+            if n / 200 >= 0.2:
+                exp[c] = n
+    assert got == exp
