@@ -70,7 +70,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     offsets = totals.select(*g, "_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
                                           for c in sum_cols])
     local = Window.partitionBy(*g, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.join(broadcast_checked(offsets), on=[*g, "_pid"], how="left")
+    out = ranged.join(offsets, on=[*g, "_pid"], how="left")   # groups x partitions rows: AQE broadcasts it
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.sum(c).over(local))
     return out.drop("_pid", *[f"_o_{c}" for c in sum_cols])

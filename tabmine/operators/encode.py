@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import attach_scalars, broadcast_checked
+from tabmine.operators.common import attach_scalars
 from tabmine.operators.profile import exact_quantiles, numeric_columns, value_counts_long
 
 
@@ -61,7 +61,7 @@ class EncoderModel:
             stack = "stack({n}, {a}) as (column, level)".format(
                 n=len(self.categorical), a=", ".join(f"'{c}', `{c}`" for c in self.categorical))
             cat = imp.select(*ids, F.expr(stack)).where(F.col("level").isNotNull())
-            known = broadcast_checked(self.levels.select("column", "level"))
+            known = self.levels.select("column", "level")
             parts.append(cat.join(known, ["column", "level"], "left_semi")
                          .select("row_id", *keep, F.concat(F.col("column"), F.lit("_"), F.col("level")).alias("feature"),
                                  F.lit(1.0).alias("value")))

@@ -75,7 +75,7 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
             levels.append(counts.select(digits.alias("items"), F.lit(k).alias("n_items"), "count"))
             if k < max_length:
                 # regenerated from the pinned baskets when the next level runs
-                rows = ext.join(broadcast_checked(counts.select("key")), "key", "left_semi")
+                rows = ext.join(counts.select("key"), "key", "left_semi")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import attach_scalars, broadcast_checked
+from tabmine.operators.common import attach_scalars
 from tabmine.session import cut_lineage
 
 
@@ -29,7 +29,7 @@ def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -
                       F.when(F.col("cnt") < F.col("N"), F.least("min_p", F.lit(0.0))).otherwise(F.col("min_p")).alias("lo"),
                       F.when(F.col("cnt") < F.col("N"), F.greatest("max_p", F.lit(0.0))).otherwise(F.col("max_p"))
                       .alias("hi"))
-    lohi = broadcast_checked(lohi.cache())
+    lohi = lohi.cache()
     rng = F.col("hi") - F.col("lo")
 
     def bin_of(x):
