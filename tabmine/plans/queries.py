@@ -791,3 +791,30 @@ def findings(spark, sf):
                                       "n_models long, top_rule string, top_rule_lift double, n_rules long, "
                                       "best_cluster_method string, best_cluster_run string, "
                                       "best_silhouette_sq double, n_selection_methods long")
+
+
+@query
+def cluster_point_table(spark, sf):
+    """K9 + J1: PCA point table (coordinates rounded to 6) joined on row id with
+    its k-means (k=4) cluster, the embedding's class and the binary target."""
+    from tabmine.operators.cluster import kmeans_labels
+
+    coords, _ = _coords(spark, sf)
+    lab = _memo(spark, sf, "kmeans4", lambda: cut_lineage(kmeans_labels(coords, 4)))
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "label"]).select(
+        F.col("vec_id").alias("row_id"), F.col("label").alias("class"))
+    return (coords.join(lab.withColumnRenamed("label", "cluster"), "row_id").join(emb, "row_id")
+            .select("row_id", _r("x"), _r("y"), "cluster", "class", (F.col("class") % 2).alias("target")))
+
+
+@query
+def cluster_groups(spark, sf):
+    """Points grouped by cluster and by class: size, mean position and
+    binary-class rate per group."""
+    t = QUERIES["cluster_point_table"](spark, sf)
+    parts = []
+    for mode in ("cluster", "class"):
+        parts.append(t.groupBy(F.col(mode).cast("string").alias("group")).agg(
+            F.count(F.lit(1)).alias("size"), F.round(F.avg("x"), 6).alias("mean_x"), F.round(F.avg("y"), 6)
+            .alias("mean_y"), F.round(F.avg("target"), 6).alias("positive_rate")).withColumn("mode", F.lit(mode)))
+    return parts[0].unionByName(parts[1]).select("mode", "group", "size", "mean_x", "mean_y", "positive_rate")
