@@ -70,9 +70,21 @@ def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by
             .select(row_id, F.coalesce(F.col("_new"), F.col(label)).cast("int").alias(label)))
 
 
+ROWS_PER_PARTITION = 100_000
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """At least ~100k rows per partition for iterative fits (fewer, fuller tasks
+    per iteration); never more partitions than the input has."""
+    n = df.count()
+    want = max(1, -(-n // ROWS_PER_PARTITION))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "row_id") -> DataFrame:
-    """K2: best of ``n_init`` seeded k-means fits by training cost."""
-    pts = _vec(coords).cache()
+    """K2: best of ``n_init`` seeded k-means fits by training cost (the fits run
+    concurrently from a small driver thread pool)."""
+    pts = _sized(_vec(coords)).cache()
 
     def fit(s):
         m = KMeans(k=k, seed=SEED + s, featuresCol="features", predictionCol="label").fit(pts)
