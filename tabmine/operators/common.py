@@ -58,12 +58,13 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
     totals gives every partition its offset; a window bounded by one range
     partition adds the local running sum.  The only unbounded-looking window runs
     over (groups x partitions) rows."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_cols)
     order = [F.col(c).asc() if ascending else F.col(c).desc() for c in order_cols]
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in g], *order)
-              .withColumn("_pid", F.spark_partition_id()))
+    keys = [*[F.col(c) for c in g], *order]
+    # without an explicit count, adaptive execution sizes the range exchange to
+    # the data; the partition id is read after the exchange, so it is consistent
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     ranged = cut_lineage(ranged)
     totals = ranged.groupBy(*g, "_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

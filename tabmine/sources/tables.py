@@ -18,14 +18,15 @@ _WS = r"^\s+|\s+$"
 
 
 def min_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Total task slots of the application (cores), not the shuffle partition count."""
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``partitions`` (default: shuffle partitions)
-    when the scan yields fewer splits than that -- one small file is a single
-    split, so every wide operator after it would run in one task.  A large
-    table already has many splits and is returned unchanged (no shuffle)."""
+    """Round-robin the rows over ``partitions`` (default: the application's
+    cores) when the scan yields fewer splits than that -- one small file is a
+    single split, so every wide operator after it would run in one task.  A
+    large table already has many splits and is returned unchanged (no shuffle)."""
     n = partitions or min_parallelism(df.sparkSession)
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
