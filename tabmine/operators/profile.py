@@ -149,7 +149,8 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, counts:
                       F.coalesce(F.col("unique_count"), F.lit(0)).cast("bigint").alias("unique_count"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    counts: DataFrame | None = None) -> DataFrame:
     """``(column, p, value)``: quantiles with linear interpolation between order
     statistics (position p * (n - 1)), exact, over non-null values.
 
@@ -158,9 +159,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     needed ranks (two per quantile, passed as a literal map per column) are
     kept and interpolated."""
     spark = df.sparkSession
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "v")
-    vc = long.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    vc = cut_lineage(vc)
+    if counts is not None:
+        # the shared text value counts: Spark's number -> text conversion round-trips exactly
+        vc = (counts.where(F.col("column").isin(*columns))
+              .select("column", F.col("value").cast("double").alias("v"), "cnt").where(~F.isnan("v")))
+    else:
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "v")
+        vc = long.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("column", "v").agg(
+            F.count(F.lit(1)).alias("cnt"))
+        vc = cut_lineage(vc)
     n = {r["column"]: r["n"] for r in vc.groupBy("column").agg(F.sum("cnt").alias("n")).collect()}  # one per column
     if not n:
         return spark.createDataFrame([], "column string, p double, value double")
@@ -190,7 +197,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
+                    accuracy: int = 10000, counts: DataFrame | None = None) -> DataFrame:
     """Mean and sample std (4 decimals), min, quartiles with linear
     interpolation, max, over non-null values.  Moments come from one aggregate
     for all columns; quartiles from ``exact_quantiles`` (distributed), or from
@@ -215,7 +222,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, approx:
     if approx:
         return base.select("column", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"),
                            F.col("q")[2].alias("q75"), "max")
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column").agg(
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name)
           for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))])
     return base.join(q, "column", "left").select("column", "mean", "std", "min", "q25", "median", "q75", "max")
@@ -281,9 +288,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, descript
     column's code dictionary (C7).  ``code_dictionary`` is ``(domain, id,
     label)`` with ``domain`` = column name."""
     cols = list(columns or df.columns)
-    counts = value_counts_long(raw if raw is not None else df, cols)
+    counts = cut_lineage(value_counts_long(raw if raw is not None else df, cols))   # shared by every section
     prof = missing_profile(df, cols, counts=counts)
-    stats = numeric_summary(df, numeric_columns(df, cols))
+    stats = numeric_summary(df, numeric_columns(df, cols), counts=None if raw is not None else counts)
     prof = lookup_join(prof, stats, "column")
     prof = treatment(prof, **treatment_kw)
     prof = describe_columns(prof, descriptions or {})
