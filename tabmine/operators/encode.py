@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabmine.operators.common import attach_scalars
+from tabmine.session import cut_lineage
 from tabmine.operators.profile import exact_quantiles, numeric_columns, value_counts_long
 
 
@@ -112,10 +113,11 @@ def fit_encoder(df: DataFrame, target: str | None = None, numeric: Sequence[str]
     num = list(numeric) if numeric is not None else numeric_columns(df, feats)
     cat = list(categorical) if categorical is not None else [c for c in feats if c not in set(num)]
     spark = df.sparkSession
+    # one value-count pass serves the medians (numeric) and the modes/levels (categorical)
+    counts = cut_lineage(value_counts_long(df, num + cat)) if (num or cat) else None
     if num:
-        qs = {r["column"]: r["value"] for r in exact_quantiles(df, num, [0.5]).collect()}   # one per column
-        meds = df.sparkSession.createDataFrame([tuple(qs.get(c) for c in num)],
-                                               ", ".join(f"_med_{c} double" for c in num))
+        qs = {r["column"]: r["value"] for r in exact_quantiles(df, num, [0.5], counts).collect()}   # one per column
+        meds = spark.createDataFrame([tuple(qs.get(c) for c in num)], ", ".join(f"_med_{c} double" for c in num))
         imp = attach_scalars(df.select(*num), meds)
         moments = imp.agg(*[F.first(f"_med_{c}").alias(f"_med_{c}") for c in num],
                           *[F.avg(F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}"))).alias(f"_mean_{c}")
@@ -127,7 +129,7 @@ def fit_encoder(df: DataFrame, target: str | None = None, numeric: Sequence[str]
         params = spark.range(1).select(F.lit(1).alias("_none"))
     modes: dict[str, str] = {}
     if cat:
-        vc = value_counts_long(df, cat)
+        vc = counts.where(F.col("column").isin(*cat))
         best = vc.groupBy("column").agg(F.min_by("value", F.struct((-F.col("cnt")).alias("n"), F.col("value")))
                                         .alias("mode"))
         modes = {r["column"]: r["mode"] for r in best.collect()}
