@@ -33,7 +33,10 @@ def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -
     rng = F.col("hi") - F.col("lo")
 
     def bin_of(x):
-        return F.when(rng > 0, F.least(F.floor((x - F.col("lo")) / rng * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+        # the position is rounded to 9 decimals first so values that sit exactly on a
+        # bin edge (e.g. standardised integer codes) do not flip with the last bit
+        pos = F.round((x - F.col("lo")) / rng * bins, 9)
+        return F.when(rng > 0, F.least(F.floor(pos), F.lit(bins - 1))).otherwise(F.lit(0))
 
     present = cut_lineage(long.join(lohi, "feature").groupBy("feature", label, bin_of(F.col("value")).alias("b"))
                           .agg(F.count(F.lit(1)).alias("n_bc"), F.sum("value").alias("s_bc")))
@@ -65,7 +68,8 @@ def chi_square(cells: DataFrame, label: str = "label") -> DataFrame:
 
 
 def mutual_information(cells: DataFrame, label: str = "label") -> DataFrame:
-    """FS1 (plug-in estimate, natural log, equal-width bins):
+    """FS1 (plug-in estimate, natural log, equal-width bins; bin position
+    rounded to 9 decimals before the floor):
     MI = sum p(b,c) ln(p(b,c) / (p(b) p(c)))."""
     n_b = F.sum("n_bc").over(Window.partitionBy("feature", "b"))
     c = cells.withColumn("n_b", n_b)

@@ -521,10 +521,10 @@ o AS (SELECT *, CASE WHEN hi - lo > 0 THEN (s_c - n_c * lo) / (hi - lo) ELSE 0.0
 e AS (SELECT *, n_c / N * sum(O) OVER (PARTITION BY feature) AS E FROM o),
 chi AS (SELECT feature, CASE WHEN count(*) FILTER (WHERE E > 0) = count(*)
           THEN sum(CASE WHEN E > 0 THEN (O - E) ^ 2 / E END) ELSE 0.0 END AS score FROM e GROUP BY feature),
-binned AS (SELECT j.feature, j.label, CASE WHEN hi - lo > 0 THEN least(floor((value - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b
+binned AS (SELECT j.feature, j.label, CASE WHEN hi - lo > 0 THEN least(floor(round((value - lo) / (hi - lo) * 10, 9)), 9) ELSE 0 END AS b
            FROM j JOIN feat ON j.feature = feat.feature),
 present AS (SELECT feature, label, b, count(*) AS n_bc FROM binned GROUP BY ALL),
-absent AS (SELECT feature, label, CASE WHEN hi - lo > 0 THEN least(floor((0.0 - lo) / (hi - lo) * 10), 9) ELSE 0 END AS b,
+absent AS (SELECT feature, label, CASE WHEN hi - lo > 0 THEN least(floor(round((0.0 - lo) / (hi - lo) * 10, 9)), 9) ELSE 0 END AS b,
                   n_c - cnt_c AS n_bc FROM grid WHERE n_c - cnt_c > 0),
 cells AS (SELECT feature, label, b, sum(n_bc) AS n_bc FROM (SELECT * FROM present UNION ALL SELECT * FROM absent) GROUP BY ALL),
 nb AS (SELECT feature, b, sum(n_bc) AS n_b FROM cells GROUP BY ALL),

@@ -24,7 +24,7 @@ def test_chi_square_and_mi(spark):
         obs = np.array([S[y == c, j].sum() for c in (0, 1)])
         exp = np.array([(y == c).mean() for c in (0, 1)]) * S[:, j].sum()
         assert math.isclose(chi[f"f{j}"], float(((obs - exp) ** 2 / exp).sum()), rel_tol=1e-9)
-        bins = np.minimum(np.floor(S[:, j] * 10), 9)
+        bins = np.minimum(np.floor(np.round(S[:, j] * 10, 9)), 9)
         m = 0.0
         for b in set(bins):
             for c in (0, 1):
