@@ -145,7 +145,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None, counts:
     names = _names(spark, cols, df)
     out = lookup_join(lookup_join(names, miss, "col_pos"), uniq, "column")
     return out.select("column", "col_pos", "is_numeric", F.col("missing_count").cast("bigint").alias("missing_count"),
-                      F.round(F.col("missing_count") * 100.0 / F.col("_rows"), 2).alias("missing_pct"),
+                      F.round(F.try_divide(F.col("missing_count") * 100.0, F.col("_rows")), 2).alias("missing_pct"),
                       F.coalesce(F.col("unique_count"), F.lit(0)).cast("bigint").alias("unique_count"))
 
 

@@ -63,3 +63,11 @@ def test_treatment_rules(spark):
     assert t == {"id": "Drop", "spec": "Missing Category", "w": "Drop", "k": "Drop", "g": "One-Hot Encode",
                  "hc": "Target / Frequency Encode", "num": "Median Impute", "cat": "Mode Impute / 'Missing' Category",
                  "n2": "Scale / Standardize", "y": "Binarize (Target)"}
+
+
+def test_empty_table_profiles(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    mp = {r["column"]: r for r in profile.missing_profile(df).collect()}
+    assert mp["a"]["missing_count"] == 0 and mp["a"]["missing_pct"] is None and mp["b"]["unique_count"] == 0
+    nz = {r["column"]: r for r in profile.nzv_metrics(df, ["a", "b"]).collect()}
+    assert nz["a"]["drop"] and nz["b"]["fr"] is None
