@@ -615,14 +615,12 @@ def model_lab(spark, sf):
 
     runs = run_grid(_lab(spark, sf), lab_specs())
     best = best_per_algorithm(runs).select(F.col("best_model").alias("model"), F.lit(True).alias("is_best"))
-    out = runs.join(best, "model", "left").fillna({"is_best": False})
+    out = _metric_cols(runs).join(best, "model", "left").fillna({"is_best": False})
     missing = spark.createDataFrame([(k, v) for k, v in LAB_UNAVAILABLE.items()], "algorithm string, note string")
-    return _metric_cols(out.drop("note").withColumn("note", F.lit(""))).withColumn(
-        "is_best", F.col("model").isin([r["model"] for r in best.collect()])).unionByName(
-        missing.select(F.lit(None).cast("string").alias("model"), "algorithm",
-                       *[F.lit(None).cast("double").alias(c) for c in ("accuracy", "precision", "recall", "f1",
-                                                                       "roc_auc")],
-                       "note", F.lit(False).alias("is_best")))
+    return out.unionByName(missing.select(
+        F.lit(None).cast("string").alias("model"), "algorithm",
+        *[F.lit(None).cast("double").alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")],
+        "note", F.lit(False).alias("is_best")))
 
 
 @query
