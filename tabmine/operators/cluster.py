@@ -97,27 +97,40 @@ def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "ro
 
 def _ward_merge(cent: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
     """Ward agglomeration of weighted centroids down to ``k`` groups: merge the
-    pair with the smallest increase w_a w_b / (w_a + w_b) |c_a - c_b|^2.
-    Returns the group of each centroid.  Bounded input (``m`` centroids)."""
-    groups = [[i] for i in range(len(cent))]
-    c = [cent[i].astype(float) for i in range(len(cent))]
-    ww = [float(x) for x in w]
-    while len(groups) > k:
-        best = None
-        for a in range(len(groups)):
-            for b in range(a + 1, len(groups)):
-                d = ww[a] * ww[b] / (ww[a] + ww[b]) * float(np.sum((c[a] - c[b]) ** 2))
-                if best is None or d < best[0]:
-                    best = (d, a, b)
-        _, a, b = best
+    pair with the smallest increase w_a w_b / (w_a + w_b) |c_a - c_b|^2 (ties:
+    lowest index pair).  Returns the group of each centroid.  Bounded input
+    (``m`` centroids); a numpy cost matrix with one row updated per merge."""
+    m = len(cent)
+    c = np.asarray(cent, dtype=float).copy()
+    ww = np.asarray(w, dtype=float).copy()
+    active = np.ones(m, dtype=bool)
+    owner = np.arange(m)
+
+    def costs(i):
+        d = np.sum((c - c[i]) ** 2, axis=1)
+        return ww * ww[i] / (ww + ww[i]) * d
+
+    cost = np.full((m, m), np.inf)
+    for i in range(m):
+        row = costs(i)
+        cost[i, i + 1:] = row[i + 1:]
+    n_groups = m
+    while n_groups > k:
+        a, b = divmod(int(np.argmin(cost)), m)
         c[a] = (ww[a] * c[a] + ww[b] * c[b]) / (ww[a] + ww[b])
         ww[a] += ww[b]
-        groups[a] += groups[b]
-        del groups[b], c[b], ww[b]
-    out = np.zeros(len(cent), dtype=int)
-    for g, members in enumerate(groups):
-        out[members] = g
-    return out
+        active[b] = False
+        owner[owner == b] = a
+        cost[b, :] = np.inf
+        cost[:, b] = np.inf
+        row = costs(a)
+        row[~active] = np.inf
+        cost[a, a + 1:] = row[a + 1:]
+        cost[:a, a] = row[:a]
+        n_groups -= 1
+    roots = sorted(set(owner.tolist()))
+    index = {r: g for g, r in enumerate(roots)}
+    return np.array([index[o] for o in owner], dtype=int)
 
 
 def ward_labels(coords: DataFrame, k: int, micro: int = 200, row_id: str = "row_id") -> DataFrame:
