@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_PINNED: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table under the shared checkpoint folder
     and read it back: computed once, survives executor loss (the files are on
@@ -62,4 +65,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tabmine-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _PINNED.append(path)
     return spark.read.parquet(path)
+
+
+def release_pinned(spark: SparkSession) -> int:
+    """Delete the tables this process pinned with ``cut_lineage`` (through the
+    Hadoop FileSystem of each path, so it works on HDFS or object stores).
+    Call only after every DataFrame read from them has been consumed.  Returns
+    the number of tables removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _PINNED:
+        path = jvm.org.apache.hadoop.fs.Path(_PINNED.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            removed += 1
+    return removed

@@ -18,3 +18,19 @@ def test_prefix_sums_many_partitions(spark):
             for o, v in seq:
                 total += v
                 assert got[(g, o)] == total
+
+
+def test_release_pinned(spark):
+    import os
+
+    from tabmine.session import _PINNED, cut_lineage, release_pinned
+
+    before = len(_PINNED)
+    t = cut_lineage(spark.range(10))
+    assert t.count() == 10 and len(_PINNED) == before + 1
+    path = _PINNED[-1].replace("file:", "")
+    assert os.path.exists(path)
+    assert release_pinned(spark) >= 1 and not os.path.exists(path) and not _PINNED
+    from tabmine.plans.queries import clear_memo
+
+    clear_memo()                       # memoised intermediates pointed at released tables
