@@ -25,7 +25,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.operators.common import prefix_sums
@@ -57,15 +57,21 @@ def _vec(coords: DataFrame) -> DataFrame:
     return coords.withColumn("features", array_to_vector(F.array("x", "y")))
 
 
-def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by_label: bool = False) -> DataFrame:
+def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by_label: bool = False,
+             bounded: bool = False) -> DataFrame:
     """Number clusters 0..k-1 by their smallest row id (or, with ``by_label``,
-    by the label value itself); -1 (noise) stays.  The ordinal comes from a
-    distributed running count over the cluster table."""
+    by the label value itself); -1 (noise) stays.  With ``bounded`` (k-means,
+    Ward: exactly k clusters, a parameter) a window over the k-row cluster table
+    numbers them; otherwise (DBSCAN: the cluster count grows with the data) the
+    ordinal comes from a distributed running count."""
     members = labels.where(F.col(label) >= 0)
     firsts = (members.select(label).distinct().withColumn("_first", F.col(label)) if by_label
               else members.groupBy(label).agg(F.min(row_id).alias("_first")))
-    order = prefix_sums(firsts.withColumn("_one", F.lit(1)), ["_first"], ["_one"]).select(
-        label, (F.col("cum__one") - 1).alias("_new"))
+    if bounded:
+        order = firsts.select(label, (F.row_number().over(Window.orderBy("_first")) - 1).alias("_new"))
+    else:
+        order = prefix_sums(firsts.withColumn("_one", F.lit(1)), ["_first"], ["_one"]).select(
+            label, (F.col("cum__one") - 1).alias("_new"))
     return (labels.join(order, label, "left")
             .select(row_id, F.coalesce(F.col("_new"), F.col(label)).cast("int").alias(label)))
 
@@ -92,7 +98,7 @@ def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "ro
 
     with ThreadPoolExecutor(max_workers=min(n_init, 8)) as pool:   # seeds fit concurrently
         best = min(pool.map(fit, range(n_init)), key=lambda t: (t[0], t[1]))
-    return renumber(best[2].transform(pts).select(row_id, "label"), row_id)
+    return renumber(best[2].transform(pts).select(row_id, "label"), row_id, bounded=True)
 
 
 def _ward_merge(cent: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
@@ -149,7 +155,7 @@ def ward_labels(coords: DataFrame, k: int, micro: int = 200, row_id: str = "row_
     rows = cents.orderBy("_m").collect()            # at most `micro` rows
     grp = _ward_merge(np.array([[r["x"], r["y"]] for r in rows]), np.array([r["_w"] for r in rows]), k)
     mapping = spark.createDataFrame([(r["_m"], int(g)) for r, g in zip(rows, grp)], "_m long, label int")
-    return renumber(assign.join(F.broadcast(mapping), "_m").select(row_id, "label"), row_id)
+    return renumber(assign.join(F.broadcast(mapping), "_m").select(row_id, "label"), row_id, bounded=True)
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
