@@ -1,23 +1,42 @@
 """Registered queries of this subpackage: one ``opN_<name>`` per operator over its
-whole table, and the corpus pipeline."""
+whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabmine.llm import jaccard
+from tabmine.llm import jaccard, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of all documents."""
+    return packing.best_fit(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_quality(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents by 3-word shingle Jaccard >= 0.9."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 QUERIES = {
+    "op3_best_fit": op3_best_fit,
+    "op8_quality": op8_quality,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
