@@ -76,7 +76,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(1 << 20, 1 << math.ceil(math.log2(max(n, 2))))
+        size = max(1 << 19, 1 << math.ceil(math.log2(max(n, 2))))
         for name, base in (("up", _BASE), ("down", _INV)):
             p = np.full(size, base, dtype=np.uint64)
             p[0] = 1
@@ -116,10 +116,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return h, np.searchsorted(starts, b, side="right") - 1
 
 
-def text_chunks(arr, limit: int = 1_500_000):
-    """Split an Arrow string array into runs of at most ``limit`` bytes (a longer
-    single text is a run of its own): ``(first row, bytes, starts)``.  Nulls count
-    as empty texts."""
+def text_chunks(arr, limit: int = 400_000, rows: int = 1 << 30):
+    """Split an Arrow string array into runs of at most ``limit`` bytes and ``rows``
+    texts (a longer single text is a run of its own): ``(first row, bytes,
+    starts)``.  Nulls count as empty texts."""
     import pyarrow as pa
 
     arr = arr.cast(pa.large_string()).fill_null("")
@@ -129,5 +129,19 @@ def text_chunks(arr, limit: int = 1_500_000):
     i = 0
     while i < len(arr):
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, side="right")) - 1)
+        j = min(j, i + rows)
         yield i, data[offs[i]:offs[j]], offs[i:j] - offs[i]
         i = j
+
+
+def text_slices(arr, limit: int = 1_000_000):
+    """The texts of an Arrow string array as lists of about ``limit`` bytes; nulls stay ``None``."""
+    import pyarrow as pa
+
+    arr = arr.cast(pa.large_string())
+    offs = np.frombuffer(arr.buffers()[1], dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1] if len(arr) else []
+    i = 0
+    while i < len(arr):
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, side="right")) - 1)
+        yield arr.slice(i, j - i).to_pylist()
+        i = j

@@ -155,7 +155,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 2_000, c: f
 
     def run(batches):
         for pdf in batches:
-            for i, data, starts in text_chunks(pa.array(pdf["text"], pa.large_string())):
+            for i, data, starts in text_chunks(pa.array(pdf["text"], pa.large_string()), rows=128):
                 rows, cols = indicators(data, starts)
                 cuts = np.searchsorted(rows, np.arange(len(starts) + 1))
                 yield pd.DataFrame({"y": pdf["y"].iloc[i:i + len(starts)].to_numpy(),
@@ -201,7 +201,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None =
     def run(batches):
         for batch in batches:
             text = batch.column(at).cast(pa.string())
-            scores = [model.score(data, starts) for _, data, starts in text_chunks(text)]
+            scores = [model.score(data, starts) for _, data, starts in text_chunks(text, rows=128)]
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*keep, "score"])
 
