@@ -3,20 +3,52 @@ whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmine.llm import jaccard, packing, quality, toxicity
+from tabmine.llm import bpe, extract, jaccard, langid, merkle, packing, quality, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; profiles from the documents that name theirs."""
+    return langid.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bins of all documents."""
     return packing.best_fit(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text."""
+    return merkle.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token digests of every document."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best candidates of every query vector."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,9 +66,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels")).drop("text")
 
 
-QUERIES = {
-    "op3_best_fit": op3_best_fit,
-    "op8_quality": op8_quality,
-    "op9_jaccard_join": op9_jaccard_join,
-    "op10_toxicity": op10_toxicity,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_main_text, op3_best_fit, op4_warc, op5_merkle, op6_bpe, op7_top_k, op8_quality, op9_jaccard_join,
+    op10_toxicity)}
