@@ -9,7 +9,7 @@ WITH p AS (
   SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
 ), f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
 SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
-  list_aggregate(list_transform(range(8), g -> list_aggregate(list_transform(range(4), d ->
+  list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform(range(4), lambda d:
     substr('{_BASE32}', CAST((CAST('0x' || substr(p.h, g * 5 + 1, 5) AS BIGINT) >> CAST(15 - 5 * d AS BIGINT)) & 31 AS BIGINT) + 1, 1)),
     'string_agg', '')), 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
@@ -19,8 +19,8 @@ FROM p JOIN f USING (h)
 
 OP7 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
@@ -35,7 +35,7 @@ WITH RECURSIVE w AS (
     '[^\\x20\\x09-\\x0D]+') AS words FROM documents
 ), s AS (
   SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 1), k -> words[k] || ' ' || words[k + 1] || ' ' || words[k + 2]) END) AS sh FROM w
+    ELSE list_transform(range(1, len(words) - 1), lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2]) END) AS sh FROM w
 ), x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
 pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
