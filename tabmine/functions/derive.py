@@ -101,8 +101,7 @@ def binary_target(df: DataFrame, col: str, positive: str) -> Column:
 
 
 def _as_number(col: str | Column) -> Column:
-    c = _c(col)
-    return F.coalesce(c.try_cast("double"), parse_number(c))
+    return parse_number(_c(col).cast("string"))
 
 
 def stay_bucket(col: str | Column) -> Column:
@@ -119,8 +118,7 @@ def visit_bucket(col: str | Column) -> Column:
 
 def normalized_id(col: str | Column) -> Column:
     """C7 key: id text normalised through float -> int ('3.0' -> '3'); else null."""
-    c = _c(col)
-    return F.coalesce(c.try_cast("double"), parse_number(c)).try_cast("bigint").cast("string")
+    return _as_number(col).try_cast("bigint").cast("string")
 
 
 def active_items(columns: Sequence[str], inactive: str = "No", sep: str = ", ") -> Column:

@@ -27,13 +27,17 @@ def tag_deletions(df: DataFrame, key: str, order: str, terminal_col: str, termin
     """F8-F10.  Adds ``_dup``, ``_terminal``, ``_invalid``, ``_deletion_reason``,
     ``_modified``, ``_status`` and ``_reason``.
 
-    ``_dup``: a later row of a key (null keys equal).  The first ``order`` per key
-    comes from a partial-aggregated ``min`` and is joined back on the key with a
-    null-safe equi-join; a hot key is split by AQE's skew-join handling.
+    ``_dup``: a later row of a key (null keys equal).  The first row per key is the
+    same smallest row that ``clean.first_per_key`` keeps (order, nulls last, then
+    the other columns); it comes from a partial-aggregated ``min`` and is joined
+    back on the key with a null-safe equi-join; a hot key is split by AQE's
+    skew-join handling.  Rows equal in every column cannot be told apart.
     ``code_labels``: ``(id string, label string)`` dictionary for the reason text."""
-    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(order).alias("_first"))
+    rest = [c for c in df.columns if c not in (key, order)]
+    rank = F.struct(F.col(order).isNull().alias("_null"), F.col(order).alias(order), *[F.col(c) for c in rest])
+    firsts = df.groupBy(F.col(key).alias("_k")).agg(F.min(rank).alias("_first"))
     tagged = df.join(firsts, F.col(key).eqNullSafe(F.col("_k")), "left").drop("_k")
-    dup = F.coalesce(F.col(order) != F.col("_first"), F.lit(False))
+    dup = ~rank.eqNullSafe(F.col("_first"))
     term = ~not_in(terminal_col, terminal_codes)
     invalid = F.col(invalid_col).eqNullSafe(F.lit(invalid_value))
     tagged = tagged.withColumn("_code_id", normalized_id(terminal_col))
@@ -100,7 +104,8 @@ def audit_sample(tagged: DataFrame, order: str, hidden: Sequence[str] = (), size
 
 
 def column_actions(columns: DataFrame, nzv: DataFrame | None, dropped: Sequence[str],
-                   status_columns: Sequence[str], modify_reasons: Mapping[str, str]) -> DataFrame:
+                   status_columns: Sequence[str], modify_reasons: Mapping[str, str],
+                   variance_threshold: float = 0.0475) -> DataFrame:
     """KEEP / MODIFY / DROP per column with a reason.  ``columns`` is a frame
     with one ``column`` per row (e.g. from a profile).  Status columns take the
     NZV verdict; the reason prints FR as the infinity symbol when FR is missing or
@@ -127,7 +132,7 @@ def column_actions(columns: DataFrame, nzv: DataFrame | None, dropped: Sequence[
                      F.lit("Dropped entirely (high missing share or identifier)"))
               .when(is_status & F.coalesce(F.col("_nzv_drop"), F.lit(False)),
                     F.concat(F.lit("NZV: FR="), fr_txt, F.lit(", var="), F.format_string("%.5f", var),
-                             F.lit(" - below variance threshold 0.0475")))
+                             F.lit(f" - below variance threshold {variance_threshold}")))
               .when(is_status, F.concat(F.lit("Sufficient variance (var="), F.format_string("%.4f", var),
                                         F.lit("). Retained for modeling.")))
               .when(F.col("_mod_reason").isNotNull(), F.col("_mod_reason"))

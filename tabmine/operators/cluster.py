@@ -321,11 +321,12 @@ METHOD_ORDER = ["kmeans", "hierarchical", "dbscan"]
 
 
 def best_runs(overview: DataFrame) -> DataFrame:
-    """K7: best run per method: max silhouette (missing counts as -1), then
-    fewer clusters, then less noise, then the run name."""
-    key = F.struct(F.coalesce("silhouette_sq", F.lit(-1.0)), -F.col("cluster_count"), -F.col("noise_count"),
-                   F.col("run"))
-    best = overview.groupBy("method").agg(F.max_by(F.struct(*overview.columns), key).alias("_b"))
+    """K7: best run per method: max silhouette, then fewer clusters, then less
+    noise, then the smallest run name.  A missing silhouette counts as -1 for
+    DBSCAN; runs of the other methods without one take no part."""
+    overview = overview.where((F.col("method") == "dbscan") | F.col("silhouette_sq").isNotNull())
+    key = F.struct(-F.coalesce("silhouette_sq", F.lit(-1.0)), "cluster_count", "noise_count", "run")
+    best = overview.groupBy("method").agg(F.min_by(F.struct(*overview.columns), key).alias("_b"))
     return best.select("_b.*")
 
 

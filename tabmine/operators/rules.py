@@ -34,9 +34,8 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     with count / transactions >= ``min_support`` and at most ``max_length`` items.
     Duplicate items in a transaction count once; an empty table gives no rows.
 
-    Frequent items get integer ids in item order; an itemset of ids
-    i1 < i2 < ... is packed into one long ``key = (((i1) * B + i2) * B + ...)``
-    with ``B`` = number of frequent items + 1, so each level groups on a long."""
+    Frequent items get integer ids in item order; each level groups on the
+    ascending array of ids."""
     spark = tx.sparkSession
     schema = "items array<string>, n_items int, count bigint, support double"
     baskets = cut_lineage(tx.select(F.array_distinct(F.col(items)).alias("basket")))
@@ -49,29 +48,22 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     single_rows = sorted((r["item"], r["count"]) for r in singles.collect())   # bounded: items / min_support
     names = [i for i, _ in single_rows]
     levels = [spark.createDataFrame([([i], 1, c) for i, c in single_rows], "items array<string>, n_items int, count bigint")]
-    base = len(names) + 1
-    packed = base ** max_length < 2 ** 62          # else the key is the id array itself
     if names and max_length > 1:
         ids = F.create_map(*[x for k, n in enumerate(names, start=1) for x in (F.lit(n), F.lit(k))])
         names_arr = F.array(*[F.lit(n) for n in names])
         coded = baskets.select(F.array_sort(F.filter(F.transform("basket", lambda x: F.element_at(ids, x)),
                                                      lambda x: x.isNotNull())).alias("b")).where(F.size("b") >= 2)
-        first = F.col("last").cast("long") if packed else F.array(F.col("last"))
+        first = F.array(F.col("last"))
         rows = coded.select("b", F.explode("b").alias("last")).select("b", first.alias("key"), "last")
         for k in range(2, max_length + 1):
-            grow = (F.col("key") * base + F.col("last")) if packed else F.concat(F.col("key"), F.array(F.col("last")))
+            grow = F.concat(F.col("key"), F.array(F.col("last")))
             ext = rows.select("b", "key", F.explode(F.filter("b", lambda y: y > F.col("last"))).alias("last")) \
                 .select("b", grow.alias("key"), "last")
             counts = cut_lineage(ext.groupBy("key").agg(F.count(F.lit(1)).alias("count"))
                                  .where(F.col("count") / ratio >= F.lit(min_support)))
             if counts.isEmpty():
                 break
-            if packed:
-                digits = F.transform(F.sequence(F.lit(k - 1), F.lit(0), F.lit(-1)),
-                                     lambda j: F.element_at(names_arr, (F.floor(F.col("key") / F.pow(F.lit(base), j))
-                                                                        % base).cast("int")))
-            else:
-                digits = F.transform(F.col("key"), lambda i: F.element_at(names_arr, i))
+            digits = F.transform(F.col("key"), lambda i: F.element_at(names_arr, i))
             levels.append(counts.select(digits.alias("items"), F.lit(k).alias("n_items"), "count"))
             if k < max_length:
                 # regenerated from the pinned baskets when the next level runs

@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tabmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
