@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabmine.functions.derive import normalized_id
 from tabmine.operators.clean import not_in
-from tabmine.operators.common import lookup_join
+from tabmine.operators.common import broadcast_checked, lookup_join
 
 DUPLICATE_REASON = "Duplicate key (keeping first only)"
 TERMINAL_PREFIX = "Terminal code: "
@@ -43,7 +43,7 @@ def tag_deletions(df: DataFrame, key: str, order: str, terminal_col: str, termin
     tagged = tagged.withColumn("_code_id", normalized_id(terminal_col))
     if code_labels is not None:
         labels = code_labels.select(F.col("id").alias("_code_id"), F.col("label").alias("_code_label"))
-        tagged = lookup_join(tagged, labels, on="_code_id", how="left")
+        tagged = lookup_join(tagged, broadcast_checked(labels), on="_code_id", how="left")
     else:
         tagged = tagged.withColumn("_code_label", F.lit(None).cast("string"))
     reason = (F.when(dup, F.lit(DUPLICATE_REASON))

@@ -2,9 +2,9 @@
 
 * K1 PCA: centre, project on two components, fix signs;
 * K2 k-means: Spark ML KMeans, best of several seeds by training cost;
-* K3 Ward: k-means to ``m`` weighted micro-clusters on Spark, Ward merging of
-  those ``m`` centroids (a bounded table), labels joined back; exact when the
-  table has at most ``m`` rows (each row is its own micro-cluster);
+* K3 Ward: ``m`` weighted micro-clusters on Spark, Ward merging of
+  those ``m`` centroids (a bounded table), labels attached as literals; with at
+  most ``m`` distinct points each point is its own micro-cluster;
 * K4 DBSCAN: exact grid algorithm, cells of side eps/sqrt(2) so a cell holding
   ``min_samples`` points is all core; neighbour counts and core links come from
   an equi-join on neighbouring cell keys filtered by distance; components by
@@ -21,6 +21,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
@@ -61,17 +62,18 @@ def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by
              bounded: bool = False) -> DataFrame:
     """Number clusters 0..k-1 by their smallest row id (or, with ``by_label``,
     by the label value itself); -1 (noise) stays.  With ``bounded`` (k-means,
-    Ward: exactly k clusters, a parameter) a window over the k-row cluster table
-    numbers them; otherwise (DBSCAN: the cluster count grows with the data) the
+    Ward: exactly k clusters, a parameter) the k-row cluster table
+    is attached as literals; otherwise (DBSCAN: the cluster count grows with the data) the
     ordinal comes from a distributed running count."""
     members = labels.where(F.col(label) >= 0)
     firsts = (members.select(label).distinct().withColumn("_first", F.col(label)) if by_label
               else members.groupBy(label).agg(F.min(row_id).alias("_first")))
-    if bounded:
-        order = firsts.select(label, (F.row_number().over(Window.orderBy("_first")) - 1).alias("_new"))
-    else:
-        order = prefix_sums(firsts.withColumn("_one", F.lit(1)), ["_first"], ["_one"]).select(
-            label, (F.col("cum__one") - 1).alias("_new"))
+    if bounded:                                         # at most k rows: literals, no shuffle on the label
+        ids = [r[label] for r in firsts.orderBy("_first").collect()]
+        new = F.coalesce(*[F.when(F.col(label) == v, F.lit(i)) for i, v in enumerate(ids)], F.col(label))
+        return labels.select(row_id, new.cast("int").alias(label))
+    order = prefix_sums(firsts.withColumn("_one", F.lit(1)), ["_first"], ["_one"]).select(
+        label, (F.col("cum__one") - 1).alias("_new"))
     return (labels.join(order, label, "left")
             .select(row_id, F.coalesce(F.col("_new"), F.col(label)).cast("int").alias(label)))
 
@@ -79,18 +81,18 @@ def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by
 ROWS_PER_PARTITION = 100_000
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """At least ~100k rows per partition for iterative fits (fewer, fuller tasks
-    per iteration); never more partitions than the input has."""
-    n = df.count()
-    want = max(1, -(-n // ROWS_PER_PARTITION))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+def _laid_out(df: DataFrame, row_id: str) -> DataFrame:
+    """Rows dealt by the hash of their id over one partition per ~100k rows and
+    sorted: fits that draw rows per partition then depend on the rows alone, not
+    on the splits of the scan or the number of cores."""
+    want = max(1, -(-df.count() // ROWS_PER_PARTITION))
+    return df.repartition(want, row_id).sortWithinPartitions(row_id)
 
 
 def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "row_id") -> DataFrame:
     """K2: best of ``n_init`` seeded k-means fits by training cost (the fits run
     concurrently from a small driver thread pool)."""
-    pts = _sized(_vec(coords)).cache()
+    pts = _laid_out(_vec(coords), row_id).cache()
 
     def fit(s):
         m = KMeans(k=k, seed=SEED + s, featuresCol="features", predictionCol="label").fit(pts)
@@ -98,7 +100,8 @@ def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "ro
 
     with ThreadPoolExecutor(max_workers=min(n_init, 8)) as pool:   # seeds fit concurrently
         best = min(pool.map(fit, range(n_init)), key=lambda t: (t[0], t[1]))
-    return renumber(best[2].transform(pts).select(row_id, "label"), row_id, bounded=True)
+    pts.unpersist()
+    return renumber(best[2].transform(_vec(coords)).select(row_id, "label"), row_id, bounded=True)
 
 
 def _ward_merge(cent: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
@@ -139,23 +142,53 @@ def _ward_merge(cent: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
     return np.array([index[o] for o in owner], dtype=int)
 
 
-def ward_labels(coords: DataFrame, k: int, micro: int = 200, row_id: str = "row_id") -> DataFrame:
-    """K3: Ward over at most ``micro`` weighted micro-clusters."""
-    spark = coords.sparkSession
-    n = coords.count()
-    if n <= micro:
-        assign = coords.select(row_id, F.col(row_id).alias("_m"))
-        cents = coords.select(F.col(row_id).alias("_m"), "x", "y", F.lit(1).alias("_w"))
-    else:
-        pts = _vec(coords)
-        m = KMeans(k=micro, seed=SEED, featuresCol="features", predictionCol="_m").fit(pts)
-        assign = m.transform(pts).select(row_id, "_m")
-        cents = assign.join(coords, row_id).groupBy("_m").agg(F.avg("x").alias("x"), F.avg("y").alias("y"),
-                                                             F.count(F.lit(1)).alias("_w"))
-    rows = cents.orderBy("_m").collect()            # at most `micro` rows
-    grp = _ward_merge(np.array([[r["x"], r["y"]] for r in rows]), np.array([r["_w"] for r in rows]), k)
-    mapping = spark.createDataFrame([(r["_m"], int(g)) for r, g in zip(rows, grp)], "_m long, label int")
-    return renumber(assign.join(F.broadcast(mapping), "_m").select(row_id, "label"), row_id, bounded=True)
+def _nearest(coords: DataFrame, centres: np.ndarray, row_id: str) -> DataFrame:
+    """``(row_id, x, y, _m)``: index of the nearest centre (ties: the first)."""
+    @F.pandas_udf("int")
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = [np.empty(0, dtype=np.int32)]
+        for at in range(0, len(x), 4096):
+            dx = x.to_numpy()[at:at + 4096, None] - centres[:, 0]
+            dy = y.to_numpy()[at:at + 4096, None] - centres[:, 1]
+            out.append((dx * dx + dy * dy).argmin(axis=1).astype(np.int32))
+        return pd.Series(np.concatenate(out))
+
+    return coords.select(row_id, "x", "y", near("x", "y").alias("_m"))
+
+
+def micro_clusters(coords: DataFrame, micro: int = 200, iterations: int = 5,
+                   row_id: str = "row_id") -> tuple[DataFrame, list]:
+    """``(row_id, _m)`` (pinned) and the rows ``(_m, x, y, w)`` of at most ``micro``
+    micro-clusters: Lloyd steps from the ``micro`` distinct points whose row ids
+    hash lowest.  One method at every size: with at most ``micro`` distinct points
+    every point is a centre and stays one.  Only the centres reach the driver."""
+    starts = (coords.groupBy("x", "y").agg(F.min(F.struct(F.xxhash64(row_id).alias("h"), F.col(row_id).alias("i"))).alias("_h"))
+              .orderBy("_h").limit(micro).collect())
+    centres = np.array([[r["x"], r["y"]] for r in starts], dtype=float).reshape(-1, 2)
+    if not len(centres):
+        return coords.select(row_id, F.lit(0).alias("_m")), []
+
+    def means(assigned):
+        return assigned.groupBy("_m").agg(F.avg("x").alias("x"), F.avg("y").alias("y"),
+                                          F.count(F.lit(1)).alias("w")).orderBy("_m").collect()
+
+    for _ in range(iterations):
+        for r in means(_nearest(coords, centres, row_id)):
+            centres[r["_m"]] = r["x"], r["y"]
+    assigned = cut_lineage(_nearest(coords, centres, row_id))
+    return assigned.select(row_id, "_m"), means(assigned)
+
+
+def ward_labels(coords: DataFrame, k: int, micro: int = 200, row_id: str = "row_id",
+                fitted: tuple[DataFrame, list] | None = None) -> DataFrame:
+    """K3: Ward over at most ``micro`` weighted micro-clusters (``fitted``: those of
+    ``micro_clusters``, to cut one fit at several ``k``)."""
+    assigned, rows = fitted or micro_clusters(coords, micro, row_id=row_id)
+    if not rows:
+        return assigned.select(row_id, F.lit(0).alias("label"))
+    grp = _ward_merge(np.array([[r["x"], r["y"]] for r in rows]), np.array([r["w"] for r in rows]), k)
+    group_of = F.create_map(*[F.lit(int(v)) for r, g in zip(rows, grp, strict=True) for v in (r["_m"], g)])
+    return renumber(assigned.select(row_id, group_of[F.col("_m")].alias("label")), row_id, bounded=True)
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -9,17 +9,25 @@ from pyspark.sql import functions as F
 
 from tabmine.session import cut_lineage
 
-# Largest side we broadcast without a second thought: dictionaries and per-column
-# parameter tables are far below this; anything above falls back to a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side we broadcast, measured as text: dictionaries and per-column parameter
+# tables are far below this; anything above falls back to a shuffle join.
+BROADCAST_MAX_BYTES = 16 << 20
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; otherwise return it as
-    is so the planner picks a shuffle join.  ``df`` must be cheap to count (a
-    dictionary, a fitted-parameter table, an aggregate)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_checked(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after measuring its values (bytes as JSON text);
+    otherwise return it as is so the planner picks a shuffle join.  ``df`` must be
+    cheap to read (a dictionary, a pinned parameter table)."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    n = df.agg(F.sum(F.octet_length(row))).first()[0] or 0
+    return F.broadcast(df) if n <= max_bytes else df
+
+
+def fitted_side(df: DataFrame) -> DataFrame:
+    """Small side of a join that attaches fitted values or a few classes to rows:
+    pinned, so it is computed once, then ``broadcast_checked``, so the rows are
+    not shuffled on a key of a few values."""
+    return broadcast_checked(cut_lineage(df))
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:

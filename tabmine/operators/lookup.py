@@ -16,7 +16,7 @@ def label_codes(df: DataFrame, code_col: str, labels: DataFrame, out_col: str =
     float -> int on both sides (``'3.0'`` finds ``'3'``).  ``labels``: ``(id, label)``."""
     d = labels.select(normalized_id("id").alias("_id"), F.col("label").alias(out_col))
     d = d.groupBy("_id").agg(F.max(out_col).alias(out_col))
-    return lookup_join(df.withColumn("_id", normalized_id(code_col)), d, "_id").drop("_id")
+    return lookup_join(df.withColumn("_id", normalized_id(code_col)), broadcast_checked(d), "_id").drop("_id")
 
 
 def prefix_label(codes: DataFrame, code_col: str, dictionary: DataFrame, out_col: str = "description",

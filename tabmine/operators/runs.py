@@ -36,7 +36,7 @@ def pick_runs(runs: DataFrame, metric: str, selected: DataFrame | None = None, a
     base = runs.withColumn("_m", m)
     if selected is not None:
         sel = selected.select(algorithm, F.col(signature).alias("_want"))
-        base = base.join(F.broadcast(sel), algorithm, "left")
+        base = base.join(sel, algorithm, "left")
         match = F.coalesce(F.col(signature) == F.col("_want"), F.lit(False))
     else:
         match = F.lit(False)

@@ -11,17 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import attach_scalars
+from tabmine.operators.common import attach_scalars, broadcast_checked, fitted_side
 from tabmine.session import cut_lineage
 
 
-def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
+def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10, rows: DataFrame | None = None) -> DataFrame:
     """``(feature, label, b, n_bc, s_bc, n_c, N, lo, hi)`` for every (feature,
     class, bin) with rows, absent zeros included.  Features are cut into
     ``bins`` equal-width bins over [lo, hi] (lo/hi include 0 when a feature is
-    absent somewhere)."""
+    absent somewhere).  ``rows``: ``(row_id, label)`` of all rows, one each; without
+    it, rows whose entries are all zero are not known and not counted."""
     long = cut_lineage(long)
-    classes = long.select("row_id", label).distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n_c")).cache()
+    rows = rows if rows is not None else long.select("row_id", label).distinct()
+    classes = cut_lineage(rows.groupBy(label).agg(F.count(F.lit(1)).alias("n_c")))
     total = classes.agg(F.sum("n_c").alias("N"))
     ext = attach_scalars(long.groupBy("feature").agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("min_p"),
                                                      F.max("value").alias("max_p")), total)
@@ -29,7 +31,7 @@ def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -
                       F.when(F.col("cnt") < F.col("N"), F.least("min_p", F.lit(0.0))).otherwise(F.col("min_p")).alias("lo"),
                       F.when(F.col("cnt") < F.col("N"), F.greatest("max_p", F.lit(0.0))).otherwise(F.col("max_p"))
                       .alias("hi"))
-    lohi = lohi.cache()
+    lohi = fitted_side(lohi)
     rng = F.col("hi") - F.col("lo")
 
     def bin_of(x):
@@ -41,14 +43,14 @@ def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10) -
     present = cut_lineage(long.join(lohi, "feature").groupBy("feature", label, bin_of(F.col("value")).alias("b"))
                           .agg(F.count(F.lit(1)).alias("n_bc"), F.sum("value").alias("s_bc")))
     per_fc = present.groupBy("feature", label).agg(F.sum("n_bc").alias("cnt_c"))
-    grid = (lohi.withColumn("_one", F.lit(1)).join(F.broadcast(classes.withColumn("_one", F.lit(1))), "_one")
+    grid = (lohi.withColumn("_one", F.lit(1)).join(broadcast_checked(classes.withColumn("_one", F.lit(1))), "_one")
             .drop("_one").join(per_fc, ["feature", label], "left").fillna({"cnt_c": 0}))
     absent = grid.select("feature", label, bin_of(F.lit(0.0)).alias("b"),
                          (F.col("n_c") - F.col("cnt_c")).alias("n_bc"), F.lit(0.0).alias("s_bc")) \
         .where(F.col("n_bc") > 0)
     cells = present.unionByName(absent).groupBy("feature", label, "b").agg(F.sum("n_bc").alias("n_bc"),
                                                                             F.sum("s_bc").alias("s_bc"))
-    return cells.join(F.broadcast(classes), label).join(lohi, "feature")
+    return cells.join(broadcast_checked(classes), label).join(lohi, "feature")
 
 
 def chi_square(cells: DataFrame, label: str = "label") -> DataFrame:
@@ -77,9 +79,9 @@ def mutual_information(cells: DataFrame, label: str = "label") -> DataFrame:
     return c.groupBy("feature").agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("score"))
 
 
-def feature_scores(long: DataFrame, label: str = "label", bins: int = 10) -> DataFrame:
+def feature_scores(long: DataFrame, label: str = "label", bins: int = 10, rows: DataFrame | None = None) -> DataFrame:
     """``(method, feature, score)`` for both methods from one cell table."""
-    cells = cut_lineage(feature_class_cells(long, label, bins))
+    cells = cut_lineage(feature_class_cells(long, label, bins, rows))
     return (mutual_information(cells, label).withColumn("method", F.lit("mutual_information"))
             .unionByName(chi_square(cells, label).withColumn("method", F.lit("chi_square"))))
 

@@ -209,16 +209,15 @@ ORACLE_SQL["nzv_summary"] = """SELECT count(*) AS n_columns, count(*) FILTER (WH
        count(*) FILTER (WHERE NOT "drop") AS n_keep FROM (WITH """ + _nzv_sql("lineitem", LINE_COLS, LINE_NUMERIC,
                                                                              exempt=True) + ")"
 
-ENC_PROFILE = ["o_orderstatus", "o_orderpriority", "c_nationkey", "c_mktsegment", "st_price", "st_balance", "st_rush"]
 ENC_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_nationkey",
            "c_mktsegment", "c_acctbal", "st_price", "st_balance", "st_rush"]
 ENC_NUMERIC = {"o_orderkey", "o_custkey", "o_totalprice", "c_nationkey", "c_acctbal"}
 
 ORACLE_SQL["dataset_overview"] = f"""WITH {ENC},
-p AS (SELECT {', '.join(ENC_PROFILE)} FROM enc),
-g AS (SELECT count(*) AS n FROM p GROUP BY {', '.join(ENC_PROFILE)})
-SELECT (SELECT count(*) FROM p) AS total_rows, {len(ENC_PROFILE)} AS total_cols,
-       CAST((SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in ENC_PROFILE)} FROM p) AS BIGINT)
+p AS (SELECT {', '.join(ENC_ALL)} FROM enc),
+g AS (SELECT count(*) AS n FROM p GROUP BY {', '.join(ENC_ALL)})
+SELECT (SELECT count(*) FROM p) AS total_rows, {len(ENC_ALL)} AS total_cols,
+       CAST((SELECT {' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in ENC_ALL)} FROM p) AS BIGINT)
          AS total_missing_cells,
        CAST((SELECT coalesce(sum(n - 1), 0) FROM g) AS BIGINT) AS duplicate_rows"""
 
@@ -256,7 +255,7 @@ SELECT col AS "column", label, n,
             'inf'::DOUBLE) ELSE 0.0 END, label) AS INTEGER) AS ord FROM vc"""
 
 
-ORACLE_SQL["value_distribution"] = f"WITH {ENC}, " + _dist_sql(ENC_PROFILE + ["o_totalprice"], ENC_NUMERIC, "enc")
+ORACLE_SQL["value_distribution"] = f"WITH {ENC}, " + _dist_sql(ENC_ALL, ENC_NUMERIC, "enc")
 
 CLEAN_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_nationkey",
               "c_mktsegment", "c_acctbal", "st_price", "st_balance"]
@@ -264,7 +263,7 @@ ORACLE_SQL["cleaned_distribution"] = f"""WITH {FILTERED},
 cleaned AS (SELECT * REPLACE (coalesce(o_orderpriority, 'Unknown') AS o_orderpriority) FROM filtered), """ + \
     _dist_sql(CLEAN_COLS, ENC_NUMERIC, "cleaned")
 
-ORACLE_SQL["log_scale_hints"] = f"WITH {ENC}, d AS (WITH " + _dist_sql(ENC_PROFILE, ENC_NUMERIC, "enc") + """)
+ORACLE_SQL["log_scale_hints"] = f"WITH {ENC}, d AS (WITH " + _dist_sql(ENC_ALL, ENC_NUMERIC, "enc") + """)
 SELECT "column", max(n) / coalesce(min(n) FILTER (WHERE n > 0), 1) > 50 AS use_log FROM d GROUP BY "column" """
 
 

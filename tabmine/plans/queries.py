@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tabmine.functions import derive as D
 from tabmine.operators import audit, clean, lookup, profile
 from tabmine.plans import bindings as B
-from tabmine.session import cut_lineage
+from tabmine.session import cut_lineage, on_release
 from tabmine.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,9 @@ def _memo(spark: SparkSession, sf: str, key: str, build):
     return _MEMO[k]
 
 
+on_release(clear_memo)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -252,14 +255,10 @@ def nzv_summary(spark, sf):
     return profile.nzv_summary(profile.nzv_metrics(li, li.columns, numeric_exempt=True))
 
 
-ENC_PROFILE_COLS = ["o_orderstatus", "o_orderpriority", "c_nationkey", "c_mktsegment", "st_price", "st_balance",
-                    "st_rush"]
-
-
 @query
 def dataset_overview(spark, sf):
-    """A4 on the encounter table without its keys."""
-    return profile.overview(B.encounters(spark, sf).select(*ENC_PROFILE_COLS))
+    """A4 on the encounter table, every column."""
+    return profile.overview(B.encounters(spark, sf))
 
 
 @query
@@ -281,7 +280,7 @@ def numeric_summary(spark, sf):
 def value_distribution(spark, sf):
     """Value counts with their ordinal (numeric order for numeric columns)."""
     e = B.encounters(spark, sf)
-    return profile.distribution(e, ENC_PROFILE_COLS + ["o_totalprice"])
+    return profile.distribution(e)
 
 
 @query
@@ -294,7 +293,7 @@ def cleaned_distribution(spark, sf):
 def log_scale_hints(spark, sf):
     """C15 over the A8 distributions."""
     e = B.encounters(spark, sf)
-    return profile.log_scale_hint(profile.distribution(e, ENC_PROFILE_COLS, ordinal=False))
+    return profile.log_scale_hint(profile.distribution(e, ordinal=False))
 
 
 TREATMENT_KW = dict(id_cols=["o_orderkey", "o_custkey"], high_missing_cols=[], missing_category_cols=["o_orderpriority"],
@@ -393,7 +392,7 @@ def stratified_split(spark, sf):
     """Exact per-class 80/20 split by md5 hash of the key (seed 42)."""
     from tabmine.operators.split import stratified_split as split
 
-    e = B.encounters(spark, sf).select("o_orderkey", "o_orderstatus")
+    e = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
     return split(e, "o_orderkey", "o_orderstatus", 0.2, 42)
 
 
@@ -699,14 +698,15 @@ def _labels_y(spark, sf):
 def cluster_runs(spark, sf):
     """K2, K3, K5, K6: k-means (best of 10 seeds) and Ward for k = 2..8 on the
     PCA coordinates: cluster count, noise count, squared-Euclidean silhouette."""
-    from tabmine.operators.cluster import kmeans_labels, run_overview, silhouette_sq, ward_labels
+    from tabmine.operators.cluster import kmeans_labels, micro_clusters, run_overview, silhouette_sq, ward_labels
 
     def build():
         coords, _ = _coords(spark, sf)
+        fitted = micro_clusters(coords)
         out = None
         for k in range(2, 9):
             for method, fn in (("kmeans", lambda: kmeans_labels(coords, k)),
-                               ("hierarchical", lambda: ward_labels(coords, k))):
+                               ("hierarchical", lambda: ward_labels(coords, k, fitted=fitted))):
                 lab = cut_lineage(fn())
                 o = run_overview(lab, silhouette_sq(coords, lab), str(k), method)
                 out = o if out is None else out.unionByName(o)

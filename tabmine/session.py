@@ -56,6 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _PINNED: list[str] = []
+_ON_RELEASE: list = []
+
+
+def on_release(fn) -> None:
+    """Call ``fn()`` when pinned tables are released (whoever keeps DataFrames over them)."""
+    _ON_RELEASE.append(fn)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -79,6 +85,8 @@ def release_pinned(spark: SparkSession) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
+    for fn in _ON_RELEASE:
+        fn()
     while _PINNED:
         path = jvm.org.apache.hadoop.fs.Path(_PINNED.pop())
         if path.getFileSystem(conf).delete(path, True):
