@@ -17,15 +17,15 @@ that means an overlap of at least (num / (num + den)) * (p + q), so at most
    returns at most one spanning tree of links.
 4. Connected components over the links.
 
-No group is collected whole: parts are reduced by a partially aggregated min / max, and
-tiles hold a bounded number of shingles (one longer text aside)."""
+No group is collected whole: parts are reduced in the tasks that find them before the
+one shuffle of keys, and tiles hold a bounded number of shingles (one longer text aside)."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.llm.common import components, mix64, small_side, text_chunks, word_hashes
@@ -33,6 +33,8 @@ from tabmine.session import cut_lineage
 
 #: shingles and sets of one tile of the product
 TILE_SHINGLES, TILE_ROWS = 40_000, 256
+#: part keys that a task holds before it sends them on
+KEYS_HELD = 500_000
 _C = [np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0x27D4EB2F165667C5, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)]
 
@@ -143,10 +145,28 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 
 
 def _keys(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``(key, node)`` of all parts; a set is emitted once per input partition, so a
-    hot group of copies does not multiply the keys."""
+    """``(key, node, other)`` of all parts.  A task holds a bounded number of keys and sends
+    each key on once, with its smallest set; the other sets that it met under the key go as
+    links to that one (``other``, under a key of their own).  So a key has a row for each
+    run of held keys at most, however many sets agree on it."""
+    held = KEYS_HELD
+
+    def reduced(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(keys, kind="stable")
+        keys, nodes = keys[order], nodes[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        lo = np.minimum.reduceat(nodes, first)
+        other = np.repeat(lo, np.diff(np.append(first, len(keys))))
+        links = np.unique(np.stack([nodes, other], 1)[nodes != other], axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([keys[first], mix64(links[:, 0].view(np.uint64)).view(np.int64)])),
+             pa.array(np.concatenate([lo, links[:, 0]])),
+             pa.array(np.concatenate([lo, links[:, 1]]), mask=np.arange(len(lo) + len(links)) < len(lo))],
+            names=["key", "node", "other"])
+
     def run(batches):
         seen: set[int] = set()
+        keys, nodes, n = [], [], 0
         for batch in batches:
             for _, data, starts in text_chunks(batch.column("_text")):
                 rows, sh, sizes = shingle_sets(data, starts, width)
@@ -159,11 +179,18 @@ def _keys(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 if len(seen) > 2_000_000:               # forgetting only repeats keys
                     seen.clear()
                 keep = fresh[rows]
-                who, keys = part_keys(rows[keep], sh[keep], np.where(fresh, sizes, 0), num, den)
+                who, key = part_keys(rows[keep], sh[keep], np.where(fresh, sizes, 0), num, den)
                 if len(who):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[who])], names=["key", "node"])
+                    keys.append(key)
+                    nodes.append(ids[who])
+                    n += len(who)
+                if n > held:
+                    yield reduced(np.concatenate(keys), np.concatenate(nodes))
+                    keys, nodes, n = [], [], 0
+        if n:
+            yield reduced(np.concatenate(keys), np.concatenate(nodes))
 
-    return texts.mapInArrow(run, "key bigint, node bigint")
+    return texts.mapInArrow(run, "key bigint, node bigint, other bigint")
 
 
 def _tile_links(width: int, num: int, den: int):
@@ -239,11 +266,9 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
 
 
 def _links(texts: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    keys = _keys(texts, width, num, den)
-    shared = cut_lineage(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                         .where("lo < hi").select("key", "lo"))
-    star = cut_lineage(keys.join(small_side(shared), "key").where("node <> lo")
-                       .select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct())
+    least = F.min("node").over(Window.partitionBy("key"))
+    star = cut_lineage(_keys(texts, width, num, den).select(F.col("node").alias("a"), F.coalesce("other", least).alias("b"))
+                       .where("a <> b").distinct())
     block = components(star)
     size = sets.where("_node IS NOT NULL").groupBy(F.col("_node").alias("node")).agg(
         F.min("_id").alias("_id"), F.max("_n").alias("n"))

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabmine.llm.jaccard import bands, jaccard_components
+from tabmine.llm.common import text_chunks
+from tabmine.llm.jaccard import _keys, bands, jaccard_components
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -123,3 +124,16 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = sorted([tuple(r) for r in jaccard_components(docs).select("doc_id", "n_shingles", F.col("component_id")).collect()], key=str)
     assert got == brute(rows)
+
+
+@pytest.mark.parametrize("held", [0, 10_000])
+def test_keys_sent_on_in_many_runs(spark, monkeypatch, held):
+    """The links do not depend on how many keys a task holds at a time."""
+    monkeypatch.setattr("tabmine.llm.jaccard.KEYS_HELD", held)
+    monkeypatch.setattr("tabmine.llm.jaccard.text_chunks", lambda arr, **kw: text_chunks(arr, limit=2_000))
+    rows = corpus(11)
+    assert run(spark, rows) == brute(rows)
+    keys = _keys(spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id _id", "text _text").coalesce(1), 3, 90, 100)
+    assert keys.where("other >= node").isEmpty()
+    again = keys.where("other IS NULL").groupBy("key").count().where("count > 1")
+    assert again.isEmpty() == (held > 0)
