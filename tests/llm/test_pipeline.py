@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from tests.llm.test_jaccard import brute
 from tests.llm.test_packing import check
 
 SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, source string, lang string"
 
 
 def test_stages_against_brute_force(spark):
@@ -31,3 +34,19 @@ def test_columns_and_repeated_rows(spark):
     kept = corpus_pipeline.drop_near_copies(spark, twice, SF)
     assert kept.count() == kept.select("doc_id").distinct().count()
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, SF).collect()))
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows.append((2 * k, " ".join(words), "s", "en"))
+        at = rng.randrange(150)
+        words[at:at + k // 2] = [f"e{rng.randrange(5000)}" for _ in range(k // 2)]
+        rows.append((2 * k + 1, " ".join(words), "s", "en"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = [d for d, _, c in brute([r[:2] for r in rows], 5, 80, 100) if d == c]
+    narrow = [d for d, _, c in brute([r[:2] for r in rows]) if d == c]
+    assert len(want) < len(narrow)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()) == sorted(want)
