@@ -50,3 +50,17 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     narrow = [d for d, _, c in brute([r[:2] for r in rows]) if d == c]
     assert len(want) < len(narrow)
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()) == sorted(want)
+
+
+def test_unlinked_texts_of_one_id_stay(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(12)]
+    rows = [(7, t, f"s{k}", "en") for k, t in enumerate(texts)]                # one id, different texts
+    rows += rows[:5]                                                           # repeated rows
+    near = [(7, texts[0] + " more", "s", "en"), (9, texts[1] + " more", "s", "en"), (3, texts[2] + " more", "s", "en"), (3, "x", "s", "en")]
+    alone = [(None, texts[3], "s", "en"), (None, texts[3], "s", "en"), (8, None, "s", "en"), (8, "", "s", "en"), (8, "", "s", "en")]
+    docs = spark.createDataFrame(rows + near + alone, SCHEMA).repartition(4)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [(7, t) for k, t in enumerate(texts) if k != 2] + [near[2][:2], near[3][:2]] + [(None, texts[3])] * 2 + [(8, None), (8, "")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
