@@ -318,6 +318,14 @@ def extract_pages(pages: DataFrame, least_pages: int = 8, constant: float = 0.8,
             yield pd.DataFrame([(h, x, n, e) for (h, x), (n, e) in seen.items()], columns=["host", "node", "n", "same"])
 
     known = rows.join(small_side(model, 20_000), "host")               # some 2 KB a host
+    # copies count as one page: of each group that repeats on a host one row is left
+    known = known.withColumn("_key", F.md5("_html"))
+    copies = cut_lineage(known.groupBy("host", "_key").agg(F.count(F.lit(1)).alias("_m"), F.min("_id").alias("_first"))
+                         .where("_m > 1").select("host", "_key", "_first"))
+    if not copies.isEmpty():
+        copies = small_side(copies)
+        kept = known.join(copies, ["host", "_key"]).where(F.col("_id").eqNullSafe(F.col("_first"))).drop("_first")
+        known = known.join(copies, ["host", "_key"], "left_anti").unionByName(kept.dropDuplicates(["host", "_key"]))
     counts = (known.select("host", "_html", "_model").mapInPandas(count, "host string, node int, n bigint, same bigint")
               .groupBy("host", "node").agg(F.sum("n").alias("n"), F.sum("same").alias("same")))
     fixed = (counts.where((F.col("n") >= least_pages) & (F.col("same") >= constant * F.col("n")))

@@ -111,3 +111,17 @@ def test_whole_table(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         blocks = [" ".join(html_lib.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"<p>|</p>|</h1>", article)]
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_copies_count_as_one_page(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(8):
+        paragraphs = [f"story {i} part {k} {rng.random()}" for k in range(3)]
+        rows.append((i, "http://h/", page(i, rng, paragraphs)))
+        want[i] = "\n\n".join(paragraphs)
+    for i in range(100, 400):                                   # the aligned page again, some under its own id
+        rows.append((i if i % 3 else 0, "http://h/", rows[0][2]))
+        want[i if i % 3 else 0] = want[0]
+    got = extract_pages(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert len(got) == len(rows) and all(r.text == want[r.page_id] for r in got)
