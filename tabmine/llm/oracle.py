@@ -48,4 +48,42 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(r.b) AS component_id
 FROM s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(sh)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_warc": OP4, "op7_top_k": OP7, "op9_jaccard_join": OP9}
+# the checksum of a feature's bytes by a table of 256 steps; distinct features only
+OP12 = """
+WITH step AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(b AS BIGINT))) AS t
+), texts AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), w AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts
+), f AS (
+  SELECT side, id, unnest(words) AS g FROM w
+  UNION ALL SELECT side, id, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) FROM w
+  UNION ALL SELECT side, id, unnest(list_transform(range(1, len(words) - 1), lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2])) FROM w
+), n AS (SELECT side, id, g, count(*) AS c FROM f GROUP BY ALL),
+named AS (
+  SELECT g, xor(list_reduce(list_transform(range(CAST(strlen(g) AS BIGINT)), lambda k: CAST(CAST('0x' || substr(hex(encode(g)), 2 * k + 1, 2) AS INTEGER) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g FROM n), step
+), b AS (
+  SELECT bucket, coalesce(sum(c) FILTER (side = 0), 0) AS s, coalesce(sum(c) FILTER (side = 1), 0) AS t FROM n JOIN named USING (g) GROUP BY bucket
+), total AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM b),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(b.t AS DOUBLE) + 1) * (CAST(total.s AS DOUBLE) + 10000)
+    / ((CAST(b.s AS DOUBLE) + 1) * (CAST(total.t AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM b, total
+), per AS (
+  SELECT id, sum(c) AS n_features, sum(c * gain) AS weight FROM n JOIN named USING (g) JOIN gain USING (bucket) WHERE side = 0 GROUP BY id
+), scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN per ON id = doc_id
+), ordered AS (
+  SELECT *, n_features >= 57 AS able, row_number() OVER (PARTITION BY n_features >= 57 ORDER BY score DESC, doc_id) AS r,
+    count(*) OVER (PARTITION BY n_features >= 57) AS m FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND r <= 5 * m // 100 THEN r END AS rank FROM ordered
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_warc": OP4, "op7_top_k": OP7, "op9_jaccard_join": OP9, "op12_resampling": OP12}

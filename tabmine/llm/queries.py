@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabmine.llm import bpe, extract, jaccard, langid, merkle, packing, quality, topk, toxicity, warc
+from tabmine.llm import (bpe, decision_list, extract, jaccard, langid, merkle, packing, periodic, quality, resample, topk,
+                         toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +67,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels")).drop("text")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of the learned decision list."""
+    return decision_list.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document; the target are the benchmark texts."""
+    return resample.importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic word runs of every document, as digests."""
+    return periodic.run_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_main_text, op3_best_fit, op4_warc, op5_merkle, op6_bpe, op7_top_k, op8_quality, op9_jaccard_join,
-    op10_toxicity)}
+    op10_toxicity, op11_quality_rules, op12_resampling, op13_periodic_runs)}
