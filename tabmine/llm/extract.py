@@ -14,6 +14,7 @@ import hashlib
 import html
 import pickle
 import re
+from bisect import bisect_left
 
 import pandas as pd
 import pyarrow as pa
@@ -43,9 +44,19 @@ LABEL = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*
                    r"popup|modal|overlay|newsletter|subscribe|subscription|signup|login|paywall|share|sharing|social|related|"
                    r"recommend\w*|trending|tags|toolbar|pagination|pager|widget|comments?|commentlist|replies|reply|disqus|form|"
                    r"search|skip|legal|disclaimer)(?=$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-                   r"<(/?)([A-Za-z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+REMARK = re.compile(r"(?:(?:user|reader)s?[_-])?(?:comment|repl(?:y|ies)\b)", re.I)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: elements that carry text by their nature; part of a class name is no word about them
+TEXTUAL = frozenset("article main h1 h2 h3 h4 h5 h6 p pre blockquote table tbody tr td th figure figcaption li dl dt dd".split())
+#: a named part of an article that holds more than this share of its text is the article's body, whatever its name
+BODY_SHARE = 0.5
+#: a comment, CDATA section, declaration or tag; nothing that was taken is given back, so one try is linear
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
+                   r"<(/?)([A-Za-z][^\s/>]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>", re.S)
+NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
+ATTRIBUTE = re.compile(r"(?<![^\s=/>])([^\s=/>]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
+#: after so many tags that do not end, ends are looked up in a table
+FAILED_TAGS = 16
 DEPTH = 200
 
 
@@ -61,23 +72,81 @@ class Node:
         return [p for p in self.parts if not isinstance(p, str)]
 
 
+class Ends:
+    """Where tags end, for pages with many that do not: every mark (``>`` and quotes) of the page is looked at once."""
+
+    def __init__(self, source: str, at: int):
+        self.source = source
+        self.marks = [m.start() for m in re.finditer("[>\"']", source[at:])]
+        self.marks = [m + at for m in self.marks]
+        self.end = [-1] * (len(self.marks) + 1)         # end of a tag whose next mark outside of quotes is this one
+        self.past = {">": len(self.marks), '"': len(self.marks), "'": len(self.marks)}
+        self.declared = [-1] * (len(self.marks) + 1)
+        for k in range(len(self.marks) - 1, -1, -1):
+            kind = source[self.marks[k]]
+            if kind == ">":
+                self.end[k] = self.marks[k]
+            elif self.past[kind] < len(self.marks):
+                self.end[k] = self.end[self.past[kind] + 1]
+            self.past[kind] = k
+            self.declared[k] = self.marks[self.past[">"]] if self.past[">"] < len(self.marks) else -1
+
+    def token(self, lt: int) -> tuple[int, tuple] | None:
+        """End of the declaration or tag at ``lt`` and its ``(closing, name, attributes)``."""
+        if self.source[lt + 1:lt + 2] in ("!", "?"):
+            end = self.declared[bisect_left(self.marks, lt)]
+            return (end + 1, (None, None, None)) if end >= 0 else None
+        m = NAME.match(self.source, lt)
+        if m is None:
+            return None
+        end = self.end[bisect_left(self.marks, m.end())]
+        return (end + 1, (m[1], m[2], self.source[m.end():end])) if end >= 0 else None
+
+
+class Scanner:
+    """Finds the page's tags, and what else is no text, from left to right.  Time is linear."""
+
+    def __init__(self, source: str):
+        self.source, self.failed, self.last = source, 0, source.rfind(">")
+        self.ends: Ends | None = None
+
+    def after(self, at: int) -> tuple[int, int, tuple] | None:
+        """``(start, end, (closing, name, attributes))`` of the next one; no name: a comment or the like."""
+        source = self.source
+        while (lt := source.find("<", at)) >= 0:
+            if self.ends is None and lt < self.last and (m := TOKEN.match(source, lt)) is not None:
+                return lt, m.end(), m.groups()
+            free = source.startswith(("<!--", "<![CDATA["), lt)
+            if lt > self.last and not free:
+                if source.find("<!", lt) < 0:
+                    return None
+            elif self.ends is not None and not free:
+                found = self.ends.token(lt)
+                if found is not None:
+                    return lt, *found
+            elif (m := TOKEN.match(source, lt)) is not None:
+                return lt, m.end(), m.groups()
+            elif source[lt + 1:lt + 2] not in ("", " ", "\n", "<", "="):
+                self.failed += 1
+                if self.failed > FAILED_TAGS:
+                    self.ends = Ends(source, lt)
+            at = lt + 1
+        return None
+
+
 def parse(source: str) -> Node:
     """Tree of a page; unclosed elements are closed where HTML closes them."""
     root = Node("#root")
     open_, at, low = [root], 0, None
-    while True:
-        m = TOKEN.search(source, at)
-        if m is None:
-            if at < len(source):
-                open_[-1].parts.append(source[at:])
-            break
-        if m.start() > at:
-            open_[-1].parts.append(source[at:m.start()])
-        at = m.end()
-        closing, name, attrs = m.groups()
+    scanner = Scanner(source)
+    while (token := scanner.after(at)) is not None:
+        start, stop, (closing, name, attrs) = token
+        if start > at:
+            open_[-1].parts.append(source[at:start])
+        at = stop
         if name is None:
-            if (token := m.group()).startswith("<![CDATA["):
-                open_[-1].parts.append(html.escape(token[9:].removesuffix("]]>")))
+            if source.startswith("<![CDATA[", start):
+                open_[-1].parts.append(html.escape(source[start + 9:stop].removesuffix("]]>")))
             continue
         name = name.lower()
         if closing:
@@ -106,6 +175,8 @@ def parse(source: str) -> Node:
         if name in RAW or (name not in VOID and not attrs.endswith("/")):
             if len(open_) < DEPTH:
                 open_.append(node)
+    if at < len(source):
+        open_[-1].parts.append(source[at:])
     return root
 
 
@@ -113,6 +184,14 @@ def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(node.attrs)} if node.attrs.strip() else {}
 
 
+def by_nature(node: Node, a: dict[str, str] | None = None) -> bool:
+    """Does a role or a style hide the element or name it as no main text?"""
+    a = attributes(node) if a is None else a
+    return a.get("role", "").lower() in ROLES or a.get("aria-hidden", "").lower() == "true" or \
+        bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I)) or \
+        bool(re.search(r"(?:^|\s)hidden(?=\s|=|/|$)", ATTRIBUTE.sub(" ", node.attrs)))
+
+
 def unwanted(node: Node, inside: bool) -> bool:
     """Does the element itself say that it is not main text?"""
     if node.tag in NEVER or (node.tag == "header" and not inside):
@@ -120,13 +199,22 @@ def unwanted(node: Node, inside: bool) -> bool:
     if not node.attrs or node.tag in ("html", "body", "#root"):
         return False
     a = attributes(node)
-    if a.get("role", "").lower() in ROLES or a.get("aria-hidden", "").lower() == "true" or \
-            re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", ""), re.I) or \
-            re.search(r"(?:^|\s)hidden(?=\s|=|/|$)", ATTRIBUTE.sub(" ", node.attrs)):
+    if by_nature(node, a):
         return True
-    if node.tag in ("article", "main"):
-        return bool(re.search(r"comment|repl(?:y|ies)|related|teaser|promo|\bad\b", f"{a.get('class', '')} {a.get('id', '')}", re.I))
-    return bool(LABEL.search(a.get("class", "")) or LABEL.search(a.get("id", "")))
+    names = f"{a.get('class', '')} {a.get('id', '')}"
+    if not names.strip():
+        return False
+    if node.tag in TEXTUAL:                             # articles, headings, paragraphs: only a whole name counts
+        return any(LABEL.fullmatch(x) or REMARK.match(x) for x in names.split())
+    return bool(LABEL.search(CAMEL.sub("-", names)))
+
+
+def text_sizes(order: list[tuple[Node, bool]]) -> dict[int, int]:
+    """Length of the text below every node of a preorder list."""
+    sizes: dict[int, int] = {}
+    for n, _ in reversed(order):
+        sizes[id(n)] = sum(len(p.strip()) if isinstance(p, str) else sizes.get(id(p), 0) for p in n.parts) if n.tag not in RAW else 0
+    return sizes
 
 
 def skeleton(root: Node) -> list[tuple[str, bytes, int]]:
@@ -160,12 +248,30 @@ def _tree(flat: list) -> tuple[list[list[int]], list[tuple]]:
     return kids, shape
 
 
-def match(a: list, b: list) -> list[tuple[int, int]]:
+class Aligner:
+    """``match`` with one page, remembered for pages of one layout: two pages whose elements agree, and whose own texts agree
+    wherever that page has the text too, are matched alike.  What is remembered is bounded."""
+
+    def __init__(self, base: list, most: int = 2_000):
+        self.base, self.tree, self.most, self.known = base, _tree(base), most, {}
+        self.texts = {t: k for k, (_, t, _) in enumerate(base)}
+
+    def match(self, own: list) -> list[tuple[int, int]]:
+        key = tuple([(tag, self.texts.get(t, -1), n) for tag, t, n in own])
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            found = self.known[key] = match(self.base, own, self.tree)
+        return found
+
+
+def match(a: list, b: list, tree: tuple | None = None) -> list[tuple[int, int]]:
     """Pairs of nodes of two skeletons matched by simple tree matching: roots of the
     same element match, their children keep their order, and the number of matched
     nodes is the largest possible; of several such matchings one with more equal
-    own texts is taken (children of equal text decide).  Equal shapes match node by node."""
-    ka, sa = _tree(a)
+    own texts is taken (children of equal text decide).  Equal shapes match node by node.  ``tree``: ``_tree(a)``, if at hand."""
+    ka, sa = tree or _tree(a)
     kb, sb = _tree(b)
     memo: dict[tuple[int, int], tuple[int, list]] = {}
     one = 1 << 32                                       # a matched node outweighs all equal texts
@@ -217,14 +323,26 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
 def main_text(root: Node, template: set[int]) -> str:
     """Text blocks of the content region, joined by blank lines.  ``template`` holds preorder
     numbers of template elements; they and unwanted elements give no text of their own."""
-    number, order, stack = {}, [], [(root, False, False)]
-    while stack:
-        n, bad, inside = stack.pop()
-        bad = bad or unwanted(n, inside)
+    number, order, stack = {}, [], [(root, False)]
+    while stack:                                        # all nodes first: sizes decide about names
+        n, inside = stack.pop()
         number[id(n)] = len(order)
-        order.append((n, bad))
+        order.append((n, inside))
         inside = inside or n.tag in ("article", "main")
-        stack += [(k, bad, inside) for k in n.kids()[::-1]]
+        stack += [(k, inside) for k in n.kids()[::-1]]
+    sizes = None
+    plain, order, stack = order, [], [(root, False, None)]
+    while stack:
+        n, bad, region = stack.pop()
+        if not bad and unwanted(n, region is not None):
+            bad = True
+            if n.tag not in NEVER and (region is not None or n.tag in ("article", "main")) and "comment" not in n.attrs.lower():
+                sizes = sizes or text_sizes(plain)
+                whole = region or root
+                bad = by_nature(n) or sizes[id(n)] <= BODY_SHARE * sizes[id(whole)]
+        order.append((n, bad))
+        region = n if n.tag in ("article", "main") and not bad else region
+        stack += [(k, bad, region) for k in n.kids()[::-1]]
     regions = [n for n, bad in order if n.tag == "article" and not bad] or \
               [n for n, bad in order if not bad and (n.tag == "main" or "main" in attributes(n).get("role", ""))]
     bad_ids = {id(n) for n, bad in order if bad}
@@ -306,12 +424,22 @@ def extract_pages(pages: DataFrame, least_pages: int = 8, constant: float = 0.8,
     model = cut_lineage(chosen.select("host", "_html").mapInArrow(skeletons, "host string, _model binary")
                         .groupBy("host").agg(F.min("_model").alias("_model")))
 
+    aligners: dict[bytes, Aligner] = {}                 # of a Python worker, bounded
+
+    def aligned(blob: bytes) -> Aligner:
+        if blob not in aligners:
+            if len(aligners) >= 200:
+                aligners.clear()
+            aligners[blob] = Aligner(pickle.loads(blob))   # written by skeletons() of this run
+        return aligners[blob]
+
     def count(batches):
         for pdf in batches:
             seen: dict[tuple[str, int], list[int]] = {}
             for host, h, blob in zip(pdf["host"], pdf["_html"], pdf["_model"], strict=True):
-                base, own = pickle.loads(blob), skeleton(parse(h))     # written by skeletons() of this run
-                for x, y in match(base, own):
+                own, aligner = skeleton(parse(h)), aligned(blob)
+                base = aligner.base
+                for x, y in aligner.match(own):
                     c = seen.setdefault((host, x), [0, 0])
                     c[0] += 1
                     c[1] += base[x][1] == own[y][1]
@@ -340,9 +468,9 @@ def extract_pages(pages: DataFrame, least_pages: int = 8, constant: float = 0.8,
                 for h, blob, nodes in zip(*[b.column(c).to_pylist() for c in ("_html", "_model", "_fixed")], strict=True):
                     root, hidden = parse(h), set()
                     if blob is not None and nodes:
-                        flat, nodes = skeleton(root), set(nodes)
-                        base = pickle.loads(blob)
-                        hidden = {y for x, y in match(base, flat) if x in nodes and base[x][1] == flat[y][1]}
+                        flat, nodes, aligner = skeleton(root), set(nodes), aligned(blob)
+                        base = aligner.base
+                        hidden = {y for x, y in aligner.match(flat) if x in nodes and base[x][1] == flat[y][1]}
                     out.append(main_text(root, hidden))
                     used.append(len(hidden))
                 yield pa.RecordBatch.from_arrays(

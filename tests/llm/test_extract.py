@@ -1,10 +1,12 @@
 import html as html_lib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tabmine.llm import extract
 from tabmine.llm.extract import extract_pages, main_text, match, parse, skeleton
 
 SCHEMA = "page_id bigint, url string, html string"
@@ -125,3 +127,62 @@ def test_copies_count_as_one_page(spark):
         want[i if i % 3 else 0] = want[0]
     got = extract_pages(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
     assert len(got) == len(rows) and all(r.text == want[r.page_id] for r in got)
+
+
+@pytest.mark.parametrize("source", ["<a" * 100_000, "<a " * 100_000 + ">", "<a \"" * 50_001 + ">", "<a '<b \"" * 40_000 + ">'", "<!x" * 100_000,
+                                    "<!--" * 100_000, "<p " + "x" * 300_000 + ">t", "<p " + "x " * 100_000 + ">t", "<![CDATA[" * 50_000])
+def test_time_is_linear_on_hostile_pages(source):
+    t = time.time()
+    root = parse(source)
+    main_text(root, set())
+    skeleton(root)
+    assert time.time() - t < 5
+
+
+def test_many_unclosed_tags_are_read_like_few():
+    """The table of ends and the pattern agree: the same page with the switch early and late."""
+    rng = random.Random(5)
+    for _ in range(300):
+        source = "".join(rng.choice(["<a", "<b c='d'>", "t>", "</b>", "<p x=\"y", "\"", "'", " ", "<!doctype x>", "<!x", "<br/>", "<!-- c -->", "w"])
+                         for _ in range(rng.randrange(40)))
+        seen = []
+        for limit in (-1, 10**9):
+            extract.FAILED_TAGS = limit
+            seen.append(repr([scan for scan in _tags(source)]))
+        extract.FAILED_TAGS = 16
+        assert seen[0] == seen[1], source
+
+
+def _tags(source):
+    scanner, at = extract.Scanner(source), 0
+    while (found := scanner.after(at)) is not None:
+        yield found
+        at = found[1]
+
+
+def test_alignment_is_remembered_without_change():
+    rng = random.Random(1)
+
+    def page():
+        return "<body><div>menu</div><article>" + "".join(f"<p>{rng.choice('abc')}</p>" for _ in range(rng.randrange(1, 6))) + "</article><i>end</i></body>"
+
+    pages = [skeleton(parse(page())) for _ in range(200)]
+    aligner = extract.Aligner(pages[0], most=20)
+    assert all(aligner.match(p) == extract.match(pages[0], p) for p in pages)
+
+
+LONG = "A long text of the article stands here and goes on. " * 6
+
+
+@pytest.mark.parametrize("page", [
+    f"<article class='h-entry related-story'><p>{LONG}</p></article>", f"<article class='post-with-comments'><p>{LONG}</p></article>",
+    f"<article id='correlated'><p>{LONG}</p></article>", f"<main class='promoted'><p>{LONG}</p></main>",
+    f"<article><div class='article-body social'><p>{LONG}</p></div></article>"])
+def test_names_do_not_hide_the_article(page):
+    assert main_text(parse(page), set()) == LONG.strip()
+
+
+def test_parts_of_names():
+    page = (f"<article><h2 class='section-header'>Head</h2><p>{LONG}</p><p class='share-price'>Price</p><div class='adContainer'>buy</div>"
+            "<div class='share'>tell</div><section class='comments'><article class='comment'>me too</article></section></article>")
+    assert main_text(parse(page), set()) == f"Head\n\n{LONG.strip()}\n\nPrice"
