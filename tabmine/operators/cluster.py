@@ -1,7 +1,7 @@
 """Clustering (K1-K10) on 2-D projections.
 
 * K1 PCA: centre, project on two components, fix signs;
-* K2 k-means: Spark ML KMeans, best of several seeds by training cost;
+* K2 k-means: ``lloyd``, all seeds and all ``k`` as one stack of centres;
 * K3 Ward: ``m`` weighted micro-clusters on Spark, Ward merging of
   those ``m`` centroids (a bounded table), labels attached as literals; with at
   most ``m`` distinct points each point is its own micro-cluster;
@@ -10,19 +10,17 @@
   an equi-join on neighbouring cell keys filtered by distance; components by
   large-star / small-star rounds on pinned edge tables; a border point takes
   the lowest adjacent cluster; noise is -1; clusters numbered by smallest core id;
-* K5 silhouette on squared Euclidean distance, exact in O(n) (the reference's
-  Euclidean silhouette needs every pair; named differently on purpose);
+* K5 silhouette on squared Euclidean distance, exact in O(n), named differently on purpose (the
+  Euclidean one: ``silhouette``);
 * K6/K7 per-run summaries and best runs.
 """
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -78,30 +76,12 @@ def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by
             .select(row_id, F.coalesce(F.col("_new"), F.col(label)).cast("int").alias(label)))
 
 
-ROWS_PER_PARTITION = 100_000
-
-
-def _laid_out(df: DataFrame, row_id: str) -> DataFrame:
-    """Rows dealt by the hash of their id over one partition per ~100k rows and
-    sorted: fits that draw rows per partition then depend on the rows alone, not
-    on the splits of the scan or the number of cores."""
-    want = max(1, -(-df.count() // ROWS_PER_PARTITION))
-    return df.repartition(want, row_id).sortWithinPartitions(row_id)
-
-
 def kmeans_labels(coords: DataFrame, k: int, n_init: int = 10, row_id: str = "row_id") -> DataFrame:
-    """K2: best of ``n_init`` seeded k-means fits by training cost (the fits run
-    concurrently from a small driver thread pool)."""
-    pts = _laid_out(_vec(coords), row_id).cache()
+    """K2: best of ``n_init`` starts by cost (all starts are one stack of centres, see ``lloyd``)."""
+    from tabmine.operators.lloyd import kmeans_fits, nearest_labels
 
-    def fit(s):
-        m = KMeans(k=k, seed=SEED + s, featuresCol="features", predictionCol="label").fit(pts)
-        return m.summary.trainingCost, s, m
-
-    with ThreadPoolExecutor(max_workers=min(n_init, 8)) as pool:   # seeds fit concurrently
-        best = min(pool.map(fit, range(n_init)), key=lambda t: (t[0], t[1]))
-    pts.unpersist()
-    return renumber(best[2].transform(_vec(coords)).select(row_id, "label"), row_id, bounded=True)
+    centres = kmeans_fits(coords, [k], n_init, row_id=row_id)[k][0]
+    return nearest_labels(coords, {str(k): centres}, row_id).select(row_id, "label")
 
 
 def _ward_merge(cent: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
@@ -350,23 +330,34 @@ def run_overview(labels: DataFrame, silhouette: float | None, run: str, method:
         F.lit(silhouette).cast("double").alias("silhouette_sq"))
 
 
+def runs_overview(coords: DataFrame, labels: DataFrame) -> DataFrame:
+    """K6 for all runs of ``labels(row_id, method, run, label)``: cluster count (noise excluded), noise count and Euclidean silhouette."""
+    from tabmine.operators.silhouette import silhouettes
+
+    key = F.concat_ws("\u0001", "method", "run")
+    counts = labels.groupBy("method", "run").agg(F.countDistinct(F.when(F.col("label") != -1, F.col("label"))).alias("cluster_count"),
+                                                 F.count_if(F.col("label") == -1).alias("noise_count")).withColumn("_key", key)
+    scores = silhouettes(coords, labels.select("row_id", key.alias("run"), "label")).withColumnRenamed("run", "_key")
+    return counts.join(scores, "_key", "left").drop("_key")
+
+
 METHOD_ORDER = ["kmeans", "hierarchical", "dbscan"]
 
 
-def best_runs(overview: DataFrame) -> DataFrame:
+def best_runs(overview: DataFrame, score: str = "silhouette_sq") -> DataFrame:
     """K7: best run per method: max silhouette, then fewer clusters, then less
     noise, then the smallest run name.  A missing silhouette counts as -1 for
     DBSCAN; runs of the other methods without one take no part."""
-    overview = overview.where((F.col("method") == "dbscan") | F.col("silhouette_sq").isNotNull())
-    key = F.struct(-F.coalesce("silhouette_sq", F.lit(-1.0)), "cluster_count", "noise_count", "run")
+    overview = overview.where((F.col("method") == "dbscan") | F.col(score).isNotNull())
+    key = F.struct(-F.coalesce(score, F.lit(-1.0)), "cluster_count", "noise_count", "run")
     best = overview.groupBy("method").agg(F.min_by(F.struct(*overview.columns), key).alias("_b"))
     return best.select("_b.*")
 
 
-def best_overall(best: DataFrame, method_order=METHOD_ORDER) -> DataFrame:
+def best_overall(best: DataFrame, method_order=METHOD_ORDER, score: str = "silhouette_sq") -> DataFrame:
     """K8: the best of the per-method winners by silhouette; on a tie the
     method listed first wins."""
     order = F.create_map(*[x for i, m in enumerate(method_order) for x in (F.lit(m), F.lit(-i))])
-    key = F.struct(F.coalesce("silhouette_sq", F.lit(-1.0)), F.coalesce(F.element_at(order, F.col("method")), F.lit(-99)))
+    key = F.struct(F.coalesce(score, F.lit(-1.0)), F.coalesce(F.element_at(order, F.col("method")), F.lit(-99)))
     return best.agg(F.max_by(F.struct(*best.columns), key).alias("_b")).select("_b.*")
 

@@ -164,6 +164,20 @@ FROM first
 """
 
 
+ENCODER = {"rowIdCol": "o_orderkey", "targetCol": TARGET_COL, "positiveValue": TARGET_POSITIVE, "statusCols": STATUS_COLS,
+           "bracketCols": ["bal_bracket"], "codeCols": ["diag_code"], "dropCols": ["o_custkey"]}
+
+
+def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First order per customer as it comes, with a bracket text (from the balance) and a diagnosis-like code (from the key)."""
+    from tabmine.operators.clean import first_per_key
+
+    e = first_per_key(encounters(spark, sf_dir), KEY, ORDER)
+    lo = F.floor(F.col("c_acctbal") / 1000) * 10
+    return e.withColumn("bal_bracket", F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 10).cast("string"), F.lit(")"))) \
+        .withColumn("diag_code", (F.col("o_orderkey") % 1000).cast("string"))
+
+
 # --- predictions of three fixed scoring rules (M11-M14, M18) ----------------------------------
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

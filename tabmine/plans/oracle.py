@@ -344,6 +344,43 @@ MR_BODY = (
 
 ORACLE_SQL["model_ready"] = f"WITH {SRC}, {MR_BODY} SELECT row_id, feature, round(value, 6) AS value FROM mr"
 
+# P5 fitted on the training split, applied to the test split
+_EN_NUM = ["o_totalprice", "c_nationkey", "c_acctbal", "bal_bracket", "n_changed"]
+_EN_CAT = ["o_orderpriority", "c_mktsegment", "diag_code"]
+_EN_STATUS = ["st_price", "st_balance", "st_rush"]
+
+
+def _encoded(feature_sql: str, level: str, column: str) -> str:
+    """One-hot rows of the test split for levels that the training split has."""
+    return (f"SELECT o_orderkey, label, {feature_sql} AS feature, 1.0 AS value FROM (SELECT *, coalesce({level}, (SELECT v FROM "
+            f"(SELECT {level} AS v, count(*) AS n FROM tr WHERE {level} IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 1))) AS lv FROM te) "
+            f"WHERE lv IN (SELECT {level} FROM tr)"
+            + (f" AND NOT (SELECT \"drop\" FROM nz WHERE \"column\" = '{column}')" if column in _EN_STATUS else ""))
+
+
+ORACLE_SQL["encoded_test_split"] = f"""WITH {FIRST},
+h AS (SELECT *, ('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT AS u FROM first),
+q AS (SELECT o_orderstatus AS st, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS quota FROM h GROUP BY 1),
+s AS (SELECT h.*, row_number() OVER (PARTITION BY o_orderstatus ORDER BY u, o_orderkey) <= quota AS test
+      FROM h JOIN q ON o_orderstatus IS NOT DISTINCT FROM st),
+src AS (SELECT o_orderkey, test, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label, o_totalprice, c_nationkey, c_acctbal,
+    CASE '[' || CAST(floor(c_acctbal / 1000) * 10 AS BIGINT) || '-' || CAST(floor(c_acctbal / 1000) * 10 + 10 AS BIGINT) || ')'
+      WHEN '[0-10)' THEN 5.0 WHEN '[10-20)' THEN 15.0 WHEN '[20-30)' THEN 25.0 WHEN '[30-40)' THEN 35.0
+      WHEN '[40-50)' THEN 45.0 WHEN '[50-60)' THEN 55.0 WHEN '[60-70)' THEN 65.0 WHEN '[70-80)' THEN 75.0
+      WHEN '[80-90)' THEN 85.0 WHEN '[90-100)' THEN 95.0 END AS bal_bracket,
+    (CASE WHEN st_price IN ('Up', 'Down') THEN 1 ELSE 0 END) + (CASE WHEN st_balance IN ('Up', 'Down') THEN 1 ELSE 0 END)
+      + (CASE WHEN st_rush IN ('Up', 'Down') THEN 1 ELSE 0 END) AS n_changed,
+    o_orderpriority, c_mktsegment, {icd9_sql("CAST(o_orderkey % 1000 AS VARCHAR)")} AS diag_code, st_price, st_balance, st_rush FROM s),
+tr AS (SELECT * FROM src WHERE NOT test), te AS (SELECT * FROM src WHERE test),
+nz AS (WITH """ + _nzv_sql("tr", _EN_STATUS) + """),
+med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS med_{c}" for c in _EN_NUM) + """ FROM tr),
+mom AS (SELECT """ + ", ".join(f"avg(coalesce({c}::DOUBLE, med_{c})) AS m_{c}, stddev_pop(coalesce({c}::DOUBLE, med_{c})) AS s_{c}" for c in _EN_NUM) \
+    + """ FROM tr, med),
+enc_rows AS (""" + "\nUNION ALL\n".join(
+        [f"SELECT o_orderkey, label, '{c}' AS feature, CASE WHEN s_{c} > 0 THEN (coalesce({c}::DOUBLE, med_{c}) - m_{c}) / s_{c} ELSE 0.0 END AS value "
+         f"FROM te, med, mom" for c in _EN_NUM] + [_encoded(f"'{c}_' || lv", c, c) for c in _EN_CAT + _EN_STATUS]) + """)
+SELECT o_orderkey, label, feature, round(value, 6) AS value FROM enc_rows"""
+
 ORACLE_SQL["encoded_groups"] = f"WITH {SRC} " + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_encoded FROM src" for c in MR_CAT)
 
@@ -578,3 +615,18 @@ SELECT cm.model, round({_sd('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy, ro
        round({_sd('tp', 'tp + fn')}, 6) AS recall, round({_sd('2 * tp', '2 * tp + fp + fn')}, 6) AS f1,
        round(roc_auc, 6) AS roc_auc
 FROM cm LEFT JOIN auc ON cm.model = auc.model"""
+
+# K5: all pairs
+ORACLE_SQL["class_silhouette"] = """WITH e AS (
+  SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, label FROM embeddings
+), p AS (
+  SELECT vec_id, x, y, 'label' AS run, label AS l FROM e UNION ALL SELECT vec_id, x, y, 'label % 2', label % 2 FROM e
+), n AS (SELECT run, l, count(*) AS c FROM p GROUP BY ALL),
+d AS (
+  SELECT a.run, a.vec_id, a.l, b.l AS other, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS s
+  FROM p a JOIN p b ON a.run = b.run GROUP BY ALL
+), m AS (
+  SELECT d.run, vec_id, max(CASE WHEN other = d.l THEN s / nullif(c - 1, 0) END) AS a, min(CASE WHEN other <> d.l THEN s / c END) AS b
+  FROM d JOIN n ON n.run = d.run AND n.l = d.other GROUP BY ALL
+)
+SELECT run, round(avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM m GROUP BY run"""

@@ -360,6 +360,18 @@ def model_ready(spark, sf):
     return enc.transform_long(src, "row_id").select("row_id", "feature", _r("value"))
 
 
+@query
+def encoded_test_split(spark, sf):
+    """P5: the whole encoder (C3, NZV drop, C2, C1, C4, P1-P4) fitted on the training split and applied to the test split."""
+    from tabmine.operators.split import stratified_split as split
+    from tabmine.operators.table_encoder import TableEncoder
+
+    rows = cut_lineage(split(B.raw_source(spark, sf), B.ORDER, B.TARGET_COL, 0.2, 42))
+    model = TableEncoder(**B.ENCODER).fit(rows.where("split = 'train'").drop("split"))
+    return model.transform_long(rows.where("split = 'test'").drop("split")).select(
+        F.col("row_id").alias("o_orderkey"), "label", "feature", _r("value"))
+
+
 @query
 def encoded_groups(spark, sf):
     """One-hot width per categorical column."""
@@ -694,52 +706,82 @@ def _labels_y(spark, sf):
     return emb.select(F.col("vec_id").alias("row_id"), (F.col("label") % 2).alias("y"))
 
 
-@query
-def cluster_runs(spark, sf):
-    """K2, K3, K5, K6: k-means (best of 10 seeds) and Ward for k = 2..8 on the
-    PCA coordinates: cluster count, noise count, squared-Euclidean silhouette."""
-    from tabmine.operators.cluster import kmeans_labels, micro_clusters, run_overview, silhouette_sq, ward_labels
+def _run_labels(spark, sf):
+    """``(row_id, method, run, label)`` of k-means and Ward for k = 2..8: one stacked fit and one tree."""
+    from tabmine.operators.lloyd import kmeans_fits, nearest_labels
+    from tabmine.operators.ward import ward_runs
 
     def build():
         coords, _ = _coords(spark, sf)
-        fitted = micro_clusters(coords)
-        out = None
-        for k in range(2, 9):
-            for method, fn in (("kmeans", lambda: kmeans_labels(coords, k)),
-                               ("hierarchical", lambda: ward_labels(coords, k, fitted=fitted))):
-                lab = cut_lineage(fn())
-                o = run_overview(lab, silhouette_sq(coords, lab), str(k), method)
-                out = o if out is None else out.unionByName(o)
-        return cut_lineage(out)
-    out = _memo(spark, sf, "cluster_runs", build)
-    return out.select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
+        ks = range(2, 9)
+        fits = {str(k): c for k, (c, _) in kmeans_fits(coords, ks).items()}
+        km = nearest_labels(coords, fits).withColumn("method", F.lit("kmeans"))
+        return cut_lineage(km.unionByName(ward_runs(coords, ks).withColumn("method", F.lit("hierarchical"))))
+    return _memo(spark, sf, "run_labels", build)
 
 
-@query
-def dbscan_runs(spark, sf):
-    """K4-K7: DBSCAN over eps {.35,.45,.55,.65} x min_samples {10,15,20};
-    runs with fewer than two clusters dropped; per-run summary."""
-    from tabmine.operators.cluster import dbscan_labels, run_overview, silhouette_sq
-
+def _dbscan_labels(spark, sf):
+    """``(row_id, method, run, label)`` of DBSCAN over its grid."""
     from concurrent.futures import ThreadPoolExecutor
 
-    coords, _ = _coords(spark, sf)
-
-    def one(cfg):
-        eps, ms = cfg
-        lab = cut_lineage(dbscan_labels(coords, eps, ms))
-        return cut_lineage(run_overview(lab, silhouette_sq(coords, lab), f"eps={eps}|min_samples={ms}", "dbscan"))
+    from tabmine.operators.cluster import dbscan_labels
 
     def build():
+        coords, _ = _coords(spark, sf)
+
+        def one(cfg):
+            eps, ms = cfg
+            return cut_lineage(dbscan_labels(coords, eps, ms).select("row_id", F.lit("dbscan").alias("method"),
+                                                                     F.lit(f"eps={eps}|min_samples={ms}").alias("run"), "label"))
+
         grid = [(eps, ms) for eps in (0.35, 0.45, 0.55, 0.65) for ms in (10, 15, 20)]
         with ThreadPoolExecutor(max_workers=4) as pool:          # configurations run concurrently
             parts = list(pool.map(one, grid))
         out = parts[0]
         for o in parts[1:]:
             out = out.unionByName(o)
-        return cut_lineage(out)
-    out = _memo(spark, sf, "dbscan_runs", build)
-    return out.where("cluster_count >= 2").select("method", "run", "cluster_count", "noise_count", _r("silhouette_sq"))
+        return out
+    return _memo(spark, sf, "dbscan_labels", build)
+
+
+@query
+def cluster_runs(spark, sf):
+    """K2, K3, K5, K6: k-means (best of 10 seeds) and Ward for k = 2..8 on the
+    PCA coordinates: cluster count, noise count, Euclidean silhouette."""
+    from tabmine.operators.cluster import runs_overview
+
+    out = _memo(spark, sf, "cluster_runs", lambda: cut_lineage(runs_overview(_coords(spark, sf)[0], _run_labels(spark, sf))))
+    return out.select("method", "run", "cluster_count", "noise_count", _r("silhouette"))
+
+
+@query
+def dbscan_runs(spark, sf):
+    """K4-K7: DBSCAN over eps {.35,.45,.55,.65} x min_samples {10,15,20};
+    runs with fewer than two clusters dropped; per-run summary."""
+    from tabmine.operators.cluster import runs_overview
+
+    out = _memo(spark, sf, "dbscan_runs", lambda: cut_lineage(runs_overview(_coords(spark, sf)[0], _dbscan_labels(spark, sf))))
+    return out.where("cluster_count >= 2").select("method", "run", "cluster_count", "noise_count", _r("silhouette"))
+
+
+@query
+def cluster_summaries(spark, sf):
+    """K6: size and positive rate of every cluster of every run (k-means, Ward, DBSCAN)."""
+    lab = _run_labels(spark, sf).unionByName(_dbscan_labels(spark, sf))
+    return lab.join(_labels_y(spark, sf), "row_id").groupBy("method", "run", "label").agg(
+        F.count(F.lit(1)).alias("size"), F.round(F.avg("y"), 6).alias("positive_rate"))
+
+
+@query
+def class_silhouette(spark, sf):
+    """K5: Euclidean silhouette of the embeddings' classes (and of their parity) on the first two dimensions."""
+    from tabmine.operators.silhouette import silhouettes
+
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    pts = emb.select(F.col("vec_id").alias("row_id"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("xy")])
+    lab = emb.select(F.col("vec_id").alias("row_id"), F.explode(F.array(
+        F.struct(F.lit("label").alias("run"), F.col("label")), F.struct(F.lit("label % 2").alias("run"), (F.col("label") % 2).alias("label")))).alias("r"))
+    return silhouettes(pts, lab.select("row_id", "r.*")).select("run", _r("silhouette"))
 
 
 @query
@@ -759,8 +801,9 @@ def best_clusters(spark, sf):
     from tabmine.operators.cluster import best_overall, best_runs
 
     runs = QUERIES["cluster_runs"](spark, sf).unionByName(QUERIES["dbscan_runs"](spark, sf))
-    best = cut_lineage(best_runs(runs))
-    return best.withColumn("scope", F.lit("method")).unionByName(best_overall(best).withColumn("scope", F.lit("overall")))
+    best = cut_lineage(best_runs(runs, score="silhouette"))
+    return best.withColumn("scope", F.lit("method")).unionByName(
+        best_overall(best, score="silhouette").withColumn("scope", F.lit("overall")))
 
 
 @query
@@ -781,14 +824,15 @@ def findings(spark, sf):
                   .limit(1).select("antecedent", "consequent", "lift"))
     n_rules = scalars(QUERIES["association_rules"](spark, sf).agg(F.count(F.lit(1)).alias("n")))["n"]
     n_methods = scalars(QUERIES["feature_summary"](spark, sf).agg(F.count(F.lit(1)).alias("n")))["n"]
-    clus = scalars(best_overall(best_runs(QUERIES["dbscan_runs"](spark, sf))).select("method", "run", "silhouette_sq"))
+    clustered = QUERIES["cluster_runs"](spark, sf).unionByName(QUERIES["dbscan_runs"](spark, sf))
+    clus = scalars(best_overall(best_runs(clustered, score="silhouette"), score="silhouette").select("method", "run", "silhouette"))
     row = [(kept["kept_rows"], width["model_ready_columns"], best_model["model"], best_model["roc_auc"],
             best_model["n_models"], f"{top['antecedent']} => {top['consequent']}", top["lift"], n_rules,
-            clus["method"], clus["run"], clus["silhouette_sq"], n_methods)]
+            clus["method"], clus["run"], clus["silhouette"], n_methods)]
     return spark.createDataFrame(row, "kept_rows long, model_ready_columns long, best_model string, best_roc_auc double, "
                                       "n_models long, top_rule string, top_rule_lift double, n_rules long, "
                                       "best_cluster_method string, best_cluster_run string, "
-                                      "best_silhouette_sq double, n_selection_methods long")
+                                      "best_silhouette double, n_selection_methods long")
 
 
 @query
