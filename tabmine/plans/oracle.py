@@ -488,6 +488,8 @@ hist AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY algorithm ORDE
 
 ORACLE_SQL["run_history"] = f"WITH {HIST} SELECT algorithm, signature, event_id, round(value, 6) AS value, rank FROM hist"
 
+ORACLE_SQL["run_store"] = ORACLE_SQL["run_history"]
+
 ORACLE_SQL["run_selection"] = f"""WITH {HIST},
 live AS (SELECT algorithm, signature, value, 'live' AS source FROM hist),
 ref AS (SELECT algorithm, signature, avg(value) AS value, 'reference' AS source FROM runs GROUP BY algorithm, signature),

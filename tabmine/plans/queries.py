@@ -470,6 +470,21 @@ def run_history(spark, sf):
     return h.select("algorithm", "signature", "event_id", _r("value"), "rank")
 
 
+@query
+def run_store(spark, sf):
+    """M22 kept up to date: every quarter's runs come in as a batch of the run store; the stored history of all of them."""
+    import uuid
+
+    from tabmine.session import ensure_checkpoint_dir
+    from tabmine.streaming.run_store import RunStore
+
+    runs = B.runs(spark, sf)
+    store = RunStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-store-{uuid.uuid4().hex}", tiebreak="event_id", buckets=16)
+    for n in range(1, 5):
+        store.upsert(runs.where(F.quarter("ts") == n), n)
+    return store.history(runs.schema).select("algorithm", "signature", "event_id", _r("value"), "rank")
+
+
 @query
 def run_selection(spark, sf):
     """J6 + M23: live history plus reference runs not live; per algorithm the
