@@ -8,14 +8,17 @@ deleted/kept split and the audit sample."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabmine.functions.derive import normalized_id
 from tabmine.operators.clean import not_in
 from tabmine.operators.common import broadcast_checked, lookup_join
+from tabmine.session import cut_lineage
 
+# fixed values: texts that readers of the audit match on
 DUPLICATE_REASON = "Duplicate key (keeping first only)"
 TERMINAL_PREFIX = "Terminal code: "
 MODIFIED_REASON = "Missing values replaced"
@@ -69,10 +72,9 @@ def split_deleted(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
             tagged.where(F.col("_deletion_reason").isNull()))
 
 
-def deletion_stats(tagged: DataFrame) -> DataFrame:
-    """A10: one row of counts, one aggregation."""
+def _stat_columns() -> list[Column]:
     d, t, i = F.col("_dup"), F.col("_terminal"), F.col("_invalid")
-    return tagged.agg(
+    return [
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(F.col("_deletion_reason").isNotNull()).alias("deleted_rows"),
         F.count_if(d).alias("deleted_duplicates"),
@@ -80,7 +82,39 @@ def deletion_stats(tagged: DataFrame) -> DataFrame:
         F.count_if(i & ~d & ~t).alias("deleted_invalid"),
         F.count_if(F.col("_modified")).alias("modified_rows"),
         F.count_if(F.col("_deletion_reason").isNull()).alias("kept_rows"),
-    )
+    ]
+
+
+def deletion_stats(tagged: DataFrame) -> DataFrame:
+    """A10: one row of counts, one aggregation."""
+    return tagged.agg(*_stat_columns())
+
+
+@dataclass
+class Audit:
+    """One audited table: the tagged rows, pinned, and the counts observed while they were written."""
+
+    tagged: DataFrame
+    counts: dict[str, int]
+
+    def stats(self) -> DataFrame:
+        """A10, from the observed counts."""
+        return self.tagged.sparkSession.createDataFrame([tuple(self.counts.values())], ", ".join(f"{c} bigint" for c in self.counts))
+
+    def reasons(self, n: int = 20) -> DataFrame:
+        """A11."""
+        return top_reasons(self.tagged, n)
+
+    def sample(self, order: str, hidden: Sequence[str] = (), size: int = 2000) -> DataFrame:
+        """F12, with the number of deleted rows known beforehand."""
+        return audit_sample(self.tagged, order, hidden, size, deleted_rows=self.counts["deleted_rows"])
+
+
+def audit_table(df: DataFrame, *tag_args, **tag_kwargs) -> Audit:
+    """A15's base: the source is read and tagged once (``tag_deletions``); A10's counts are observed in that same pass."""
+    seen = Observation()
+    tagged = cut_lineage(tag_deletions(df, *tag_args, **tag_kwargs).observe(seen, *_stat_columns()))
+    return Audit(tagged, {k: int(v or 0) for k, v in seen.get.items()})
 
 
 def top_reasons(tagged: DataFrame, n: int = 20) -> DataFrame:
@@ -90,13 +124,14 @@ def top_reasons(tagged: DataFrame, n: int = 20) -> DataFrame:
             .orderBy(F.desc("n_rows"), "reason").limit(n))
 
 
-def audit_sample(tagged: DataFrame, order: str, hidden: Sequence[str] = (), size: int = 2000) -> DataFrame:
+def audit_sample(tagged: DataFrame, order: str, hidden: Sequence[str] = (), size: int = 2000,
+                 deleted_rows: int | None = None) -> DataFrame:
     """first ``size//2`` deleted rows, then kept rows up to ``size`` in all,
     both by ``order``; ``hidden`` and internal columns are left out except the
-    status and reason."""
+    status and reason.  ``deleted_rows``: how many there are, if known (else they are counted)."""
     deleted, kept = split_deleted(tagged)
     first = deleted.orderBy(order).limit(size // 2)
-    n_first = first.count()
+    n_first = first.count() if deleted_rows is None else min(size // 2, deleted_rows)
     second = kept.orderBy(order).limit(size - n_first)
     show = [c for c in tagged.columns if not c.startswith("_") and c not in set(hidden)]
     return (first.unionByName(second)
@@ -129,12 +164,11 @@ def column_actions(columns: DataFrame, nzv: DataFrame | None, dropped: Sequence[
               .when(F.col("_mod_reason").isNotNull(), "MODIFY")
               .otherwise("KEEP"))
     reason = (F.when(F.col("column").isin(*dropped) if dropped else F.lit(False),
-                     F.lit("Dropped entirely (high missing share or identifier)"))
+                     F.lit("an identifier or mostly missing: no feature"))
               .when(is_status & F.coalesce(F.col("_nzv_drop"), F.lit(False)),
-                    F.concat(F.lit("NZV: FR="), fr_txt, F.lit(", var="), F.format_string("%.5f", var),
-                             F.lit(f" - below variance threshold {variance_threshold}")))
-              .when(is_status, F.concat(F.lit("Sufficient variance (var="), F.format_string("%.4f", var),
-                                        F.lit("). Retained for modeling.")))
+                    F.concat(F.lit("near-constant: frequency ratio "), fr_txt, F.lit(", variance "), F.format_string("%.5f", var),
+                             F.lit(f", {variance_threshold} is asked for")))
+              .when(is_status, F.concat(F.lit("varies enough: variance "), F.format_string("%.4f", var)))
               .when(F.col("_mod_reason").isNotNull(), F.col("_mod_reason"))
-              .otherwise(F.lit("No quality issues detected.")))
+              .otherwise(F.lit("nothing found")))
     return j.select("column", action.alias("action"), reason.alias("reason"))

@@ -316,11 +316,11 @@ j AS (SELECT cols.col, nz.fr, coalesce(nz.variance, 0.0) AS var, nz."drop" AS nd
 SELECT col AS "column",
   CASE WHEN col = 'o_custkey' THEN 'DROP' WHEN is_status AND coalesce(nd, false) THEN 'DROP' WHEN is_status THEN 'KEEP'
        WHEN why IS NOT NULL THEN 'MODIFY' ELSE 'KEEP' END AS action,
-  CASE WHEN col = 'o_custkey' THEN 'Dropped entirely (high missing share or identifier)'
-       WHEN is_status AND coalesce(nd, false) THEN 'NZV: FR=' || CASE WHEN fr IS NULL OR fr > 999999 THEN '∞'
-            ELSE printf('%.1f', fr) END || ', var=' || printf('%.5f', var) || ' - below variance threshold 0.0475'
-       WHEN is_status THEN 'Sufficient variance (var=' || printf('%.4f', var) || '). Retained for modeling.'
-       WHEN why IS NOT NULL THEN why ELSE 'No quality issues detected.' END AS reason
+  CASE WHEN col = 'o_custkey' THEN 'an identifier or mostly missing: no feature'
+       WHEN is_status AND coalesce(nd, false) THEN 'near-constant: frequency ratio ' || CASE WHEN fr IS NULL OR fr > 999999 THEN '∞'
+            ELSE printf('%.1f', fr) END || ', variance ' || printf('%.5f', var) || ', 0.0475 is asked for'
+       WHEN is_status THEN 'varies enough: variance ' || printf('%.4f', var)
+       WHEN why IS NOT NULL THEN why ELSE 'nothing found' END AS reason
 FROM j"""
 
 # ---- encoding and splitting ----------------------------------------------------------------------
@@ -632,3 +632,21 @@ d AS (
   FROM d JOIN n ON n.run = d.run AND n.l = d.other GROUP BY ALL
 )
 SELECT run, round(avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM m GROUP BY run"""
+
+# A15 as one nested document
+_SAMPLE_COLS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_nationkey", "c_mktsegment", "c_acctbal", "st_price", "st_balance",
+                "st_rush", "status", "reason"]
+
+
+def _section(name: str, cols: list[str], order: str | None) -> str:
+    packed = "struct_pack(" + ", ".join(f'"{c}" := "{c}"' for c in cols) + ")"
+    value = f"to_json(list({packed} ORDER BY {order}))" if order else f"to_json(any_value({packed}))"
+    return f"""(SELECT '"{name}":' || CAST({value} AS VARCHAR) FROM ({ORACLE_SQL[{"stats": "deletion_stats", "deletion_reasons": "deletion_reasons",
+        "column_actions": "column_actions", "sample": "audit_sample"}[name]]}))"""
+
+
+ORACLE_SQL["cleaning_report"] = "SELECT '{' || " + " || ',' || ".join([
+    _section("stats", ["original_rows", "deleted_rows", "deleted_duplicates", "deleted_terminal", "deleted_invalid", "modified_rows", "kept_rows"], None),
+    _section("deletion_reasons", ["reason", "n_rows"], "n_rows DESC, reason"),
+    _section("column_actions", ["column", "action", "reason"], '"column"'),
+    _section("sample", _SAMPLE_COLS, "status <> 'deleted', o_orderkey")]) + " || '}' AS document"

@@ -90,6 +90,13 @@ def _tagged(spark, sf):
                                missing_cols=[B.MISSING_COL])
 
 
+def _audit(spark, sf):
+    """The source read and tagged once, with its counts, for all sections of the cleaning report."""
+    return _memo(spark, sf, "audit", lambda: audit.audit_table(
+        B.encounters(spark, sf), B.KEY, B.ORDER, B.TERMINAL_COL, B.TERMINAL_CODES, B.code_labels(spark, sf), B.INVALID_COL, B.INVALID_VALUE,
+        [B.MISSING_COL]))
+
+
 @query
 def deletion_audit(spark, sf):
     """Every raw row with its status, reason and modified flag."""
@@ -100,20 +107,32 @@ def deletion_audit(spark, sf):
 
 @query
 def deletion_stats(spark, sf):
-    """A10."""
-    return audit.deletion_stats(_tagged(spark, sf))
+    """A10, observed while the tagged rows were written."""
+    return _audit(spark, sf).stats()
 
 
 @query
 def deletion_reasons(spark, sf):
     """Top 20 reasons."""
-    return audit.top_reasons(_tagged(spark, sf), 20)
+    return _audit(spark, sf).reasons(20)
 
 
 @query
 def audit_sample(spark, sf):
     """1000 deleted + kept rows up to 2000, by key, id column hidden."""
-    return audit.audit_sample(_tagged(spark, sf), B.ORDER, hidden=[B.KEY], size=2000)
+    return _audit(spark, sf).sample(B.ORDER, hidden=[B.KEY], size=2000)
+
+
+@query
+def cleaning_report(spark, sf):
+    """A15, IO6, IO8: the cleaning report as one nested JSON document: counts, reasons, column actions and the audit sample of 2000
+    rows, from one pass over the source."""
+    from tabmine.sources.sinks import document
+
+    a = _audit(spark, sf)
+    return document(stats=a.stats(), deletion_reasons=[a.reasons(20), "-n_rows", "reason"],
+                    column_actions=[QUERIES["column_actions"](spark, sf), "column"],
+                    sample=[a.sample(B.ORDER, hidden=[B.KEY], size=2000), F.col("status") != "deleted", B.ORDER])
 
 
 @query
@@ -131,7 +150,7 @@ def drill_down(spark, sf):
 @query
 def audit_browser(spark, sf):
     """deleted + cleaned rows, segment 'BUILDING', 100 by key."""
-    deleted, _ = audit.split_deleted(_tagged(spark, sf))
+    deleted, _ = audit.split_deleted(_audit(spark, sf).tagged)
     cols = ["o_orderkey", "o_orderpriority", "c_mktsegment"]
     d = deleted.select(*cols, F.col("_deletion_reason").alias("reason"))
     k = _cleaned(spark, sf)[0].select(*cols)

@@ -27,7 +27,7 @@ REPORTS: dict[str, list[str]] = {
     "evaluation": ["prediction_metrics", "confusion_matrix", "roc_curve", "mcnemar_test"],
     # classifiers (M19) and clustering
     "baseline": ["baseline_models", "baseline_significance", "model_coefficients"],
-    "clustering": ["pca_projection", "cluster_runs", "dbscan_runs", "cluster_points"],
+    "clustering": ["pca_projection", "cluster_runs", "dbscan_runs", "cluster_summaries", "cluster_points"],
 }
 
 
