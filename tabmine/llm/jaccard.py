@@ -8,16 +8,18 @@ that means an overlap of at least (num / (num + den)) * (p + q), so at most
 1. Equal sets collapse to one row (a 64-bit set hash).
 2. Blocking.  Sizes are cut into bands so that a linked pair lies in one band or
    in two neighbouring ones.  Within a band the columns are dealt into more parts than a
-   linked pair may have differences, so a linked pair agrees on a whole part.
-   Sets that agree on a part are joined (a star per part, no pairs) and the
-   connected sets form a block: pairs across blocks cannot link.
-3. Large blocks are cut into tiles of bounded size, small ones are put together;
-   each tile pair multiplies its two incidence matrices, accumulating overlap counts over
+   linked pair may have differences, so a linked pair agrees on some whole parts.  Parts that are empty or
+   hold common shingles alone (those seen twice or more in a bounded sample of the sets) say little and give no key, as long
+   as a set has few of them; else the columns are dealt anew for it.  Sets that agree on a part are joined (a star per
+   part, no pairs) and the connected sets form a block: pairs across blocks cannot link.
+3. Small blocks are put together.  Large ones are cut by size into bands, so that linked sets lie in one band
+   or in neighbouring ones, and bands into tiles; tile pairs of bands farther apart are
+   never made.  Each tile pair multiplies its two incidence matrices, accumulating overlap counts over
    column strips, and drops pairs below the size-derived bound.  A tile pair
    returns at most one spanning tree of links.
 4. Connected components over the links.
 
-No group is collected whole: parts are reduced in the tasks that find them before the
+No group is collected whole: keys are reduced in the tasks that find them before the
 one shuffle of keys, and tiles hold a bounded number of shingles (one longer text aside)."""
 
 from __future__ import annotations
@@ -29,12 +31,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.llm.common import components, mix64, small_side, text_chunks, word_hashes
+from tabmine.operators.common import broadcast_checked
 from tabmine.session import cut_lineage
 
 #: shingles and sets of one tile of the product
 TILE_SHINGLES, TILE_ROWS = 40_000, 256
-#: part keys that a task holds before it sends them on
+#: keys that a task holds before it sends them on
 KEYS_HELD = 500_000
+#: sets on which common shingles are counted, in expectation, and how many of them are named at most
+SAMPLE_SETS, COMMON = 8_000, 200_000
 _C = [np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0x27D4EB2F165667C5, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)]
 
@@ -90,41 +95,84 @@ def bands(num: int, den: int, top: int) -> np.ndarray:
     return np.array(lo, dtype=np.int64)
 
 
-def part_keys(rows: np.ndarray, sh: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def spare_parts(least: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Parts beyond d + 1 for sets of at least ``least`` shingles: half as many again as stay empty, and two deviations more."""
+    m = np.zeros(len(d), dtype=np.int64)
+    for _ in range(12):                                 # more parts leave more of them empty
+        k = d + 1.0 + m
+        empty = k * np.exp(-least / k)
+        m = np.maximum(m, np.ceil(1.5 * empty + 2 * np.sqrt(empty))).astype(np.int64)
+    return np.minimum(m, 2 * d + 2)
+
+
+#: dealings of the columns that a set goes through while too many of its parts say little: whether a part of common
+#: shingles alone says little too, or an empty one only; in the last every part is a key
+DEALINGS = (True, True, False, False, None)
+
+
+def part_keys(rows: np.ndarray, sh: np.ndarray, sizes: np.ndarray, num: int, den: int,
+              common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Keys ``(row, key)`` of every set's parts, in its own band's division and in
-    the next lower one's.
+    the next lower one's.  ``common``: sorted shingles that many sets have.
 
     A pair met in band b has at most d = floor((den - num) * (p + q) / (den + num))
     differences for the largest p, q of bands b and b + 1.  The columns are dealt
-    into d + 2 parts, so two parts at least agree.  Empty parts say little: they
-    get a key only where a set has two or more of them; if neither set of a pair
-    has, one of the agreeing parts is not empty.  d = 0 needs no key: such sets
-    are equal."""
+    into d + 1 + m parts, so m + 1 parts at least agree.  Parts that say little (empty, or of common
+    shingles alone) give no key: if either set of the pair has at most m of them, another part agrees.  A set
+    with more goes on to the next dealing, where the same holds; both sets of a pair that was not met go on.  d = 0
+    needs no key: such sets are equal."""
     lo = bands(num, den, int(sizes.max(initial=0)))
     own = np.searchsorted(lo, sizes, side="right") - 1
+    every = np.arange(len(lo) - 2)
+    top = (den - num) * ((lo[every + 1] - 1) + (lo[every + 2] - 1)) // (den + num)
+    spare = spare_parts(lo[:-2].astype(float), top)
+    rare = np.ones(len(sh), dtype=bool)
+    if common is not None and len(common):
+        rare = common[np.minimum(np.searchsorted(common, sh), len(common) - 1)] != sh
     out_rows, out_keys = [], []
     for band in (own, own - 1):
-        ok = (band >= 0) & (sizes > 0)
-        b = np.clip(band, 0, len(lo) - 3)
-        d = (den - num) * ((lo[b + 1] - 1) + (lo[b + 2] - 1)) // (den + num)
-        parts = np.where(ok & (d > 0), d + 2, 0)
-        offset = np.zeros(len(sizes) + 1, dtype=np.int64)
-        np.cumsum(parts, out=offset[1:])
-        take = parts[rows] > 0
-        r, s = rows[take], sh[take]
-        part = ((s >> np.uint64(32)) * parts[r].astype(np.uint64)) >> np.uint64(32)
-        at = offset[r] + part.astype(np.int64)
-        acc = np.zeros(offset[-1], dtype=np.uint64)
-        np.add.at(acc, at, mix64(s ^ _C[4]))
-        filled = np.bincount(at, minlength=offset[-1]) > 0
-        who = np.repeat(np.arange(len(sizes)), parts)
-        which = np.arange(offset[-1]) - offset[who]
-        empty = parts - np.bincount(who[filled], minlength=len(sizes))
-        use = filled | (empty[who] >= 2)
-        salt = mix64(b[who].astype(np.uint64) * _C[5] + which.astype(np.uint64) * _C[6] + _C[7])
-        out_rows.append(who[use])
-        out_keys.append(mix64(acc[use] + salt[use] * _C[0]).view(np.int64))
-    return np.concatenate(out_rows), np.concatenate(out_keys)
+        b = np.clip(band, 0, len(every) - 1)
+        parts = np.where((band >= 0) & (sizes > 0) & (top[b] > 0), top[b] + 1 + spare[b], 0)
+        for turn, weak in enumerate(DEALINGS):
+            offset = np.zeros(len(sizes) + 1, dtype=np.int64)
+            np.cumsum(parts, out=offset[1:])
+            if not offset[-1]:
+                break
+            take = np.flatnonzero(parts[rows] > 0)
+            r, s = rows[take], sh[take]
+            dealt = s if turn == 0 else mix64(s + np.uint64(turn * int(_C[3]) % 2**64))
+            at = offset[r] + (((dealt >> np.uint64(32)) * parts[r].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+            acc = np.zeros(offset[-1], dtype=np.uint64)
+            np.add.at(acc, at, mix64(s ^ _C[4]))
+            says = np.bincount(at[rare[take]] if weak else at, minlength=offset[-1]) > 0
+            who = np.repeat(np.arange(len(sizes)), parts)
+            which = np.arange(offset[-1]) - offset[who]
+            use = says if weak is not None else np.ones(len(says), dtype=bool)
+            salt = mix64(b[who].astype(np.uint64) * _C[5] + which.astype(np.uint64) * _C[6] + _C[7] + np.uint64(turn * int(_C[1]) % 2**64))
+            out_rows.append(who[use])
+            out_keys.append(mix64(acc[use] + salt[use] * _C[0]).view(np.int64))
+            little = parts - np.bincount(who[says], minlength=len(sizes))
+            parts = np.where(little > spare[b], parts, 0)
+    return np.concatenate([np.zeros(0, np.int64), *out_rows]), np.concatenate([np.zeros(0, np.int64), *out_keys])
+
+
+def common_shingles(texts: DataFrame, nodes: DataFrame, width: int) -> np.ndarray:
+    """Shingles seen in two sets or more of a sample of about ``SAMPLE_SETS`` of ``nodes(node, _id)``, sorted: at most
+    ``COMMON``, the most frequent.  They only decide which keys a set needs, so the sample has no part in which links are found."""
+    n = nodes.count()
+    level = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1_000_000)) / 1_000_000
+    ids = nodes.where(level < SAMPLE_SETS / max(n, 1)).where("_id IS NOT NULL").select("_id")
+    sampled = texts.join(small_side(cut_lineage(ids)), "_id").groupBy("_id").agg(F.min("_text").alias("_text"))
+
+    def run(batches):
+        for batch in batches:
+            for _, data, starts in text_chunks(batch.column("_text")):
+                found, n = np.unique(shingle_sets(data, starts, width)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
+
+    seen = sampled.mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n")).where("n > 1")
+    top = seen.orderBy(F.desc("n"), "s").limit(COMMON).select("s").toPandas()
+    return np.sort(top["s"].to_numpy(np.int64).view(np.uint64))
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
@@ -144,8 +192,8 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "_id bigint, _n bigint, _node bigint")
 
 
-def _keys(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``(key, node, other)`` of all parts.  A task holds a bounded number of keys and sends
+def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray | None = None) -> DataFrame:
+    """``(key, node, other)`` of all keys.  A task holds a bounded number of keys and sends
     each key on once, with its smallest set; the other sets that it met under the key go as
     links to that one (``other``, under a key of their own).  So a key has a row for each
     run of held keys at most, however many sets agree on it."""
@@ -179,7 +227,7 @@ def _keys(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 if len(seen) > 2_000_000:               # forgetting only repeats keys
                     seen.clear()
                 keep = fresh[rows]
-                who, key = part_keys(rows[keep], sh[keep], np.where(fresh, sizes, 0), num, den)
+                who, key = part_keys(rows[keep], sh[keep], np.where(fresh, sizes, 0), num, den, common)
                 if len(who):
                     keys.append(key)
                     nodes.append(ids[who])
@@ -196,16 +244,16 @@ def _keys(texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
 def _tile_links(width: int, num: int, den: int):
     """Links of one tile pair: product of the two incidence matrices by column strips."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["blk", "node"], kind="stable").drop_duplicates("node")
-        node, blk = pdf["node"].to_numpy(), pdf["blk"].to_numpy()
+        pdf = pdf.sort_values(["tile", "node"], kind="stable").drop_duplicates("node")
+        node, tile = pdf["node"].to_numpy(), pdf["tile"].to_numpy()
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         parts = [(at + r, s, z) for at, data, starts in text_chunks(pa.array(pdf["text"], pa.large_string()))
                  for r, s, z in [shingle_sets(data, starts, width)]]
         rows = np.concatenate([p[0] for p in parts])
         sh = np.concatenate([p[1] for p in parts])
         size = np.concatenate([p[2] for p in parts]).astype(np.int64)
-        left = np.flatnonzero(blk == i)
-        right = left if i == j else np.flatnonzero(blk == j)
+        left = np.flatnonzero(tile == i)
+        right = left if i == j else np.flatnonzero(tile == j)
         cols, inv, seen = np.unique(sh, return_inverse=True, return_counts=True)
         shared = seen[inv] > 1                          # a column of one row adds to no overlap
         rows, inv = rows[shared], inv[shared]
@@ -248,8 +296,8 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
 
     Null and empty texts have empty sets and are linked with nothing (their
     component is their own id).  Rows of equal sets are linked.  Repeated rows are
-    returned as often as they occur.  A row with a null id gets the component of
-    an equal set that has an id (null if none has).  Other columns are ignored,
+    returned as often as they occur.  Rows with a null id link like others and get the
+    smallest id they reach (null if none).  Other columns are ignored,
     so their names cannot clash; an empty table gives no rows."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     sets = cut_lineage(_sets(texts, width))
@@ -266,37 +314,73 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
 
 
 def _links(texts: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    size = cut_lineage(sets.where("_node IS NOT NULL").groupBy(F.col("_node").alias("node")).agg(
+        F.min("_id").alias("_id"), F.max("_n").alias("n")))
     least = F.min("node").over(Window.partitionBy("key"))
-    star = cut_lineage(_keys(texts, width, num, den).select(F.col("node").alias("a"), F.coalesce("other", least).alias("b"))
-                       .where("a <> b").distinct())
-    block = components(star)
-    size = sets.where("_node IS NOT NULL").groupBy(F.col("_node").alias("node")).agg(
-        F.min("_id").alias("_id"), F.max("_n").alias("n"))
-    member = cut_lineage(size.join(block, "node"))
-    # blocks: cut large ones into tiles, put small ones together
-    total = member.groupBy("comp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m"))
-    tiles = F.ceil(F.greatest(F.col("w") / TILE_SHINGLES, F.col("m") / TILE_ROWS)).cast("int")
-    total = cut_lineage(total.select("comp", "w", tiles.alias("tiles")))
-    small_w = total.where("tiles <= 1").agg(F.sum("w")).first()[0] or 0
-    bins = max(1, int(small_w // TILE_SHINGLES) + 1)
-    joined = member.join(total, "comp")
-    big = F.col("tiles") > 1
-    placed = joined.select(
-        "node", "_id",
-        F.when(big, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp", F.lit(7)), F.lit(bins))).alias("g"),
-        big.alias("big"), "tiles",
-        F.when(big, F.pmod(F.xxhash64("node", F.lit(11)), F.col("tiles"))).otherwise(0).cast("int").alias("blk"))
-    placed = cut_lineage(placed.withColumnRenamed("_id", "_rep"))
-    near = texts.join(small_side(placed.where("_rep IS NOT NULL")), F.col("_id") == F.col("_rep"))
-    near = near.select("node", "_id", "_text", "g", "big", "tiles", "blk")
+    keys = _keys(texts, width, num, den, common_shingles(texts, size, width))
+    star = cut_lineage(keys.select(F.col("node").alias("a"), F.coalesce("other", least).alias("b")).where("a <> b").distinct())
+    placed = _placed(size.join(components(star), "node"), num, den)
+    near = texts.join(broadcast_checked(placed.where("_rep IS NOT NULL"), 32 << 20), F.col("_id") == F.col("_rep"))
+    near = near.select("node", "_text", "g", "tile", "others")
     # repeated ids may bring another text: only the text whose set is the node's is used
     near = _only_own(near, width)
-    other = F.explode(F.when(F.col("big"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array(F.lit(0))))
-    paired = near.select("node", "_text", "g", "big", "blk", other.alias("o")).select(
-        "node", F.col("_text").alias("text"), "g", "big", "blk",
-        F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
-    return cut_lineage(paired.groupBy("g", "big", "i", "j").applyInPandas(
-        _tile_links(width, num, den), "a bigint, b bigint"))
+    nameless = placed.where("_rep IS NULL")             # sets of rows without an id
+    if not nameless.isEmpty():
+        rows = _with_node(texts.where("_id IS NULL"), width).groupBy("node").agg(F.min("_text").alias("_text"))
+        near = near.unionByName(rows.join(nameless, "node").select(*near.columns))
+    paired = near.select("node", F.col("_text").alias("text"), "g", "tile", F.explode("others").alias("o")).select(
+        "node", "text", "g", "tile", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"))
+    return cut_lineage(paired.groupBy("g", "i", "j").applyInPandas(_tile_links(width, num, den), "a bigint, b bigint"))
+
+
+def _placed(member: DataFrame, num: int, den: int) -> DataFrame:
+    """``(node, _rep, g, tile, others)`` of the sets of ``member(node, _id, n, comp)`` (pinned): the group of tiles and the tile
+    that a set is put into, and the tiles that meet it.  Small blocks share tiles; a large block has its own
+    group, whose tiles are numbered by size band."""
+    member = cut_lineage(member)
+    top = member.agg(F.max("n")).first()[0] or 1
+    member = cut_lineage(member.withColumn("band", _band(F.col("n"), num, den, top)))
+    block = member.groupBy("comp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m"))
+    block = cut_lineage(block.select("comp", "w", ((F.col("w") > TILE_SHINGLES) | (F.col("m") > TILE_ROWS)).alias("big")))
+    bins = max(1, int((block.where("NOT big").agg(F.sum("w")).first()[0] or 0) // TILE_SHINGLES) + 1)
+    cut = member.join(block.where("big").select("comp"), "comp", "left_semi").groupBy("comp", "band").agg(
+        F.ceil(F.greatest(F.sum("n") / TILE_SHINGLES, F.count(F.lit(1)) / TILE_ROWS)).cast("int").alias("tiles"))
+    cut = cut_lineage(cut)
+    below = cut.select("comp", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
+    above = cut.select("comp", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
+    cut = cut_lineage(cut.join(below, ["comp", "band"], "left").join(above, ["comp", "band"], "left"))
+
+    def tiles(band: F.Column, n: str) -> F.Column:      # a tile is numbered by its band and its place there
+        return F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda k: band * F.lit(1 << 32) + k)).otherwise(
+            F.array().cast("array<bigint>"))
+
+    band = F.col("band").cast("bigint")
+    big = F.col("tiles").isNotNull()
+    own = band * F.lit(1 << 32) + F.pmod(F.xxhash64("node", F.lit(11)), F.col("tiles"))
+    met = F.concat(tiles(band - 1, "below"), tiles(band, "tiles"), tiles(band + 1, "above"))
+    placed = member.join(cut, ["comp", "band"], "left").select(
+        "node", F.col("_id").alias("_rep"),
+        F.when(big, F.concat(F.lit("b"), F.col("comp").cast("string"))).otherwise(F.concat(F.lit("s"), F.pmod(F.xxhash64("comp", F.lit(7)), F.lit(bins)).cast("string"))).alias("g"),
+        F.when(big, own).otherwise(F.lit(0).cast("bigint")).alias("tile"),
+        F.when(big, met).otherwise(F.array(F.lit(0).cast("bigint"))).alias("others"))
+    return cut_lineage(placed)
+
+
+def _band(n: F.Column, num: int, den: int, top: int) -> F.Column:
+    """Number of the band of a size up to ``top``."""
+    return F.size(F.filter(F.array(*[F.lit(int(x)) for x in bands(num, den, top)]), lambda x: x <= n)) - 1
+
+
+def _with_node(texts: DataFrame, width: int) -> DataFrame:
+    """``(node, _text)`` of the texts that have a set."""
+    def run(batches):
+        for batch in batches:
+            for i, data, starts in text_chunks(batch.column("_text")):
+                rows, sh, sizes = shingle_sets(data, starts, width)
+                node = pa.array(_set_ids(rows, sh, sizes), mask=sizes == 0)
+                yield pa.RecordBatch.from_arrays([node, batch.column("_text").slice(i, len(starts))], names=["node", "_text"])
+
+    return texts.select("_text").mapInArrow(run, "node bigint, _text string").where("node IS NOT NULL")
 
 
 def _only_own(near: DataFrame, width: int) -> DataFrame:
