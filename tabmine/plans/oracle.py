@@ -650,3 +650,17 @@ ORACLE_SQL["cleaning_report"] = "SELECT '{' || " + " || ',' || ".join([
     _section("deletion_reasons", ["reason", "n_rows"], "n_rows DESC, reason"),
     _section("column_actions", ["column", "action", "reason"], '"column"'),
     _section("sample", _SAMPLE_COLS, "status <> 'deleted', o_orderkey")]) + " || '}' AS document"
+
+# M5: all pairs
+ORACLE_SQL["knn_classes"] = f"""WITH h AS (
+  SELECT vec_id, label, list_transform(embedding[1:3], lambda v: CAST(v AS DOUBLE)) AS e, {_u('vec_id', 42)} AS u FROM embeddings
+), q AS (SELECT label, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS quota FROM h GROUP BY 1),
+s AS (SELECT h.*, row_number() OVER (PARTITION BY h.label ORDER BY u, vec_id) <= quota AS test FROM h JOIN q ON h.label = q.label),
+p AS (
+  SELECT a.vec_id AS row_id, a.label % 2 AS label, b.vec_id AS other, b.label % 2 AS vote, list_distance(a.e, b.e) AS d,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS r
+  FROM s a JOIN s b ON a.test AND NOT b.test
+)
+SELECT row_id, label, round(avg(vote), 6) AS score, CAST(avg(vote) > 0.5 AS INTEGER) AS prediction,
+  max(CASE WHEN r = 1 THEN other END) AS nearest, round(max(d), 6) AS kth_distance
+FROM p WHERE r <= 7 GROUP BY row_id, label"""

@@ -710,6 +710,28 @@ def model_coefficients(spark, sf):
     return c.unionByName(i)
 
 
+@query
+def knn_classes(spark, sf):
+    """M5: the 7 nearest training rows of every test row (80/20 split of the embeddings, first three dimensions): the share of odd
+    classes among them, the prediction, the nearest row."""
+    from pyspark.ml.functions import array_to_vector
+
+    from tabmine.operators.knn import neighbours, votes
+    from tabmine.operators.split import stratified_split as split
+
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
+    rows = cut_lineage(split(emb, "vec_id", "label", 0.2, 42)).select(
+        F.col("vec_id").alias("row_id"), (F.col("label") % 2).alias("label"), array_to_vector(F.slice("embedding", 1, 3).cast("array<double>")).alias("features"), "split")
+    found = neighbours(rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split"), 7)
+    near = found.rows.select(F.col("qid").alias("row_id"), F.col("near")[0]["row_id"].alias("nearest"), _d("near"))
+    return votes(found.rows).join(near, "row_id").select("row_id", F.col("y").alias("label"), _r("score"),
+                                                         (F.col("score") > 0.5).cast("int").alias("prediction"), "nearest", "kth_distance")
+
+
+def _d(col):
+    return F.round(F.element_at(col, -1)["d"], 6).alias("kth_distance")
+
+
 # ---- clustering ---------------------------------------------------------------------------------
 
 def _coords(spark, sf):
