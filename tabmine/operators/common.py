@@ -54,6 +54,19 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[F.lit(v).cast(types[k]).alias(k) for k, v in vals.items()])
 
 
+def with_each(df: DataFrame, few: DataFrame, most: int = 10_000) -> DataFrame:
+    """Every row of ``df`` with every row of ``few`` (classes, fitted values of each class: at most ``most`` rows, else an
+    error): an array of literals and an explode, so the rows of ``df`` are not shuffled."""
+    rows = few.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows to attach to every row")
+    types = {f.name: f.dataType for f in few.schema.fields}
+    items = F.array(*[F.struct(*[F.lit(r[c]).cast(types[c]).alias(c) for c in few.columns]) for r in rows])
+    if not rows:
+        return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items()]).limit(0)
+    return df.select("*", F.explode(items).alias("_each")).select(*[F.col(f"`{c}`") for c in df.columns], "_each.*")
+
+
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), ascending: bool = True,
                 num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import attach_scalars, broadcast_checked, fitted_side
+from tabmine.operators.common import attach_scalars, broadcast_checked, fitted_side, with_each
 from tabmine.session import cut_lineage
 
 
@@ -43,8 +43,7 @@ def feature_class_cells(long: DataFrame, label: str = "label", bins: int = 10, r
     present = cut_lineage(long.join(lohi, "feature").groupBy("feature", label, bin_of(F.col("value")).alias("b"))
                           .agg(F.count(F.lit(1)).alias("n_bc"), F.sum("value").alias("s_bc")))
     per_fc = present.groupBy("feature", label).agg(F.sum("n_bc").alias("cnt_c"))
-    grid = (lohi.withColumn("_one", F.lit(1)).join(broadcast_checked(classes.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one").join(per_fc, ["feature", label], "left").fillna({"cnt_c": 0}))
+    grid = with_each(lohi, classes).join(per_fc, ["feature", label], "left").fillna({"cnt_c": 0})
     absent = grid.select("feature", label, bin_of(F.lit(0.0)).alias("b"),
                          (F.col("n_c") - F.col("cnt_c")).alias("n_bc"), F.lit(0.0).alias("s_bc")) \
         .where(F.col("n_bc") > 0)

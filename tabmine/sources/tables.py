@@ -46,6 +46,33 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, missing
             .option("nullValue", missing_token).option("mode", "PERMISSIVE").csv(path))
 
 
+def read_delimited_exact(spark: SparkSession, path: str, schema: T.StructType, missing_token: str | None = "?", header: bool = True,
+                         sep: str = ",", multi_line: bool = False, empty_is_missing: bool = False) -> DataFrame:
+    """IO1 by the exact missing rule: only a field that is ``missing_token`` is missing; an empty field, quoted or not, is the
+    empty text; a field that a short row lacks is missing.  Empty text in a column that is no text cannot be a value and is null too.
+
+    Spark's reader takes every unquoted empty field for its null token, so that token is set to a text that no field can
+    hold, empty fields are put back afterwards, and the token is compared in the projection.  A row with the wrong number
+    of fields comes with its raw record; the separators outside of quotes tell how many fields it has.  ``multi_line``: line
+    ends may stand inside quotes (such files are not split)."""
+    record, nothing = "_tabmine_record", "\u0000\u0001tabmine\u0001\u0000"
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(record, T.StringType())])
+    raw = (spark.read.schema(text).option("header", header).option("enforceSchema", True).option("sep", sep).option("nullValue", nothing)
+           .option("emptyValue", "").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", record)
+           .option("escape", '"').option("multiLine", multi_line).csv(path))
+    outside = F.regexp_replace(F.col(record), r'"(?:[^"]|"")*"', "")
+    fields = F.when(F.col(record).isNull(), F.lit(len(schema.fields))).otherwise(F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1)
+    out = []
+    for i, f in enumerate(schema.fields):
+        value = F.col(f"`{f.name}`")
+        if not empty_is_missing:
+            value = F.when(value.isNull() & (fields > i), F.lit("")).otherwise(value)
+        if missing_token is not None:
+            value = F.nullif(value, F.lit(missing_token))
+        out.append((value if isinstance(f.dataType, T.StringType) else value.try_cast(f.dataType)).alias(f.name))
+    return raw.select(*out)
+
+
 def read_delimited_as_strings(spark: SparkSession, path: str, columns: Sequence[str], missing_token: str = "?",
                               header: bool = True, sep: str = ",") -> DataFrame:
     """IO2: the raw string view used for distinct counts and distribution labels."""
