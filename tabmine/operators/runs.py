@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,3 +47,24 @@ def pick_runs(runs: DataFrame, metric: str, selected: DataFrame | None = None, a
         F.max_by(F.struct(*[F.col(c) for c in runs.columns if c != algorithm]),
                  F.struct(F.col("_match"), F.col("_m"), F.col(signature))).alias("_r"))
     return best.select(algorithm, "_r.*")
+
+
+def rank_runs(history: DataFrame, metric: str, algorithm: str = "algorithm", signature: str = "signature") -> DataFrame:
+    """O1: the runs of a history with ``rank``, 1 = best of its algorithm by any ``metric`` (missing = 0, ties by signature).  A
+    history holds a bounded number of runs an algorithm."""
+    w = Window.partitionBy(algorithm).orderBy(F.coalesce(F.col(metric).cast("double"), F.lit(0.0)).desc(), signature)
+    return history.drop("rank").withColumn("rank", F.row_number().over(w))
+
+
+def pick_by_params(runs: DataFrame, selected: Mapping[str, object], metric: str, params: str = "params", algorithm: str = "algorithm",
+                   signature: str = "signature") -> DataFrame:
+    """Per algorithm the run whose parameters hold every ``selected`` value (compared as text), else the best by ``metric``
+    (missing = 0; of several the best, ties by signature).  ``params``: a map of texts.  ``matched`` says which of the two it is."""
+    match = F.lit(True)
+    for k, v in selected.items():
+        match = match & F.coalesce(F.col(params)[k] == F.lit(str(v)), F.lit(False))
+    value = F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
+    rest = [c for c in runs.columns if c != algorithm]
+    best = runs.withColumn("_match", match).groupBy(algorithm).agg(
+        F.max_by(F.struct(*rest, F.col("_match").alias("matched")), F.struct(F.col("_match").cast("int"), value, signature)).alias("_r"))
+    return best.select(algorithm, "_r.*")

@@ -664,3 +664,34 @@ p AS (
 SELECT row_id, label, round(avg(vote), 6) AS score, CAST(avg(vote) > 0.5 AS INTEGER) AS prediction,
   max(CASE WHEN r = 1 THEN other END) AS nearest, round(max(d), 6) AS kth_distance
 FROM p WHERE r <= 7 GROUP BY row_id, label"""
+
+ORACLE_SQL["runs_by_metric"] = f"""WITH {HIST}
+SELECT algorithm, signature, round(value, 6) AS value,
+  row_number() OVER (PARTITION BY algorithm ORDER BY coalesce(value, 0.0) DESC, signature) AS rank FROM hist"""
+
+ORACLE_SQL["runs_by_params"] = f"""WITH {HIST},
+m AS (SELECT *, signature LIKE '%::k=1' AS matched FROM hist),
+o AS (SELECT *, row_number() OVER (PARTITION BY algorithm ORDER BY matched DESC, coalesce(value, 0.0) DESC, signature DESC) AS rn FROM m)
+SELECT algorithm, signature, round(value, 6) AS value, matched FROM o WHERE rn = 1"""
+
+# The exact split by hash
+ORACLE_SQL["split_balance"] = f"""WITH {SRC},
+h AS (SELECT row_id, target, {_u('row_id', 42)} AS u FROM src),
+q AS (SELECT target, CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS quota FROM h GROUP BY 1),
+s AS (SELECT h.target AS label, row_number() OVER (PARTITION BY h.target ORDER BY u, row_id) <= quota AS test FROM h JOIN q ON h.target = q.target),
+n AS (SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS split, label, count(*) AS n_rows FROM s GROUP BY ALL)
+SELECT split, label, n_rows, round(n_rows / sum(n_rows) OVER (PARTITION BY split), 6) AS share FROM n"""
+
+# K4: neighbours by all pairs, core points joined by reach, border points by their lowest cluster
+ORACLE_SQL["dbscan_clusters"] = """WITH RECURSIVE p AS (
+  SELECT vec_id AS i, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings
+), near AS (
+  SELECT a.i, b.i AS j FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.02::DOUBLE * 0.02::DOUBLE
+), core AS (SELECT i FROM near GROUP BY i HAVING count(*) >= 5),
+link AS (SELECT near.i, near.j FROM near JOIN core a ON a.i = near.i JOIN core b ON b.i = near.j),
+reach AS (SELECT i, i AS top FROM core UNION SELECT l.j, r.top FROM reach r JOIN link l ON l.i = r.i),
+comp AS (SELECT i, min(top) AS comp FROM reach GROUP BY i),
+border AS (SELECT n.i, min(c.comp) AS comp FROM near n JOIN comp c ON c.i = n.j GROUP BY n.i),
+lab AS (SELECT p.i, coalesce(comp.comp, border.comp) AS comp FROM p LEFT JOIN comp ON comp.i = p.i LEFT JOIN border ON border.i = p.i),
+num AS (SELECT comp, row_number() OVER (ORDER BY comp) - 1 AS label FROM (SELECT DISTINCT comp FROM lab WHERE comp IS NOT NULL))
+SELECT lab.i AS vec_id, CAST(coalesce(label, -1) AS INTEGER) AS cluster FROM lab LEFT JOIN num ON num.comp = lab.comp"""

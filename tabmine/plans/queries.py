@@ -519,6 +519,26 @@ def run_selection(spark, sf):
     return pick_runs(merged, "value", sel).select("algorithm", "signature", _r("value"), "source")
 
 
+@query
+def runs_by_metric(spark, sf):
+    """O1: the stored runs of every algorithm, best value first."""
+    from tabmine.operators.runs import rank_runs
+    from tabmine.operators.runs import run_history as history
+
+    return rank_runs(history(B.runs(spark, sf), tiebreak="event_id", keep=12), "value").select("algorithm", "signature", _r("value"), "rank")
+
+
+@query
+def runs_by_params(spark, sf):
+    """Per algorithm the run with parameter k = 1, else the best by value."""
+    from tabmine.operators.runs import pick_by_params
+    from tabmine.operators.runs import run_history as history
+
+    h = history(B.runs(spark, sf), tiebreak="event_id", keep=12)
+    params = F.str_to_map(F.substring_index("signature", "::", -1), F.lit("\\|"), F.lit("="))
+    return pick_by_params(h.withColumn("params", params), {"k": 1}, "value").select("algorithm", "signature", _r("value"), "matched")
+
+
 # ---- association rules ---------------------------------------------------------------------------
 
 def _itemsets(spark, sf):
@@ -601,9 +621,12 @@ def _lab(spark, sf):
 
 
 def _baseline(spark, sf):
-    from tabmine.operators.lab import baseline
+    from tabmine.operators.lab import all_predictions, baseline, baseline_predictions
 
-    return _memo(spark, sf, "baseline", lambda: baseline(_lab(spark, sf)))
+    def build():
+        results = baseline_predictions(_lab(spark, sf))
+        return *baseline(_lab(spark, sf), results), all_predictions(results)
+    return _memo(spark, sf, "baseline", build)
 
 
 def _metric_cols(df):
@@ -641,7 +664,7 @@ def lab_experiment(spark, sf):
 def baseline_models(spark, sf):
     """Logistic regression, random forest, gradient boosting and boosted
     trees on one split; best and closest competitor flagged."""
-    runs, _ = _baseline(spark, sf)
+    runs = _baseline(spark, sf)[0]
     return runs.select("model", "algorithm", "accuracy", "precision", "recall", "f1", "roc_auc", "is_best",
                        "is_competitor", "note")
 
@@ -652,20 +675,37 @@ def baseline_significance(spark, sf):
     return _baseline(spark, sf)[1]
 
 
+@query
+def baseline_roc(spark, sf):
+    """M19 + M13: ROC points of every fitted baseline model."""
+    from tabmine.operators.evaluate import roc_points
+
+    return roc_points(_baseline(spark, sf)[2])
+
+
+@query
+def split_balance(spark, sf):
+    """Rows and class shares of the training and the test side."""
+    from tabmine.operators.lab import split_balance as balance
+
+    return balance(_lab(spark, sf)).select("split", "label", "n_rows", _r("share"))
+
+
 @query
 def model_lab(spark, sf):
     """The full hyper-parameter grid (39 runs over 7 algorithms), best per
     algorithm marked."""
-    from tabmine.operators.lab import LAB_UNAVAILABLE, best_per_algorithm, lab_specs, run_grid
+    from tabmine.operators.lab import LAB_UNAVAILABLE, best_per_algorithm, best_run, lab_specs, run_grid
 
-    runs = run_grid(_lab(spark, sf), lab_specs())
+    runs = cut_lineage(run_grid(_lab(spark, sf), lab_specs()))
     best = best_per_algorithm(runs).select(F.col("best_model").alias("model"), F.lit(True).alias("is_best"))
-    out = _metric_cols(runs).join(best, "model", "left").fillna({"is_best": False})
+    top = best_run(runs).select("model", F.lit(True).alias("is_best_overall"))
+    out = _metric_cols(runs).join(best, "model", "left").join(top, "model", "left").fillna({"is_best": False, "is_best_overall": False})
     missing = spark.createDataFrame([(k, v) for k, v in LAB_UNAVAILABLE.items()], "algorithm string, note string")
     return out.unionByName(missing.select(
         F.lit(None).cast("string").alias("model"), "algorithm",
         *[F.lit(None).cast("double").alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")],
-        "note", F.lit(False).alias("is_best")))
+        "note", F.lit(False).alias("is_best"), F.lit(False).alias("is_best_overall")))
 
 
 @query
@@ -820,6 +860,16 @@ def dbscan_runs(spark, sf):
     return out.where("cluster_count >= 2").select("method", "run", "cluster_count", "noise_count", _r("silhouette"))
 
 
+@query
+def dbscan_clusters(spark, sf):
+    """K4: DBSCAN of the embeddings' first two dimensions, eps 0.02 and 5 points: every row's cluster."""
+    from tabmine.operators.cluster import dbscan_labels
+
+    emb = read_table(spark, sf, "embeddings", ["vec_id", "embedding"])
+    pts = cut_lineage(emb.select(F.col("vec_id").alias("row_id"), *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate("xy")]))
+    return dbscan_labels(pts, 0.02, 5).select(F.col("row_id").alias("vec_id"), F.col("label").alias("cluster"))
+
+
 @query
 def cluster_summaries(spark, sf):
     """K6: size and positive rate of every cluster of every run (k-means, Ward, DBSCAN)."""
