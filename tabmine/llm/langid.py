@@ -26,9 +26,9 @@ LANGUAGES = 64
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hashed trigram)`` of lower-cased letters; runs of other signs are one word edge."""
-    joined = "\n".join((t or "").lower().replace("\n", " ") for t in texts)
+    joined = "\n" + "\n".join((t or "").lower().replace("\n", " ") for t in texts)      # every text begins with a word edge
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    row = np.cumsum(cp == 10)
+    row = np.cumsum(cp == 10) - 1
     code = np.where(_letters(cp), cp, 32)
     keep = np.ones(len(code), dtype=bool)
     keep[1:] = (code[1:] != 32) | (code[:-1] != 32) | (row[1:] != row[:-1])

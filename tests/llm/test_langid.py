@@ -4,7 +4,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tabmine.llm.langid import identify
+from tabmine.llm.langid import BITS, identify
 
 SF = "/root/testdata/sf0.01"
 WORDS = {"en": "the and with house this that water from".split(), "de": "der und nicht haus dieser wasser von schön".split(),
@@ -66,3 +66,74 @@ def test_pages_of_the_table(spark):
     truth = pages.select("page_id", F.regexp_extract("url", r"://[^/]*/([a-z]{2})/", 1).alias("truth"))
     both = got.join(truth, "page_id").where("truth <> ''").select(F.avg((F.col("lang") == F.col("truth")).cast("int"))).first()[0]
     assert both > 0.95
+
+
+def plain_trigrams(text):
+    """Hashed trigrams of letters, one edge for any run of other signs."""
+    signs = [" "]
+    for c in (text or "").lower():
+        c = c if c.isalpha() else " "
+        if c != " " or signs[-1] != " ":
+            signs.append(c)
+    out, mask = [], 2**64 - 1
+    for a, b, c in zip(signs, signs[1:], signs[2:]):
+        if (a, b) != (" ", " "):
+            x = (ord(a) << 42) ^ (ord(b) << 21) ^ ord(c)
+            x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+            x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+            out.append((x ^ (x >> 31)) >> (64 - BITS))
+    return out
+
+
+def plain_identify(pages, docs):
+    """Every step by loops: profiles, tempered posteriors, votes without the page's own, smoothed host prior, fusion."""
+    langs = sorted({x for _, _, x in docs})
+    count = {x: defaultdict(float) for x in langs}
+    for _, t, x in docs:
+        for h in plain_trigrams(t):
+            count[x][h] += 1
+    size = {x: sum(count[x].values()) + 0.5 * 2**BITS for x in langs}
+
+    def shares(v):
+        return [x / sum(v) for x in v]
+
+    rows = []
+    for i, url, host, suffix, declared, text in pages:
+        ll = [sum(math.log((count[x][h] + 0.5) / size[x]) for h in plain_trigrams(text)) for x in langs]
+        ll = [0.2 * (v - max(ll)) for v in ll]
+        rows.append((i, host, suffix, declared, ll, shares([math.exp(v) for v in ll])))
+    n = range(len(langs))
+    overall = [1 + sum(r[5][k] for r in rows) for k in n]
+    out = {}
+    for r in rows:
+        def votes(at, r=r):
+            return [max(sum(o[5][k] for o in rows if o[at] == r[at] and o is not r), 0.0) for k in n]
+
+        here, at_suffix, said = votes(1), votes(2), votes(3)
+        by_suffix = shares([v + 20 * o / sum(overall) for v, o in zip(at_suffix, overall)])
+        by_host = shares([v + 4 * q for v, q in zip(here, by_suffix)])
+        score = [r[4][k] + math.log((said[k] + 0.1) / (overall[k] + 1)) + math.log(by_host[k])
+                 + 0.5 * (math.log((at_suffix[k] + 0.1) / (overall[k] + 1)) - math.log(by_suffix[k])) for k in n]
+        p = shares([math.exp(v - max(score)) for v in score])
+        out[r[0]] = (langs[p.index(max(p))], max(p))
+    return out
+
+
+def test_against_a_plain_version(spark):
+    rng = random.Random(11)
+    docs = [tuple(r) for r in profiles(spark).collect()]
+    pages, rows = [], []
+    for i in range(70):
+        lang = rng.choice(["en", "de", "fr"])
+        host, suffix = rng.choice([("a.x.de", "de"), ("b.x.de", "de"), ("c.org", "org"), (f"h{i}.fr", "fr")])
+        declared = rng.choice([lang, "en", ""])
+        text = " ".join(rng.choices(WORDS[lang], k=rng.choice([0, 1, 2, 5]))) + rng.choice(["", " 12", "!"])
+        tag = f'<html lang="{declared}">' if declared else "<html>"
+        pages.append((i, f"http://{host}/{i}", host, suffix, declared, f" {text} "))      # tags become spaces
+        rows.append((i, f"http://{host}/{i}", f"{tag}<body>{text}</body>"))
+    got = {r.page_id: r for r in identify(spark.createDataFrame(rows, PAGE).repartition(4), profiles(spark)).collect()}
+    want = plain_identify(pages, docs)
+    assert got.keys() == want.keys()
+    for i, (lang, p) in want.items():
+        assert got[i].lang == lang and abs(got[i].confidence - p) < 1e-9, (i, got[i], lang, p)
+    assert len({r.lang for r in got.values()}) == 3
