@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +58,18 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def tidy(run):
+    """A batch function that gives freed memory back to the system when its task ends.  Python workers live on between
+    tasks, and several wait side by side; without this each keeps the most it ever needed."""
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):                        # glibc only
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 # ---- vectorised text hashing (numpy, inside tasks) ---------------------------------------------
 
 _M64 = 2**64
@@ -120,8 +135,6 @@ def text_chunks(arr, limit: int = 400_000, rows: int = 1 << 30):
     """Split an Arrow string array into runs of at most ``limit`` bytes and ``rows``
     texts (a longer single text is a run of its own): ``(first row, bytes,
     starts)``.  Nulls count as empty texts."""
-    import pyarrow as pa
-
     arr = arr.cast(pa.large_string()).fill_null("")
     offs = np.frombuffer(arr.buffers()[1], dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1] if len(arr) else np.zeros(1, np.int64)
     raw = arr.buffers()[2] if len(arr) else None
@@ -136,8 +149,6 @@ def text_chunks(arr, limit: int = 400_000, rows: int = 1 << 30):
 
 def text_slices(arr, limit: int = 1_000_000):
     """The texts of an Arrow string array as lists of about ``limit`` bytes; nulls stay ``None``."""
-    import pyarrow as pa
-
     arr = arr.cast(pa.large_string())
     offs = np.frombuffer(arr.buffers()[1], dtype=np.int64)[arr.offset:arr.offset + len(arr) + 1] if len(arr) else []
     i = 0

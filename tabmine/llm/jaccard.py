@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import components, mix64, small_side, text_chunks, word_hashes
+from tabmine.llm.common import components, mix64, small_side, text_chunks, tidy, word_hashes
 from tabmine.operators.common import broadcast_checked
 from tabmine.session import cut_lineage
 
@@ -121,7 +121,9 @@ def part_keys(rows: np.ndarray, sh: np.ndarray, sizes: np.ndarray, num: int, den
     shingles alone) give no key: if either set of the pair has at most m of them, another part agrees.  A set
     with more goes on to the next dealing, where the same holds; both sets of a pair that was not met go on.  d = 0
     needs no key: such sets are equal."""
-    lo = bands(num, den, int(sizes.max(initial=0)))
+    if not (sizes > 0).any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lo = bands(num, den, int(sizes.max()))
     own = np.searchsorted(lo, sizes, side="right") - 1
     every = np.arange(len(lo) - 2)
     top = (den - num) * ((lo[every + 1] - 1) + (lo[every + 2] - 1)) // (den + num)
@@ -170,7 +172,7 @@ def common_shingles(texts: DataFrame, nodes: DataFrame, width: int) -> np.ndarra
                 found, n = np.unique(shingle_sets(data, starts, width)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["s", "n"])
 
-    seen = sampled.mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n")).where("n > 1")
+    seen = sampled.mapInArrow(tidy(run), "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n")).where("n > 1")
     top = seen.orderBy(F.desc("n"), "s").limit(COMMON).select("s").toPandas()
     return np.sort(top["s"].to_numpy(np.int64).view(np.uint64))
 
@@ -189,7 +191,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
                 [batch.column("_id"), pa.array(sizes.astype(np.int64)), pa.array(ids, mask=sizes == 0)],
                 names=["_id", "_n", "_node"])
 
-    return texts.mapInArrow(run, "_id bigint, _n bigint, _node bigint")
+    return texts.mapInArrow(tidy(run), "_id bigint, _n bigint, _node bigint")
 
 
 def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray | None = None) -> DataFrame:
@@ -238,7 +240,7 @@ def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray |
         if n:
             yield reduced(np.concatenate(keys), np.concatenate(nodes))
 
-    return texts.mapInArrow(run, "key bigint, node bigint, other bigint")
+    return texts.mapInArrow(tidy(run), "key bigint, node bigint, other bigint")
 
 
 def _tile_links(width: int, num: int, den: int):
@@ -380,7 +382,7 @@ def _with_node(texts: DataFrame, width: int) -> DataFrame:
                 node = pa.array(_set_ids(rows, sh, sizes), mask=sizes == 0)
                 yield pa.RecordBatch.from_arrays([node, batch.column("_text").slice(i, len(starts))], names=["node", "_text"])
 
-    return texts.select("_text").mapInArrow(run, "node bigint, _text string").where("node IS NOT NULL")
+    return texts.select("_text").mapInArrow(tidy(run), "node bigint, _text string").where("node IS NOT NULL")
 
 
 def _only_own(near: DataFrame, width: int) -> DataFrame:
@@ -394,4 +396,4 @@ def _only_own(near: DataFrame, width: int) -> DataFrame:
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return near.mapInArrow(run, near.schema)
+    return near.mapInArrow(tidy(run), near.schema)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import mix64, text_chunks
+from tabmine.llm.common import mix64, text_chunks, tidy
 from tabmine.llm.jaccard import shingle_sets
 from tabmine.session import cut_lineage
 
@@ -53,7 +53,7 @@ def without_copies(sample: DataFrame, seeds: int = 6) -> DataFrame:
             yield out.assign(_id=pdf["_id"].to_numpy(), y=pdf["y"].to_numpy())
 
     cols = ", ".join(f"m{k} bigint" for k in range(seeds))
-    got = sample.mapInPandas(run, f"{cols}, _id bigint, y int").toPandas().sort_values("_id", kind="stable")
+    got = sample.mapInPandas(tidy(run), f"{cols}, _id bigint, y int").toPandas().sort_values("_id", kind="stable")
     for k in range(seeds):
         got = got[(got[f"m{k}"] == -1) | ~got.duplicated(["y", f"m{k}"])]
     ids = sample.sparkSession.createDataFrame([(int(i),) for i in sorted(set(got["_id"]))], "_id bigint")

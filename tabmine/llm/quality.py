@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import text_chunks, word_hashes
+from tabmine.llm.common import text_chunks, tidy, word_hashes
 from tabmine.llm.labels import fold, labelled_sample
 
 #: hashed spaces: character trigrams, character-class 5-grams, word patterns
@@ -162,7 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 2_000, c: f
                                     "x": [cols[a:b].astype(np.int32).tobytes()
                                           for a, b in zip(cuts[:-1], cuts[1:], strict=True)]})
 
-    got = sample.mapInPandas(run, "y int, x binary").toPandas().sort_values(["x", "y"]).reset_index(drop=True)
+    got = sample.mapInPandas(tidy(run), "y int, x binary").toPandas().sort_values(["x", "y"]).reset_index(drop=True)
     y01 = got["y"].to_numpy(dtype=float)
     if not len(got) or y01.min() == y01.max():
         return QualityModel(np.zeros(SIZE), 0.0, 0.0 if not len(got) else (2.0 if y01[0] else -2.0), False)
@@ -205,6 +205,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None =
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*keep, "score"])
 
-    out = docs.select(*keep).mapInArrow(run, schema)
+    out = docs.select(*keep).mapInArrow(tidy(run), schema)
     return out.select(*keep, (fold(id_col, 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabmine.llm.common import text_chunks
-from tabmine.llm.jaccard import _keys, bands, jaccard_components
+from tabmine.llm.jaccard import _keys, bands, jaccard_components, part_keys, shingle_sets
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -137,3 +137,79 @@ def test_keys_sent_on_in_many_runs(spark, monkeypatch, held):
     assert keys.where("other >= node").isEmpty()
     again = keys.where("other IS NULL").groupBy("key").count().where("count > 1")
     assert again.isEmpty() == (held > 0)
+
+
+def test_small_sets_and_one_word_texts_at_four_fifths(spark):
+    """Sets of few shingles, where most of the old part keys would have been empty."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        words = [f"w{rng.randrange(6)}" for _ in range(rng.choice([1, 2, 4, 5, 6, 7, 9, 14]))]
+        rows.append((i, " ".join(words)))
+    assert run(spark, rows, width=5, num=80) == brute(rows, 5, 80)
+
+
+def test_a_passage_that_many_share_makes_no_large_block(spark):
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) + " " + passage) for i in range(400)]
+    texts = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id _id", "text _text")
+    from tabmine.llm import jaccard
+    nodes = jaccard._sets(texts, 5).selectExpr("_node node", "_id")
+    common = jaccard.common_shingles(texts, nodes, 5)
+    assert len(common) == 56
+    stars = [_keys(texts.coalesce(1), 5, 80, 100, c).where("other IS NOT NULL").count() for c in (None, common)]
+    assert stars[0] > 300 and stars[1] < stars[0] / 5
+
+
+@pytest.mark.parametrize("kind", ["long", "short", "common"])
+def test_linked_sets_share_a_key(kind):
+    rng = random.Random(4)
+    import pyarrow as pa
+    base = [f"v{rng.randrange(300)}" for _ in range(14 if kind == "short" else 120)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(99)}"
+        texts.append(" ".join(words[rng.randrange(3):]))
+    (_, data, starts), = text_chunks(pa.array(texts))
+    sets = [shingles(t, 5) for t in texts]
+    linked = [(i, j) for i in range(60) for j in range(i)
+              if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and sets[i] != sets[j]]
+    rows, sh, sizes = shingle_sets(data, starts, 5)
+    every = np.unique(sh)
+    for common in {"common": (every, every[::2])}.get(kind, (None, every[::3])):
+        who, key = part_keys(rows, sh, sizes, 80, 100, common)
+        mine = [set(key[who == i].tolist()) for i in range(60)]
+        assert linked and all(mine[i] & mine[j] for i, j in linked)
+
+
+def test_rows_without_an_id_link_two_others(spark):
+    words = [f"n{k}" for k in range(100)]
+    a, b, c = words[:96], words[2:98], words[4:]
+    rows = [(1, " ".join(a)), (None, " ".join(b)), (None, " ".join(b)), (2, " ".join(c)), (None, "lone words stand here")]
+    assert run(spark, rows, num=90) == brute(rows)
+    assert {r[2] for r in run(spark, rows) if r[0] in (1, 2)} == {1}
+
+
+def test_large_blocks_by_size_bands(spark, monkeypatch):
+    from tabmine.llm import jaccard
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 8)
+    rng = random.Random(10)
+    base = [f"v{k}" for k in range(400)]
+    rows = []
+    for i in range(120):
+        n = rng.randrange(60, 400)                       # nested texts: one block of all sizes
+        rows.append((i, " ".join(base[:n])))
+    assert run(spark, rows, width=5, num=80) == brute(rows, 5, 80)
+
+
+def test_chunks_of_copies_alone(spark, monkeypatch):
+    """A task that meets only sets it has seen before."""
+    from tabmine.llm import jaccard
+    monkeypatch.setattr("tabmine.llm.jaccard.text_chunks", lambda arr, **kw: text_chunks(arr, limit=10))
+    rows = [(i, "one two three four five six seven eight nine ten eleven") for i in range(30)]
+    texts = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id _id", "text _text").coalesce(1)
+    assert jaccard._keys(texts, 5, 80, 100).count() > 0
+    assert [a.tolist() for a in part_keys(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(3, np.int64), 80, 100)] == [[], []]

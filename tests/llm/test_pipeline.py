@@ -19,7 +19,7 @@ def test_stages_against_brute_force(spark):
     kept = docs.where(~F.col("doc_id").isin(list(toxic)))
     good = {r.doc_id for r in score_quality(kept, labels).where("predicted = 1").collect()}
     rows = [(r.doc_id, r.text, r.source) for r in kept.collect() if r.doc_id in good]
-    first = {d for d, _, c in brute([r[:2] for r in rows]) if d == c}
+    first = {d for d, _, c in brute([r[:2] for r in rows], 5, 80, 100) if d == c}
     got = corpus_pipeline.run(spark, SF).collect()
     rows = [r for r in rows if r[0] in first]
     seen = check(rows, got, 2048)
