@@ -21,23 +21,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabmine.llm.common import text_slices
+from tabmine.llm.common import text_slices, tidy
 from tabmine.llm.labels import fold, labelled_sample, without_copies
 from tabmine.session import cut_lineage
 
 # fixed values: look-alike signs and the letters they stand for
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-              "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
+              "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
+              "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x",
+              "ѕ": "s", "і": "i", "ј": "j", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u"}
 #: the character model's symbols; 0 is the word edge, 1 any other letter
 ALPHABET = "abcdefghijklmnopqrstuvwxyzàáâäãåæçèéêëìíîïñòóôöõùúûüýÿœß"
 SYMBOLS = 64
 _CODE = {c: i + 2 for i, c in enumerate(ALPHABET)}
 _EDGE = "\"'`.,;:?!()[]{}<>«»“”‘’…*-_~#%&/\\"
-#: single signs set apart by spaces or marks: a spaced-out word
-SPACED = re.compile(r"(?<!\S)[^\s._*~-](?:[ \t._*~-]{1,3}[^\s._*~-]){2,}(?!\S)")
+#: single signs set apart by spaces or marks: spaced-out words, marks at their edges aside
+SPACED = re.compile(r"(?<![^\s(\[{\"'«“‘¡¿])[^\s._*~-](?:[ \t._*~-]{1,3}[^\s._*~-]){2,}(?=[\s.,;:?!)\]}\"'»”’…]|\Z)")
 _REPEAT = re.compile(r"(.)\1\1")
-#: log costs of the channel
-SWAP, DROP, COLLAPSE = -1.0, -0.3, -0.7
+_LONG_RUN = re.compile(r"(.)\1{4,}", re.S)
+_MARKS = re.compile(r"[\W_]+")
+#: letters of two scripts in one word
+_LATIN, _OTHER = re.compile("[a-z]"), re.compile("[\u0370-\u03ff\u0400-\u04ff]")
+#: log costs of the channel; PART ends a word inside of a spaced run, beside what the character model asks for
+SWAP, DROP, COLLAPSE, PART = -1.0, -0.3, -0.7, 0.0
 
 
 @lru_cache
@@ -78,33 +84,51 @@ class CharModel:
         p3 = (tri + 1e-6 * p2[None]) / (tri + 1e-6 * p2[None]).sum(-1, keepdims=True)
         self.log = np.log(0.9 * p3 + 0.09 * p2[None] + 0.01 * p1).tolist()
 
-    def restore(self, token: str) -> str:
-        """The likeliest word behind ``token``: Viterbi over its lattice; states are the last two letters."""
-        best: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+    def restore(self, token: str, part: float | None = None) -> str:
+        """The likeliest word behind ``token``: Viterbi over its lattice; states are the last two letters.  With ``part``, the log cost
+        of a word break, the likeliest words, a space between them.  Time is linear: readings are chains of letters that share their
+        beginnings.  A sign that stands more than four times in a row is read as four (more collapse alike)."""
+        token = _LONG_RUN.sub(r"\1\1\1\1", token)
+        best: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
         for sign in token:
-            step: dict[tuple[int, int, str], tuple[float, str]] = {}
+            step: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
 
-            def offer(key, score, word, step=step):
+            def offer(key, score, chain, step=step):
                 if key not in step or step[key][0] < score:
-                    step[key] = (score, word)
+                    step[key] = (score, chain)
 
             swaps = LOOKALIKES.get(sign, "")
-            for (a, b, last), (score, word) in best.items():
+            for (a, b, last), (score, chain) in best.items():
                 if sign.isalpha():
                     c = _CODE.get(sign, 1)
-                    offer((b, c, sign), score + self.log[a if b else 0][b][c], word + sign)
+                    offer((b, c, sign), score + self.log[a if b else 0][b][c], (chain, sign))
                     if sign == last:
-                        offer((a, b, last), score + COLLAPSE, word)
+                        offer((a, b, last), score + COLLAPSE, chain)
                 for letter in swaps:
                     c = _CODE[letter]
-                    offer((b, c, letter), score + SWAP + self.log[a if b else 0][b][c], word + letter)
+                    offer((b, c, letter), score + SWAP + self.log[a if b else 0][b][c], (chain, letter))
                     if letter == last:
-                        offer((a, b, last), score + SWAP + COLLAPSE, word)
+                        offer((a, b, last), score + SWAP + COLLAPSE, chain)
                 if not sign.isalpha():
-                    offer((a, b, last), score + (3 * DROP if swaps else DROP), word)
+                    offer((a, b, last), score + (3 * DROP if swaps else DROP), chain)
+            if part is not None:
+                for (a, b, _), (score, chain) in list(step.items()):
+                    if b:
+                        offer((0, 0, ""), score + self.log[a][b][0] + part, (chain, " "))
             best = step
-        ends = [(score + self.log[a][b][0], word) for (a, b, _), (score, word) in best.items() if word]
-        return max(ends)[1] if ends else ""
+        ends = [(score + self.log[a][b][0], chain) for (a, b, _), (score, chain) in best.items() if b]
+        if not ends:
+            return ""
+        top = max(e[0] for e in ends)
+        return max(_spelled(chain) for score, chain in ends if score == top)
+
+
+def _spelled(chain: tuple | None) -> str:
+    letters = []
+    while chain is not None:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(letters[::-1])
 
 
 def plain_words(text: str) -> set[str]:
@@ -143,7 +167,7 @@ def _evidence(sample: DataFrame, least: float, slack: float, impure: float) -> p
     n1, n0 = float(size.get(1, 0)), float(size.get(0, 0))
     if not n1 or not n0:
         return pd.DataFrame(columns=["f", "w"])
-    grouped = (sample.mapInPandas(run, "f string, n1 bigint, n0 bigint").groupBy("f")
+    grouped = (sample.mapInPandas(tidy(run), "f string, n1 bigint, n0 bigint").groupBy("f")
                .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 > 1"))
     grouped = cut_lineage(grouped)
     tested = max(grouped.count(), 1)
@@ -166,7 +190,7 @@ def _corpus_trigrams(texts: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["k", "n"])
 
-    rows = texts.mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    rows = texts.mapInArrow(tidy(run), "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(SYMBOLS**3, dtype=np.int64)
     out[rows["k"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return out
@@ -175,25 +199,28 @@ def _corpus_trigrams(texts: DataFrame) -> np.ndarray:
 class Scorer:
     """Evidence of a text: the sum over its distinct restored words."""
 
-    def __init__(self, weights: dict[str, float], model: CharModel, prior: float, keep: int = 200_000):
+    def __init__(self, weights: dict[str, float], model: CharModel, prior: float, keep: int = 50_000):
         self.weights, self.model, self.prior, self.keep = weights, model, prior, keep
         self.memo: dict[str, float] = {}
+        self.words = [w for w in weights if len(w) > 3 and not w.endswith("^")]
 
     def _weight(self, word: str) -> float:
         return max((self.weights.get(f, 0.0) for f in features(word)), default=0.0)
 
     def token(self, token: str) -> float:
+        """Evidence of a token of any length: its own, or that of the words that marks join in it."""
         word = token.strip(_EDGE)
         if word.isalpha():
             w = self._weight(word)
-            if w or not (_REPEAT.search(word) or token[0] in "!|"):
+            mixed = not word.isascii() and _OTHER.search(word) and _LATIN.search(word)
+            if w or not (_REPEAT.search(word) or token[0] in "!|" or mixed):
                 return w
         elif not any(c.isalpha() for c in token):
             return 0.0
-        tries = {word, token} - {""}                       # marks at the edges may be letters
-        if len(token) > 60:
-            return 0.0 if not word.isalpha() else self._weight(word)
-        return max(self._weight(self.model.restore(t)) for t in tries) if tries else 0.0
+        tries = {word, token.strip("*")} - {""}            # other marks at the edges may be letters
+        whole = max((self._weight(self.model.restore(t)) for t in tries), default=0.0)
+        parts = {p for p in _MARKS.split(token) if len(p) > 2} - tries
+        return max(whole, sum(self.token(p) for p in parts))
 
     def text(self, text: str | None) -> float:
         """Probability in 0 to 1; an empty text has no evidence."""
@@ -211,14 +238,14 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-min(60.0, total + self.prior)))
 
     def spaced(self, run: str) -> float:
-        """Evidence of a run of single signs.  Wider gaps part words where there are any."""
-        words = re.split(r"[ \t]{2,}", run)
-        if len(words) == 1 and run.count(" ") > len(run) // 3:
-            words = [run]
+        """Evidence of a run of single signs.  Wider gaps part words where there are any; between them the signs are read as
+        one word, as several, and as a string in which learned words stand; the reading with more evidence counts."""
         total = 0.0
-        for w in words:
-            if sum(not c.isspace() for c in w) <= 40:
-                total += self._weight(self.model.restore("".join(c for c in w if not c.isspace())))
+        for w in re.split(r"[ \t]{2,}", run):
+            signs = "".join(c for c in w if not c.isspace())
+            several = sum(self._weight(p) for p in set(self.model.restore(signs, PART).split()))
+            one = self.model.restore(signs)
+            total += max(self._weight(one), several, sum(self.weights[v] for v in self.words if v in one))
         return total
 
 
@@ -253,6 +280,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None
             score = [scorer.text(t) for part in text_slices(batch.column(at).cast(pa.string())) for t in part]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*keep, "score"])
 
-    out = docs.select(*keep).mapInArrow(run, schema)
+    out = docs.select(*keep).mapInArrow(tidy(run), schema)
     return out.select(*keep, (fold(id_col, 4) == 2).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))

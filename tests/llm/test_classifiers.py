@@ -87,7 +87,22 @@ def test_disguises_are_read(noisy):
     assert scorer().text(f"the {noisy} went") > 0.9
 
 
-@pytest.mark.parametrize("clean", ["", "the house of glass", "a b c d", "555-2186 +1 (456)", "ha ha ha", "$$$ %%% the!!", "-" * 5000, ". " * 5000])
+@pytest.mark.parametrize("noisy", ["m o r o n,", "i d i o t.", "(i d i o t)", "a i d i o t", "y o u m o r o n", "m*ron", "mоrоn", "idiοt", "stuріd",
+                                   "m o r o n " * 9, "the " + "x y z " * 20 + "m o r o n", "you.are.an.idiot.and.a.stupid.moron.and.more.than.sixty.signs.long",
+                                   "i" * 50_000 + "diot", "qwrtz." * 40 + "idiot", "i-d-i-o-t, he said"])
+def test_more_disguises_of_any_length_are_read(noisy):
+    assert scorer().text(f"the {noisy} went") > 0.9
+
+
+def test_time_is_linear_in_long_tokens():
+    import time
+    t, s = time.time(), scorer()
+    for token in ("ab1" * 30_000, "a b " * 20_000, "x*" * 20_000, "0" * 100_000 + "a", "мaм" * 20_000):
+        assert s.text(token) < 0.3
+    assert time.time() - t < 60
+
+
+@pytest.mark.parametrize("clean", ["Москва и мир", "καλημέρα κόσμε", "a b c d e f g h i j", "x - y - z", "www.example.com/the/house-of-glass?x=1&y=2","", "the house of glass", "a b c d", "555-2186 +1 (456)", "ha ha ha", "$$$ %%% the!!", "-" * 5000, ". " * 5000])
 def test_clean_text_is_left_alone(clean):
     assert scorer().text(clean) < 0.3
 
