@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabmine.operators.common import prefix_sums
+from tabmine.operators.common import prefix_sums, shuffled
 from tabmine.session import cut_lineage
 
 SEED = 42
@@ -72,7 +72,7 @@ def renumber(labels: DataFrame, row_id: str = "row_id", label: str = "label", by
         return labels.select(row_id, new.cast("int").alias(label))
     order = prefix_sums(firsts.withColumn("_one", F.lit(1)), ["_first"], ["_one"]).select(
         label, (F.col("cum__one") - 1).alias("_new"))
-    return (labels.join(order, label, "left")
+    return (labels.join(shuffled(order), label, "left")
             .select(row_id, F.coalesce(F.col("_new"), F.col(label)).cast("int").alias(label)))
 
 
@@ -187,20 +187,20 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         sym = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         m = sym.groupBy("hi").agg(F.min("lo").alias("_mn")).select(
             F.col("hi").alias("u"), F.least(F.col("hi"), F.col("_mn")).alias("m"))
-        big = (sym.where(F.col("lo") > F.col("hi")).join(m, F.col("hi") == F.col("u"))
+        big = (sym.where(F.col("lo") > F.col("hi")).join(shuffled(m), F.col("hi") == F.col("u"))
                .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         e = cut_lineage(big.where("hi <> lo").distinct())
         # small star: u and its lower neighbours are re-pointed at the smallest of them
         ms = e.groupBy("hi").agg(F.min("lo").alias("m"))
-        j = e.join(ms, "hi")
+        j = e.join(shuffled(ms), "hi")
         small = (j.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
                  .unionByName(j.select("hi", F.col("m").alias("lo"))))
         e = cut_lineage(small.where("hi <> lo").distinct())
-        pointing_at_child = e.join(e.select(F.col("hi").alias("lo")).distinct(), "lo", "left_semi")
+        pointing_at_child = e.join(shuffled(e.select(F.col("hi").alias("lo")).distinct()), "lo", "left_semi")
         if pointing_at_child.limit(1).count() == 0:
             break
     leaf = e.select(F.col("hi").alias("node"), F.col("lo").alias("comp"))
-    return (nodes.select("node").join(leaf, "node", "left")
+    return (nodes.select("node").join(shuffled(leaf), "node", "left")
             .select("node", F.coalesce("comp", "node").alias("comp")))
 
 
@@ -231,7 +231,7 @@ def _dense_links(p: DataFrame, s: float, eps: float, sub: int = 8) -> DataFrame:
     a = summ.select(*[F.col(c).alias(f"a_{c}") for c in summ.columns], F.explode(offsets).alias("o"))
     a = a.select("*", (F.col("a_cx") + F.col("o.dx")).alias("cx"), (F.col("a_cy") + F.col("o.dy")).alias("cy"))
     b = summ.select(*[F.col(c).alias(f"b_{c}") if c not in ("cx", "cy") else F.col(c) for c in summ.columns])
-    pairs = a.join(b, ["cx", "cy"])
+    pairs = a.join(shuffled(b), ["cx", "cy"])
     gap_x = F.greatest(F.col("b_x0") - F.col("a_x1"), F.col("a_x0") - F.col("b_x1"), F.lit(0.0))
     gap_y = F.greatest(F.col("b_y0") - F.col("a_y1"), F.col("a_y0") - F.col("b_y1"), F.lit(0.0))
     far_x = F.greatest(F.abs(F.col("b_x1") - F.col("a_x0")), F.abs(F.col("a_x1") - F.col("b_x0")))
@@ -242,13 +242,13 @@ def _dense_links(p: DataFrame, s: float, eps: float, sub: int = 8) -> DataFrame:
     pairs = cut_lineage(pairs.where("maybe"))
     sure = pairs.where("sure").select("a_cx", "a_cy", "cx", "cy", "a_rep", "b_rep") \
         .dropDuplicates(["a_cx", "a_cy", "cx", "cy"])
-    open_pairs = pairs.where("NOT sure").join(sure.select("a_cx", "a_cy", "cx", "cy"),
+    open_pairs = pairs.where("NOT sure").join(shuffled(sure.select("a_cx", "a_cy", "cx", "cy")),
                                               ["a_cx", "a_cy", "cx", "cy"], "left_anti")
     pa = d.select(F.col("id").alias("ia"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("cx").alias("a_cx"),
                   F.col("cy").alias("a_cy"), F.col("sx").alias("a_sx"), F.col("sy").alias("a_sy"))
     pb = d.select(F.col("id").alias("ib"), F.col("x").alias("xb"), F.col("y").alias("yb"), "cx", "cy",
                   F.col("sx").alias("b_sx"), F.col("sy").alias("b_sy"))
-    tested = (open_pairs.join(pa, ["a_cx", "a_cy", "a_sx", "a_sy"]).join(pb, ["cx", "cy", "b_sx", "b_sy"])
+    tested = (open_pairs.join(shuffled(pa), ["a_cx", "a_cy", "a_sx", "a_sy"]).join(shuffled(pb), ["cx", "cy", "b_sx", "b_sy"])
               .where((F.col("xa") - F.col("xb")) ** 2 + (F.col("ya") - F.col("yb")) ** 2 <= e2)
               .select(F.col("ia").alias("a"), F.col("ib").alias("b")))
     return sure.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).unionByName(tested)
@@ -267,7 +267,7 @@ def dbscan_labels(coords: DataFrame, eps: float, min_samples: int, row_id: str =
     pts = cut_lineage(coords.select(F.col(row_id).alias("id"), "x", "y",
                                     F.floor(F.col("x") / s).alias("cx"), F.floor(F.col("y") / s).alias("cy")))
     cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).withColumn("dense", F.col("n") >= min_samples)
-    p = cut_lineage(pts.join(cells.select("cx", "cy", "dense"), ["cx", "cy"]))
+    p = cut_lineage(pts.join(shuffled(cells.select("cx", "cy", "dense")), ["cx", "cy"]))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in range(-2, 3) for dy in range(-2, 3)])
     # sparse-cell points probe the 25 surrounding cells (equi-join on the shifted cell key)
@@ -276,23 +276,23 @@ def dbscan_labels(coords: DataFrame, eps: float, min_samples: int, row_id: str =
     other = p.select(F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"),
                      F.col("cx").alias("ncx"), F.col("cy").alias("ncy"))
     d2 = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2
-    near = cut_lineage(probe.join(other, ["ncx", "ncy"]).where(d2 <= eps * eps).select("id", "id2"))
+    near = cut_lineage(probe.join(shuffled(other), ["ncx", "ncy"]).where(d2 <= eps * eps).select("id", "id2"))
     counts = near.groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
-    core = cut_lineage(p.join(counts, "id", "left").select(
+    core = cut_lineage(p.join(shuffled(counts), "id", "left").select(
         "id", (F.col("dense") | (F.coalesce("cnt", F.lit(0)) >= min_samples)).alias("core")))
     c1 = core.select("id", F.col("core").alias("core1"))
     c2 = core.select(F.col("id").alias("id2"), F.col("core").alias("core2"))
-    links = near.join(c1, "id").join(c2, "id2")
+    links = near.join(shuffled(c1), "id").join(shuffled(c2), "id2")
     edges = links.where("core1 AND core2 AND id <> id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
     reps = p.where("dense").groupBy("cx", "cy").agg(F.min("id").alias("_rep"))
-    star = (p.where("dense").join(reps, ["cx", "cy"]).where(F.col("id") != F.col("_rep"))
+    star = (p.where("dense").join(shuffled(reps), ["cx", "cy"]).where(F.col("id") != F.col("_rep"))
             .select(F.col("_rep").alias("a"), F.col("id").alias("b")))
     edges = edges.unionByName(star).unionByName(_dense_links(p, s, eps))
     comps = _components(edges, core.where("core").select(F.col("id").alias("node")))
-    border = (links.where("NOT core1 AND core2").join(comps.select(F.col("node").alias("id2"), "comp"), "id2")
+    border = (links.where("NOT core1 AND core2").join(shuffled(comps.select(F.col("node").alias("id2"), "comp")), "id2")
               .groupBy("id").agg(F.min("comp").alias("comp")))
-    labelled = (core.join(comps.select(F.col("node").alias("id"), F.col("comp").alias("c_core")), "id", "left")
-                .join(border.select("id", F.col("comp").alias("c_border")), "id", "left")
+    labelled = (core.join(shuffled(comps.select(F.col("node").alias("id"), F.col("comp").alias("c_core"))), "id", "left")
+                .join(shuffled(border.select("id", F.col("comp").alias("c_border"))), "id", "left")
                 .select(F.col("id").alias(row_id), F.coalesce("c_core", "c_border", F.lit(-1)).alias("label")))
     return renumber(labelled, row_id, by_label=True)
 

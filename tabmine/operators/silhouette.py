@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabmine.operators.common import shuffled
 from tabmine.session import cut_lineage
 
 ORDER, THETA = 14, 0.45
@@ -206,7 +207,7 @@ def silhouettes(coords: DataFrame, labels: DataFrame, row_id: str = "row_id", la
     spark = coords.sparkSession
     lab = labels.where(F.col(label).isNotNull()).select(F.col(row_id).alias("_id"), F.col(run).cast("string").alias("_run"), F.col(label).cast("bigint").alias("_label"))
     pts = coords.where("x IS NOT NULL AND y IS NOT NULL").select(F.col(row_id).alias("_id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    rows = cut_lineage(pts.join(lab, "_id"))
+    rows = cut_lineage(pts.join(shuffled(lab), "_id"))
     runs = {}
     for r in rows.groupBy("_run", "_label").count().orderBy("_run", "_label").collect():   # one row a cluster
         runs.setdefault(r["_run"], {})[r["_label"]] = r["count"]

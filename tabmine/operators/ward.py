@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabmine.operators.common import shuffled
 from tabmine.operators.lloyd import numbered_by_first
 from tabmine.operators.silhouette import LEVELS, _blocks, _spread_bits, centres
 from tabmine.session import cut_lineage
@@ -138,7 +139,7 @@ def ward_runs(coords: DataFrame, ks: Sequence[int], row_id: str = "row_id") -> D
     rounds, last = ward_tree(coords, row_id)
     pts = coords.where("x IS NOT NULL AND y IS NOT NULL").select(row_id, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     first = pts.groupBy("x", "y").agg(F.min(row_id).cast("bigint").alias("id"))
-    member = pts.join(first, ["x", "y"]).select(row_id, "id")
+    member = pts.join(shuffled(first), ["x", "y"]).select(row_id, "id")
     most = max(ks, default=1) - 1
     # the highest merges of all, those of the rounds among them
     tops = [(r["height"], r["id"]) for s in rounds for r in s.where("parent IS NOT NULL").orderBy(F.desc("height"), F.desc("id")).limit(most).collect()]
@@ -150,8 +151,8 @@ def ward_runs(coords: DataFrame, ks: Sequence[int], row_id: str = "row_id") -> D
         rep = None
         for step in reversed(rounds):                   # the tables shrink from round to round
             own = step.select("id", "rep")
-            rep = own if rep is None else own.join(rep.select(F.col("id").alias("rep"), F.col("rep").alias("top")), "rep").select("id", F.col("top").alias("rep"))
-        member = cut_lineage(member if rep is None else member.join(rep, "id").select(row_id, F.col("rep").alias("id")))
+            rep = own if rep is None else own.join(shuffled(rep.select(F.col("id").alias("rep"), F.col("rep").alias("top"))), "rep").select("id", F.col("top").alias("rep"))
+        member = cut_lineage(member if rep is None else member.join(shuffled(rep), "id").select(row_id, F.col("rep").alias("id")))
         for k in ks:
             cut = {i for _, i in tops[:k - 1]}
             label = {}
@@ -168,6 +169,6 @@ def ward_runs(coords: DataFrame, ks: Sequence[int], row_id: str = "row_id") -> D
         for k in ks:
             kept = edges.where(~F.col("a").isin([i for _, i in tops[:k - 1]])) if k > 1 else edges
             comp = connected_components(kept, member.select(F.col("id").alias("node")).distinct())
-            part = member.join(comp, member["id"] == comp["node"]).select(row_id, F.lit(str(k)).alias("run"), F.col("comp").alias("label"))
+            part = member.join(shuffled(comp), F.col("id") == F.col("node")).select(row_id, F.lit(str(k)).alias("run"), F.col("comp").alias("label"))
             out = part if out is None else out.unionByName(part)
     return numbered_by_first(cut_lineage(out), row_id)

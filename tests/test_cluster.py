@@ -125,3 +125,17 @@ def test_knn_exact(spark):
                 w = [1.0 if weights == "uniform" else 1.0 / d for d, _, _ in ds]
             exp = sum(wi for wi, (_, _, y) in zip(w, ds) if y == 1) / sum(w)
             assert math.isclose(got[qid], exp, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_growing_tables_do_not_go_through_the_driver(spark):
+    from tabmine.operators.cluster import connected_components, renumber
+
+    nodes = spark.range(40).withColumnRenamed("id", "node")
+    edges = nodes.where("node % 10 > 0").selectExpr("node a", "node - 1 b")
+    comp = connected_components(edges, nodes)
+    labels = renumber(comp.selectExpr("node row_id", "comp label"), by_label=True)
+    for df in (comp, labels):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+    assert "Broadcast" not in comp._jdf.queryExecution().executedPlan().toString()
+    assert {r["row_id"]: r["label"] for r in labels.collect()} == {i: i // 10 for i in range(40)}
