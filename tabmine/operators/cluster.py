@@ -31,6 +31,8 @@ from tabmine.operators.common import prefix_sums, shuffled
 from tabmine.session import cut_lineage
 
 SEED = 42
+#: edges up to which the planner may broadcast the tables of a round (half a MB each)
+SMALL_GRAPH = 20_000
 
 
 def pca_2d(df: DataFrame, features: str = "features", row_id: str = "row_id",
@@ -182,25 +184,26 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     that itself has an outgoing edge)."""
     e = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
     e = cut_lineage(e)
+    side = shuffled if e.count() > SMALL_GRAPH else lambda df: df
     while True:
         # large star: every neighbour above u is re-pointed at m(u) = min(u, neighbours of u)
         sym = e.unionByName(e.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         m = sym.groupBy("hi").agg(F.min("lo").alias("_mn")).select(
             F.col("hi").alias("u"), F.least(F.col("hi"), F.col("_mn")).alias("m"))
-        big = (sym.where(F.col("lo") > F.col("hi")).join(shuffled(m), F.col("hi") == F.col("u"))
+        big = (sym.where(F.col("lo") > F.col("hi")).join(side(m), F.col("hi") == F.col("u"))
                .select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
         e = cut_lineage(big.where("hi <> lo").distinct())
         # small star: u and its lower neighbours are re-pointed at the smallest of them
         ms = e.groupBy("hi").agg(F.min("lo").alias("m"))
-        j = e.join(shuffled(ms), "hi")
+        j = e.join(side(ms), "hi")
         small = (j.select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
                  .unionByName(j.select("hi", F.col("m").alias("lo"))))
         e = cut_lineage(small.where("hi <> lo").distinct())
-        pointing_at_child = e.join(shuffled(e.select(F.col("hi").alias("lo")).distinct()), "lo", "left_semi")
+        pointing_at_child = e.join(side(e.select(F.col("hi").alias("lo")).distinct()), "lo", "left_semi")
         if pointing_at_child.limit(1).count() == 0:
             break
     leaf = e.select(F.col("hi").alias("node"), F.col("lo").alias("comp"))
-    return (nodes.select("node").join(shuffled(leaf), "node", "left")
+    return (nodes.select("node").join(side(leaf), "node", "left")
             .select("node", F.coalesce("comp", "node").alias("comp")))
 
 

@@ -127,9 +127,11 @@ def test_knn_exact(spark):
             assert math.isclose(got[qid], exp, rel_tol=1e-9, abs_tol=1e-12)
 
 
-def test_growing_tables_do_not_go_through_the_driver(spark):
+def test_growing_tables_do_not_go_through_the_driver(spark, monkeypatch):
+    from tabmine.operators import cluster
     from tabmine.operators.cluster import connected_components, renumber
 
+    monkeypatch.setattr(cluster, "SMALL_GRAPH", 0)
     nodes = spark.range(40).withColumnRenamed("id", "node")
     edges = nodes.where("node % 10 > 0").selectExpr("node a", "node - 1 b")
     comp = connected_components(edges, nodes)
