@@ -6,9 +6,9 @@ A silhouette needs, for every point, the sum of its distances to the points of e
    points are the *blocks*; ``T`` follows from the row count, so the number of blocks is bounded.
 2. A block that lies far away (sum of both radii at most ``THETA`` times the distance) enters through its power
    moments, turned once per block into a local expansion.
-3. Near blocks send their points.  Inside the task they are cut into small *leaves*; a leaf or
-   a whole block far enough from the leaf that is being summed enters through its moments,
-   the rest is opened and its points are measured one by one.
+3. Near blocks send their points.  Inside the task they are cut into quadtree cells down to small *leaves*; the largest cells
+   far enough from the leaf that is being summed enter through their moments, the points of the leaves
+   that are left are measured one by one.
 
 In the complex plane |x - u| = |D| |1 - u/D| = |D| sum c_j c_k (-u/D)^j conj(-u/D)^k with the binomials c_j of the
 square root.  Cut at degree ``ORDER`` the error of a distance is below THETA^(ORDER + 1) / 50 of it (1.3e-7), which
@@ -29,10 +29,12 @@ from tabmine.session import cut_lineage
 ORDER, THETA = 14, 0.45
 #: points of a leaf, of a block at least, and (about) the largest number of blocks
 LEAF, BLOCK, BLOCKS = 128, 4096, 2048
+#: points of a cell that are measured one by one at any distance: their moments would cost more
+FEW = 64
 #: grid levels: cells are 2^-16 of the extent
 LEVELS = 16
-#: clusters of all labellings worked on together (the blocks' moments are sent to every task)
-COLUMNS = 32
+#: clusters of all labellings worked on together (the blocks' moments are sent to every task), and where blocks are few
+COLUMNS, MOST_COLUMNS = 32, 96
 
 
 def _half_binomials(n: int) -> np.ndarray:
@@ -51,24 +53,36 @@ _ALL = [(j, k) for j in range(ORDER + 1) for k in range(ORDER + 1 - j)]
 _HALF_OF = {p: i for i, p in enumerate(_JK)}
 
 
+def _products(first: np.ndarray, z: np.ndarray):
+    """``first z^j conj(z)^k`` for the pairs ``_JK``, one after the other."""
+    p, q = [first.astype(complex)], [np.ones_like(z)]
+    for _ in range(ORDER):
+        p.append(p[-1] * z)
+        q.append(q[-1] * z.conj())
+    for j, k in _JK:
+        yield p[j] * q[k]
+
+
 def _powers(z: np.ndarray) -> np.ndarray:
-    """``z^j conj(z)^k`` for the pairs ``_JK``, along a new last axis."""
-    p = np.empty((*z.shape, ORDER + 1), dtype=complex)
-    p[..., 0] = 1
-    for j in range(1, ORDER + 1):
-        p[..., j] = p[..., j - 1] * z
-    return p[..., _J] * p[..., _K].conj()
+    """``z^j conj(z)^k`` for the pairs ``_JK``, along a new first axis."""
+    return np.stack(list(_products(np.ones(z.shape), z)))
 
 
 def moments(u: np.ndarray, mass: np.ndarray) -> np.ndarray:
     """Power moments (pair, cluster) of points ``u`` (complex, from the cell's centre) with ``mass`` (point, cluster)."""
-    return _powers(u).T @ mass
+    p = _powers(u)
+    return p.real @ mass + 1j * (p.imag @ mass)
 
 
 def from_far(d: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Distance sums at points that lie ``d`` (point, cell) from the centres of cells with moments ``m`` (cell, pair, cluster)."""
-    a = _powers(1 / d) * (_C[_J] * _C[_K] * _TWICE * (-1.0) ** (_J + _K)) * np.abs(d)[..., None]
-    return (a.reshape(len(d), -1) @ m.reshape(-1, m.shape[-1])).real
+    m = m * (_C[_J] * _C[_K] * _TWICE * (-1.0) ** (_J + _K))[:, None]
+    out = np.zeros((len(d), m.shape[-1]))
+    for i, a in enumerate(_products(np.abs(d), 1 / d)):
+        out += a.real @ m[:, i].real
+        if _J[i] < _K[i]:
+            out -= a.imag @ m[:, i].imag
+    return out
 
 
 def local_expansion(d: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -92,7 +106,8 @@ def local_expansion(d: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def from_local(v: np.ndarray, expansion: np.ndarray) -> np.ndarray:
     """Distance sums at points ``v`` from the centre of a local expansion."""
-    return ((_powers(v) * _TWICE) @ expansion).real
+    p = _powers(v) * _TWICE[:, None]
+    return p.real.T @ expansion.real - p.imag.T @ expansion.imag
 
 
 def leaves(key: np.ndarray, level: int, start: int, stop: int) -> list[tuple[int, int, int, int]]:
@@ -141,6 +156,32 @@ def _mass(cols: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _tree(key: np.ndarray, roots: list[tuple[int, int, int]]) -> dict[str, np.ndarray]:
+    """Quadtree cells under the ``roots`` ``(level, from, to)`` of the sorted Morton keys, down to ``LEAF`` keys (or one grid cell):
+    their points ``lo:hi``, ``centre``, ``radius``, and their parts ``child:child + parts``."""
+    level, lo, hi = (np.array(x, dtype=np.int64) for x in zip(*roots, strict=True))
+    done, at = [], 0
+    while len(lo):
+        split = np.flatnonzero((hi - lo > LEAF) & (level < LEVELS))
+        c, r = centres(level, key[lo] >> 2 * (LEVELS - level))
+        child, parts = np.zeros(len(lo), np.int64), np.zeros(len(lo), np.int64)
+        step = 2 * (LEVELS - level[split] - 1)
+        first = (key[lo[split]] >> step >> 2 << 2)[:, None] + np.arange(5)
+        cuts = np.stack([np.searchsorted(key, first[:, i] << step) for i in range(5)], 1).clip(lo[split, None], hi[split, None])
+        keep = cuts[:, 1:] > cuts[:, :-1]
+        parts[split] = keep.sum(axis=1)
+        child[split] = at + len(lo) + np.cumsum(parts[split]) - parts[split]
+        done.append((lo, hi, c, r, child, parts))
+        at += len(lo)
+        level, lo, hi = np.repeat(level[split] + 1, parts[split]), cuts[:, :-1][keep], cuts[:, 1:][keep]
+    return dict(zip(("lo", "hi", "centre", "radius", "child", "parts"), (np.concatenate(x) for x in zip(*done, strict=True)), strict=True))
+
+
+def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers ``lo, lo + 1, ...``, ``n`` of each, one after the other."""
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 def distance_sums(target: np.ndarray, blocks: list[dict], far: np.ndarray, mine: tuple, k: int) -> np.ndarray:
     """Sums of distances from the points ``target`` (sorted by key) to all points of every cluster column.
 
@@ -148,32 +189,42 @@ def distance_sums(target: np.ndarray, blocks: list[dict], far: np.ndarray, mine:
     ``mine``: ``(key, level, cell, centre)`` of the targets."""
     key, level, _, centre = mine
     total = from_local(target - centre, far)
-    parts = []                                          # leaves of all near blocks
-    for b in blocks:
-        for lv, cell, lo, hi in leaves(b["key"], b["level"], 0, len(b["key"])):
-            c, r = centres(np.array([lv]), np.array([cell]))
-            parts.append((c[0], r[0], b["z"][lo:hi], b["mass"][lo:hi], b["number"]))
-    leaf_c, leaf_r = np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
-    leaf_m = np.stack([moments(p[2] - p[0], p[3]) for p in parts])
-    owner = np.array([p[4] for p in parts])
-    whole_c, whole_r = np.array([b["centre"] for b in blocks]), np.array([b["radius"] for b in blocks])
-    whole_m = np.stack([moments(b["z"] - b["centre"], b["mass"]) for b in blocks])
-    numbers = np.array([b["number"] for b in blocks])
+    blocks = sorted(blocks, key=lambda b: int(b["key"][0]))      # blocks are ranges of keys
+    keys, z, mass = (np.concatenate([b[c] for b in blocks]) for c in ("key", "z", "mass"))
+    x, y = z.real.copy(), z.imag.copy()
+    ends = np.cumsum([len(b["key"]) for b in blocks])
+    tree = _tree(keys, [(b["level"], e - len(b["key"]), e) for b, e in zip(blocks, ends.tolist(), strict=True)])
+    size, known = tree["hi"] - tree["lo"], {}
+
+    def of(cell: int) -> np.ndarray:
+        if cell not in known:
+            part = slice(tree["lo"][cell], tree["hi"][cell])
+            known[cell] = moments(z[part] - tree["centre"][cell], mass[part])
+        return known[cell]
+
     for lv, cell, lo, hi in leaves(key, level, 0, len(key)):
-        c, r = (x[0] for x in centres(np.array([lv]), np.array([cell])))
+        c, r = (v[0] for v in centres(np.array([lv]), np.array([cell])))
         t = target[lo:hi]
-        # a cell is far when its radius is at most THETA of the least distance to any point of this leaf
-        shut = whole_r <= THETA * (np.abs(whole_c - c) - r)
-        if shut.any():
-            total[lo:hi] += from_far(t[:, None] - whole_c[shut], whole_m[shut])
-        here = np.isin(owner, numbers[~shut])
-        away = leaf_r <= THETA * (np.abs(leaf_c - c) - r)
-        for at in np.array_split(np.flatnonzero(here & away), max(1, int((here & away).sum()) // 64)):
-            if len(at):
-                total[lo:hi] += from_far(t[:, None] - leaf_c[at], leaf_m[at])
-        for i in np.flatnonzero(here & ~away).tolist():
-            for s in range(0, len(parts[i][2]), 4096):
-                total[lo:hi] += np.abs(t[:, None] - parts[i][2][s:s + 4096]) @ parts[i][3][s:s + 4096]
+        shut, near, look = [], [], np.arange(len(blocks))
+        while len(look):
+            # a cell is far when its radius is at most THETA of the least distance to any point of this leaf; the largest such cells stay shut
+            away = tree["radius"][look] <= THETA * (np.abs(tree["centre"][look] - c) - r)
+            away &= size[look] > FEW
+            whole = ~away & ((tree["parts"][look] == 0) | (size[look] <= FEW))
+            shut.append(look[away])
+            near.append(look[whole])
+            look = look[~away & ~whole]
+            look = _ranges(tree["child"][look], tree["parts"][look])
+        shut, near = np.concatenate(shut), np.concatenate(near)
+        for s in range(0, len(shut), 64):
+            at = shut[s:s + 64]
+            total[lo:hi] += from_far(t[:, None] - tree["centre"][at], np.stack([of(i) for i in at.tolist()]))
+        points = _ranges(tree["lo"][near], size[near])
+        for s in range(0, len(points), 4096):
+            at = points[s:s + 4096]
+            d = (t.real[:, None] - x[at]) ** 2
+            d += (t.imag[:, None] - y[at]) ** 2
+            total[lo:hi] += np.sqrt(d, out=d) @ mass[at]
     return total
 
 
@@ -220,9 +271,11 @@ def silhouettes(coords: DataFrame, labels: DataFrame, row_id: str = "row_id", la
         if len(clusters) >= 2 and len(sizes) >= 2:
             kept[name] = clusters
     todo = sorted(kept)
+    points = max((sum(sizes.values()) for sizes in runs.values()), default=0)
+    most = min(max(COLUMNS, COLUMNS * BLOCKS * BLOCK // max(4 * points, 1)), max(COLUMNS, MOST_COLUMNS))
     while todo:                                         # labellings in groups of a bounded number of clusters
         batch, columns = [], 0
-        while todo and (not batch or columns + len(kept[todo[0]]) <= COLUMNS):
+        while todo and (not batch or columns + len(kept[todo[0]]) <= most):
             columns += len(kept[todo[0]])
             batch.append(todo.pop(0))
         out.update(_batch(rows, {n: kept[n] for n in batch}))

@@ -96,3 +96,37 @@ def test_noise_lone_points_and_single_clusters(spark):
     empty = frames(spark, points[:4], few)
     assert S.silhouettes(empty[0], empty[1].limit(0)).collect() == []
     assert S.silhouette(empty[0].limit(0), empty[1]) is None
+
+
+def _near_blocks(points):
+    """Sixteen blocks of the unit square; the targets are those of one of them."""
+    rng = np.random.default_rng(6)
+    z = rng.uniform(size=points) + 1j * rng.uniform(size=points)
+    x, y = ((v * (1 << S.LEVELS)).astype(np.int64) for v in (z.real, z.imag))
+    key = np.zeros(points, np.int64)
+    for bit in range(S.LEVELS):
+        key |= (x >> bit & 1) << 2 * bit | (y >> bit & 1) << 2 * bit + 1
+    order = np.argsort(key)
+    key, z, mass = key[order], z[order], np.eye(3)[rng.integers(0, 3, points)]
+    blocks = []
+    for b in range(16):
+        at = np.flatnonzero(key >> 2 * (S.LEVELS - 2) == b)
+        c, r = S.centres(np.array([2]), np.array([b]))
+        blocks.append({"key": key[at], "z": z[at], "mass": mass[at], "level": 2, "centre": c[0], "radius": r[0], "number": b})
+    return blocks, z, mass
+
+
+def test_near_blocks_are_closed_at_their_largest_cells(monkeypatch):
+    """Four times the points: the cells a point meets grow with the depth of the tree, not with its leaves."""
+    far, met = S.from_far, {}
+    none = np.zeros((len(S._JK), 3), dtype=complex)
+    for n in (20_000, 80_000):
+        seen = []
+        monkeypatch.setattr(S, "from_far", lambda d, m, seen=seen: seen.append(d.size) or far(d, m))
+        blocks, z, mass = _near_blocks(n)
+        b = blocks[6]
+        got = S.distance_sums(b["z"], blocks[::-1], none, (b["key"], 2, 6, b["centre"]), 3)
+        met[n] = sum(seen) / len(b["z"])
+        want = np.abs(b["z"][:50, None] - z) @ mass
+        assert np.abs(got[:50] / want - 1).max() < 1e-6
+    assert met[80_000] < 2 * met[20_000] and met[80_000] < 200
