@@ -211,24 +211,24 @@ _components = connected_components
 
 
 def _dense_links(p: DataFrame, s: float, eps: float, sub: int = 8) -> DataFrame:
-    """Core links between neighbouring dense cells (all their points are core).
+    """Links between neighbouring dense cells (all their points are core), named by the cells' ``rep``.
 
     Each dense cell is cut into ``sub`` x ``sub`` sub-cells summarised by point
-    count, bounding box and smallest id.  Sub-cell pairs of neighbouring dense
+    count and bounding box.  Sub-cell pairs of neighbouring dense
     cells are classified by box distances: a pair whose farthest corners are
     within eps links the two cells outright; a pair whose nearest edges are
     farther than eps cannot link; only the remaining pairs, and only for cell
     pairs without an outright link, compare their points.  The summary join is
     bounded by the number of dense cells, not points."""
     h = s / sub
-    d = p.where("dense").select(
-        "id", "x", "y", "cx", "cy",
+    d = p.where("dense AND id IS NOT NULL").select(
+        "rep", "x", "y", "cx", "cy",
         F.least(F.greatest(F.floor((F.col("x") - F.col("cx") * s) / h), F.lit(0)), F.lit(sub - 1)).alias("sx"),
         F.least(F.greatest(F.floor((F.col("y") - F.col("cy") * s) / h), F.lit(0)), F.lit(sub - 1)).alias("sy"))
     d = cut_lineage(d)
     summ = cut_lineage(d.groupBy("cx", "cy", "sx", "sy").agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.min("id").alias("rep")))
+        F.min("rep").alias("rep")))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)])
     a = summ.select(*[F.col(c).alias(f"a_{c}") for c in summ.columns], F.explode(offsets).alias("o"))
@@ -247,9 +247,9 @@ def _dense_links(p: DataFrame, s: float, eps: float, sub: int = 8) -> DataFrame:
         .dropDuplicates(["a_cx", "a_cy", "cx", "cy"])
     open_pairs = pairs.where("NOT sure").join(shuffled(sure.select("a_cx", "a_cy", "cx", "cy")),
                                               ["a_cx", "a_cy", "cx", "cy"], "left_anti")
-    pa = d.select(F.col("id").alias("ia"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("cx").alias("a_cx"),
+    pa = d.select(F.col("rep").alias("ia"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("cx").alias("a_cx"),
                   F.col("cy").alias("a_cy"), F.col("sx").alias("a_sx"), F.col("sy").alias("a_sy"))
-    pb = d.select(F.col("id").alias("ib"), F.col("x").alias("xb"), F.col("y").alias("yb"), "cx", "cy",
+    pb = d.select(F.col("rep").alias("ib"), F.col("x").alias("xb"), F.col("y").alias("yb"), "cx", "cy",
                   F.col("sx").alias("b_sx"), F.col("sy").alias("b_sy"))
     tested = (open_pairs.join(shuffled(pa), ["a_cx", "a_cy", "a_sx", "a_sy"]).join(shuffled(pb), ["cx", "cy", "b_sx", "b_sy"])
               .where((F.col("xa") - F.col("xb")) ** 2 + (F.col("ya") - F.col("yb")) ** 2 <= e2)
@@ -263,14 +263,14 @@ def dbscan_labels(coords: DataFrame, eps: float, min_samples: int, row_id: str =
     Only points of sparse cells (fewer than ``min_samples`` points) probe their
     25 neighbouring cells at point level (at most ``min_samples - 1`` probing
     points per cell, so the pairs grow linearly with the neighbours' sizes).
-    Points of a dense cell are core; they are linked to their cell's smallest
-    id (a star, not all pairs), and dense cells are linked to each other by
-    ``_dense_links``."""
+    Points of a dense cell are core and stand for one node of the graph, the
+    cell's smallest id, so the graph grows with the cells, not with the points;
+    dense cells are linked to each other by ``_dense_links``."""
     s = eps / math.sqrt(2.0)
     pts = cut_lineage(coords.select(F.col(row_id).alias("id"), "x", "y",
                                     F.floor(F.col("x") / s).alias("cx"), F.floor(F.col("y") / s).alias("cy")))
-    cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")).withColumn("dense", F.col("n") >= min_samples)
-    p = cut_lineage(pts.join(shuffled(cells.select("cx", "cy", "dense")), ["cx", "cy"]))
+    cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep")).withColumn("dense", F.col("n") >= min_samples)
+    p = cut_lineage(pts.join(shuffled(cells.select("cx", "cy", "dense", "rep")), ["cx", "cy"]))
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                         for dx in range(-2, 3) for dy in range(-2, 3)])
     # sparse-cell points probe the 25 surrounding cells (equi-join on the shifted cell key)
@@ -282,19 +282,21 @@ def dbscan_labels(coords: DataFrame, eps: float, min_samples: int, row_id: str =
     near = cut_lineage(probe.join(shuffled(other), ["ncx", "ncy"]).where(d2 <= eps * eps).select("id", "id2"))
     counts = near.groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
     core = cut_lineage(p.join(shuffled(counts), "id", "left").select(
-        "id", (F.col("dense") | (F.coalesce("cnt", F.lit(0)) >= min_samples)).alias("core")))
-    c1 = core.select("id", F.col("core").alias("core1"))
-    c2 = core.select(F.col("id").alias("id2"), F.col("core").alias("core2"))
+        "id", (F.col("dense") | (F.coalesce("cnt", F.lit(0)) >= min_samples)).alias("core"),
+        F.when(F.col("dense"), F.col("rep")).otherwise(F.col("id")).alias("node")))
+    c1 = core.select("id", F.col("core").alias("core1"), F.col("node").alias("node1"))
+    c2 = core.select(F.col("id").alias("id2"), F.col("core").alias("core2"), F.col("node").alias("node2"))
     links = near.join(shuffled(c1), "id").join(shuffled(c2), "id2")
-    edges = links.where("core1 AND core2 AND id <> id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    reps = p.where("dense").groupBy("cx", "cy").agg(F.min("id").alias("_rep"))
-    star = (p.where("dense").join(shuffled(reps), ["cx", "cy"]).where(F.col("id") != F.col("_rep"))
-            .select(F.col("_rep").alias("a"), F.col("id").alias("b")))
-    edges = edges.unionByName(star).unionByName(_dense_links(p, s, eps))
-    comps = _components(edges, core.where("core").select(F.col("id").alias("node")))
-    border = (links.where("NOT core1 AND core2").join(shuffled(comps.select(F.col("node").alias("id2"), "comp")), "id2")
+    edges = links.where("core1 AND core2 AND node1 <> node2").select(F.col("node1").alias("a"), F.col("node2").alias("b"))
+    # rows that share an id belong together
+    of = core.where("core")
+    twice = of.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("_most")).where("a <> _most").select("id", "a")
+    edges = edges.unionByName(of.join(twice, "id").select("a", F.col("node").alias("b"))).unionByName(_dense_links(p, s, eps))
+    comps = _components(edges, of.select("node").distinct())
+    comps = of.select("id", "node").join(shuffled(comps), "node").select("id", "comp")
+    border = (links.where("NOT core1 AND core2").join(shuffled(comps.select(F.col("id").alias("id2"), "comp")), "id2")
               .groupBy("id").agg(F.min("comp").alias("comp")))
-    labelled = (core.join(shuffled(comps.select(F.col("node").alias("id"), F.col("comp").alias("c_core"))), "id", "left")
+    labelled = (core.join(shuffled(comps.select("id", F.col("comp").alias("c_core"))), "id", "left")
                 .join(shuffled(border.select("id", F.col("comp").alias("c_border"))), "id", "left")
                 .select(F.col("id").alias(row_id), F.coalesce("c_core", "c_border", F.lit(-1)).alias("label")))
     return renumber(labelled, row_id, by_label=True)

@@ -141,3 +141,20 @@ def test_growing_tables_do_not_go_through_the_driver(spark, monkeypatch):
         assert "SortMergeJoin" in plan
     assert "Broadcast" not in comp._jdf.queryExecution().executedPlan().toString()
     assert {r["row_id"]: r["label"] for r in labels.collect()} == {i: i // 10 for i in range(40)}
+
+
+def test_dbscan_graph_grows_with_cells(spark, monkeypatch):
+    """Points of a dense cell are one node: more points in the same cells give no more edges; rows that share an id stay together."""
+    from tabmine.operators import cluster
+
+    seen, components = [], cluster._components
+    monkeypatch.setattr(cluster, "_components", lambda e, n: seen.append(e.distinct().count()) or components(e, n))
+    rnd = random.Random(3)
+    for n in (400, 1600):
+        pts = [(rnd.uniform(0, 1) + 9 * (i % 2), rnd.uniform(0, 1)) for i in range(n)] + [(5.0, 5.0)]
+        df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "row_id long, x double, y double")
+        got = [r["label"] for r in dbscan_labels(df, 0.5, 5).orderBy("row_id").collect()]
+        assert got == [i % 2 for i in range(n)] + [-1]
+    assert max(seen) < 400
+    joined = df.unionByName(spark.createDataFrame([(0, 9.5, 0.5)], "row_id long, x double, y double"))
+    assert {r["label"] for r in dbscan_labels(joined, 0.5, 5).where("row_id < 1600").collect()} == {0}
