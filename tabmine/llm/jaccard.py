@@ -12,6 +12,8 @@ that means an overlap of at least (num / (num + den)) * (p + q), so at most
    hold common shingles alone (those seen twice or more in a bounded sample of the sets) say little and give no key, as long
    as a set has few of them; else the columns are dealt anew for it.  Sets that agree on a part are joined (a star per
    part, no pairs) and the connected sets form a block: pairs across blocks cannot link.
+   Blocks that would need several tiles are split: within each, its sets are joined anew by their rarest shingles
+   (those seen least in such blocks), of which linked sets share one.
 3. Small blocks are put together.  Large ones are cut by size into bands, so that linked sets lie in one band
    or in neighbouring ones, and bands into tiles; tile pairs of bands farther apart are
    never made.  Each tile pair multiplies its two incidence matrices, accumulating overlap counts over
@@ -37,9 +39,12 @@ from tabmine.session import cut_lineage
 #: shingles and sets of one tile of the product
 TILE_SHINGLES, TILE_ROWS = 40_000, 256
 #: keys that a task holds before it sends them on
-KEYS_HELD = 500_000
+KEYS_HELD = 200_000
 #: sets on which common shingles are counted, in expectation, and how many of them are named at most
 SAMPLE_SETS, COMMON = 8_000, 200_000
+#: counters of the shingles of large blocks, how often such blocks are split at most, and how many further copies of
+#: texts (for each set of the table) need no split
+COUNTERS, SPLITS, SPARE_COPIES = 1 << 19, 4, 0.25
 _C = [np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                              0x27D4EB2F165667C5, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)]
 
@@ -158,6 +163,42 @@ def part_keys(rows: np.ndarray, sh: np.ndarray, sizes: np.ndarray, num: int, den
     return np.concatenate([np.zeros(0, np.int64), *out_rows]), np.concatenate([np.zeros(0, np.int64), *out_keys])
 
 
+def rarest_keys(rows: np.ndarray, sh: np.ndarray, sizes: np.ndarray, num: int, den: int,
+                seen: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys ``(row, key)``: of every set its p - ceil(num * p / den) + 1 shingles that come first in one order of all shingles,
+    those counted least in ``seen`` before others.  Linked sets share ceil(num * p / den) shingles or more, for the p of
+    either, so the first one that they share is a key of both, whatever the counts are."""
+    order = np.lexsort((mix64(sh ^ np.uint64(salt)), seen[_counter(sh, len(seen), salt)], rows))
+    rows, sh = rows[order], sh[order]
+    first = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(np.bincount(rows, minlength=len(sizes)), out=first[1:])
+    use = np.arange(len(rows)) - first[rows] < (sizes - -(-num * sizes // den) + 1)[rows]
+    return rows[use], sh[use].view(np.int64)
+
+
+def _counter(sh: np.ndarray, n: int, salt: int) -> np.ndarray:
+    return (mix64(sh + np.uint64(salt)) % np.uint64(n)).astype(np.int64)
+
+
+def seen_shingles(texts: DataFrame, width: int, salt: int) -> np.ndarray:
+    """How often the shingles of ``texts(_text)`` occur, in eighths of a power of two, on ``COUNTERS`` counters that shingles share."""
+    n = COUNTERS
+
+    def run(batches):
+        total = np.zeros(n, dtype=np.int64)
+        for batch in batches:
+            for _, data, starts in text_chunks(batch.column("_text")):
+                np.add.at(total, _counter(shingle_sets(data, starts, width)[1], n, salt), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
+
+    sums = texts.mapInArrow(tidy(run), "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).where("n > 1")
+    found = sums.toArrow()
+    seen = np.zeros(n, dtype=np.uint8)
+    seen[found["at"].to_numpy()] = np.minimum(8 * np.log2(found["n"].to_numpy()), 255).astype(np.uint8)
+    return seen
+
+
 def common_shingles(texts: DataFrame, nodes: DataFrame, width: int) -> np.ndarray:
     """Shingles seen in two sets or more of a sample of about ``SAMPLE_SETS`` of ``nodes(node, _id)``, sorted: at most
     ``COMMON``, the most frequent.  They only decide which keys a set needs, so the sample has no part in which links are found."""
@@ -194,12 +235,18 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(tidy(run), "_id bigint, _n bigint, _node bigint")
 
 
-def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray | None = None) -> DataFrame:
-    """``(key, node, other)`` of all keys.  A task holds a bounded number of keys and sends
+def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray | None = None, find=None) -> DataFrame:
+    """``(key, node, other)`` of all keys: those of ``find(rows, shingles, sizes)``, or else of ``part_keys``; if ``texts`` has a column
+    ``comp``, those of other blocks are other keys.  A task holds a bounded number of keys and sends
     each key on once, with its smallest set; the other sets that it met under the key go as
     links to that one (``other``, under a key of their own).  So a key has a row for each
     run of held keys at most, however many sets agree on it."""
-    held = KEYS_HELD
+    held, apart = KEYS_HELD, "comp" in texts.columns
+
+    def parts(rows, sh, sizes):
+        return part_keys(rows, sh, sizes, num, den, common)
+
+    find = find or parts
 
     def reduced(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(keys, kind="stable")
@@ -218,7 +265,7 @@ def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray |
         seen: set[int] = set()
         keys, nodes, n = [], [], 0
         for batch in batches:
-            for _, data, starts in text_chunks(batch.column("_text")):
+            for i, data, starts in text_chunks(batch.column("_text")):
                 rows, sh, sizes = shingle_sets(data, starts, width)
                 ids = _set_ids(rows, sh, sizes)
                 fresh = np.zeros(len(ids), dtype=bool)
@@ -229,8 +276,11 @@ def _keys(texts: DataFrame, width: int, num: int, den: int, common: np.ndarray |
                 if len(seen) > 2_000_000:               # forgetting only repeats keys
                     seen.clear()
                 keep = fresh[rows]
-                who, key = part_keys(rows[keep], sh[keep], np.where(fresh, sizes, 0), num, den, common)
+                who, key = find(rows[keep], sh[keep], np.where(fresh, sizes, 0))
                 if len(who):
+                    if apart:
+                        block = batch.column("comp").slice(i, len(starts)).to_numpy(zero_copy_only=False).view(np.uint64)
+                        key = mix64(key.view(np.uint64) ^ mix64(block ^ _C[5])[who]).view(np.int64)
                     keys.append(key)
                     nodes.append(ids[who])
                     n += len(who)
@@ -318,21 +368,64 @@ def jaccard_components(docs: DataFrame, text_col: str = "text", id_col: str = "d
 def _links(texts: DataFrame, sets: DataFrame, width: int, num: int, den: int) -> DataFrame:
     size = cut_lineage(sets.where("_node IS NOT NULL").groupBy(F.col("_node").alias("node")).agg(
         F.min("_id").alias("_id"), F.max("_n").alias("n")))
+    blocks = components(_stars(_keys(texts, width, num, den, common_shingles(texts, size, width))))
+    member = _split(texts, size.join(blocks, "node"), size.count(), width, num, den)
+    near = _own_texts(texts, _placed(member, num, den), width)
+    paired = near.select("node", F.col("_text").alias("text"), "g", "tile", F.explode("others").alias("o")).select(
+        "node", "text", "g", "tile", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"))
+    return cut_lineage(paired.groupBy("g", "i", "j").applyInPandas(_tile_links(width, num, den), "a bigint, b bigint"))
+
+
+def _stars(keys: DataFrame) -> DataFrame:
+    """``(a, b)``: the sets of ``_keys`` that agree on a key, joined to the smallest of them."""
     least = F.min("node").over(Window.partitionBy("key"))
-    keys = _keys(texts, width, num, den, common_shingles(texts, size, width))
-    star = cut_lineage(keys.select(F.col("node").alias("a"), F.coalesce("other", least).alias("b")).where("a <> b").distinct())
-    placed = _placed(size.join(components(star), "node"), num, den)
-    near = texts.join(broadcast_checked(placed.where("_rep IS NOT NULL"), 32 << 20), F.col("_id") == F.col("_rep"))
-    near = near.select("node", "_text", "g", "tile", "others")
+    return cut_lineage(keys.select(F.col("node").alias("a"), F.coalesce("other", least).alias("b")).where("a <> b").distinct())
+
+
+def _own_texts(texts: DataFrame, of: DataFrame, width: int) -> DataFrame:
+    """The rows of ``of(node, _rep, ...)`` (pinned) with ``_text``, a text of the set, instead of ``_rep``, its id."""
+    rest = [c for c in of.columns if c not in ("node", "_rep")]
+    near = texts.join(broadcast_checked(of.where("_rep IS NOT NULL"), 32 << 20), F.col("_id") == F.col("_rep"))
     # repeated ids may bring another text: only the text whose set is the node's is used
-    near = _only_own(near, width)
-    nameless = placed.where("_rep IS NULL")             # sets of rows without an id
+    near = _only_own(near.select("node", "_text", *rest), width)
+    nameless = of.where("_rep IS NULL")                 # sets of rows without an id
     if not nameless.isEmpty():
         rows = _with_node(texts.where("_id IS NULL"), width).groupBy("node").agg(F.min("_text").alias("_text"))
         near = near.unionByName(rows.join(nameless, "node").select(*near.columns))
-    paired = near.select("node", F.col("_text").alias("text"), "g", "tile", F.explode("others").alias("o")).select(
-        "node", "text", "g", "tile", F.least("tile", "o").alias("i"), F.greatest("tile", "o").alias("j"))
-    return cut_lineage(paired.groupBy("g", "i", "j").applyInPandas(_tile_links(width, num, den), "a bigint, b bigint"))
+    return near
+
+
+def _big(m: str, w: str) -> F.Column:
+    """Whether a block of so many sets and shingles is cut into tiles."""
+    return (F.col(w) > TILE_SHINGLES) | (F.col(m) > TILE_ROWS)
+
+
+def _split(texts: DataFrame, member: DataFrame, n_sets: int, width: int, num: int, den: int) -> DataFrame:
+    """``member(node, _id, n, comp)`` with the blocks that tiles would cut split by ``rarest_keys``, as long as their sets go to
+    many tiles and that helps.  Every set of such a block goes to all its tiles, so strangers joined by chance into ever
+    larger blocks, as tables grow, would be copied more often each.  Sets that agree with none are linked with none and go."""
+    member, own, before = cut_lineage(member), None, None
+    for turn in range(1, SPLITS + 1):
+        blocks = cut_lineage(member.groupBy("comp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m")).where(_big("m", "w")))
+        more = F.col("m") * F.floor(F.greatest(F.col("w") / TILE_SHINGLES, F.col("m") / TILE_ROWS))
+        copies = blocks.agg(F.sum(more)).first()[0] or 0
+        if copies <= SPARE_COPIES * n_sets or before is not None and copies > before // 2:
+            break
+        blocks = blocks.select("comp")
+        inside = cut_lineage(member.join(blocks, "comp", "left_semi").select("node", "_id", "n", "comp"))
+        if own is None:
+            own = cut_lineage(_own_texts(texts, inside.select("node", F.col("_id").alias("_rep")), width))
+        here = own.join(inside.select("node", "comp"), "node").select("_text", "comp")
+        seen = seen_shingles(here, width, turn)
+
+        def rarest(rows, sh, sizes, seen=seen, turn=turn):
+            return rarest_keys(rows, sh, sizes, num, den, seen, turn)
+
+        apart = components(_stars(_keys(here, width, num, den, find=rarest)))
+        member = cut_lineage(member.join(blocks, "comp", "left_anti").select("node", "_id", "n", "comp").unionByName(
+            inside.drop("comp").join(apart, "node")))
+        before = copies
+    return member
 
 
 def _placed(member: DataFrame, num: int, den: int) -> DataFrame:
@@ -343,7 +436,7 @@ def _placed(member: DataFrame, num: int, den: int) -> DataFrame:
     top = member.agg(F.max("n")).first()[0] or 1
     member = cut_lineage(member.withColumn("band", _band(F.col("n"), num, den, top)))
     block = member.groupBy("comp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("m"))
-    block = cut_lineage(block.select("comp", "w", ((F.col("w") > TILE_SHINGLES) | (F.col("m") > TILE_ROWS)).alias("big")))
+    block = cut_lineage(block.select("comp", "w", _big("m", "w").alias("big")))
     bins = max(1, int((block.where("NOT big").agg(F.sum("w")).first()[0] or 0) // TILE_SHINGLES) + 1)
     cut = member.join(block.where("big").select("comp"), "comp", "left_semi").groupBy("comp", "band").agg(
         F.ceil(F.greatest(F.sum("n") / TILE_SHINGLES, F.count(F.lit(1)) / TILE_ROWS)).cast("int").alias("tiles"))

@@ -213,3 +213,57 @@ def test_chunks_of_copies_alone(spark, monkeypatch):
     texts = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id _id", "text _text").coalesce(1)
     assert jaccard._keys(texts, 5, 80, 100).count() > 0
     assert [a.tolist() for a in part_keys(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(3, np.int64), 80, 100)] == [[], []]
+
+
+def runs_of_words(rng, vocab):
+    return " ".join(w for _ in range(9) for w in [rng.choice(vocab)] * 13)
+
+
+def test_linked_sets_share_a_rarest_key():
+    import pyarrow as pa
+
+    from tabmine.llm.jaccard import rarest_keys
+
+    rng = random.Random(12)
+    texts = [runs_of_words(rng, "abcdefgh") for _ in range(20)] + ["", "x", "x y"]
+    for _ in range(120):
+        words = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(1, 120))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(300)}"
+            texts.append(" ".join(words + ["z"] * rng.randrange(5)))
+    (_, data, starts), = text_chunks(pa.array(texts, pa.large_string()))
+    rows, sh, sizes = shingle_sets(data, starts, 5)
+    seen = np.random.default_rng(3).integers(1, 9, size=64).astype(np.uint16)
+    who, key = rarest_keys(rows, sh, sizes, 80, 100, seen, 1)
+    sets = [set(sh[rows == i].tolist()) for i in range(len(texts))]
+    keys = [set(key[who == i].tolist()) for i in range(len(texts))]
+    assert [len(k) for k in keys] == [len(s) - -(-80 * len(s) // 100) + 1 if s else 0 for s in sets]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert len(linked) > 50
+    assert all(keys[i] & keys[j] for i, j in linked)
+
+
+def test_strangers_joined_by_chance_are_split(spark, monkeypatch):
+    """The sample of common shingles does not see what these texts share, as on large tables."""
+    from tabmine.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "SAMPLE_SETS", 0)
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 16)
+    placed, copies = jaccard._placed, []
+
+    def counted(*args):
+        out = placed(*args)
+        copies.append(out.agg(F.sum(F.size("others"))).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard, "_placed", counted)
+    rng = random.Random(13)
+    vocab = [f"w{i}" for i in range(40)]
+    rows = [(i, runs_of_words(rng, vocab)) for i in range(300)]
+    rows += [(1000 + i, rows[i][1].rsplit(" ", 2)[0] + " end") for i in range(0, 300, 3)]
+    rows += [(None, rows[5][1] + " end"), (None, runs_of_words(rng, vocab)), (7, rows[8][1] + " end")]
+    want = brute(rows, 5, 80, 100)
+    assert any(c != d for d, _, c in want)
+    assert run(spark, rows, width=5, num=80, den=100) == want
+    assert copies[0] < 2 * len(rows)                    # 9 tiles or more met each set before
